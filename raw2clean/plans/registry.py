@@ -498,3 +498,113 @@ _RAW_TYPES = {"l_orderkey": "bigint", "l_linenumber": "int", "l_partkey": "bigin
 def q_profile_columns(spark, sf_dir):
     p = quality.profile(raw(spark, sf_dir))
     return p.withColumns({c: F.round(c, 6) for c in ("mean", "stddev", "sum")})
+
+
+# --- S6-S9: write and read back --------------------------------------------------------
+
+RAW_STRINGS_SQL = _sql("SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber, "
+                       "CAST(l_partkey AS VARCHAR) AS l_partkey, CAST(l_suppkey AS VARCHAR) AS l_suppkey, "
+                       "code, state_code, county_code, tract, amount, label, age FROM raw")
+
+
+# A CSV read gives NULL for an empty cell, quoted or not (Spark's default
+# ``nullValue`` is the empty text), so empty text comes back as NULL.
+@query("round_trip_csv", _sql(
+    "SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber, "
+    "CAST(l_partkey AS VARCHAR) AS l_partkey, CAST(l_suppkey AS VARCHAR) AS l_suppkey, "
+    + ", ".join(f"NULLIF({c}, '') AS {c}" for c in RAW_TEXT) + " FROM raw"))
+def q_round_trip_csv(spark, sf_dir):
+    path = io.work_dir(spark, "csv")
+    io.write_table(raw(spark, sf_dir), path, fmt="csv")
+    return io.read_table(spark, path)
+
+
+@query("round_trip_json", _sql("SELECT * FROM raw"))
+def q_round_trip_json(spark, sf_dir):
+    df = raw(spark, sf_dir)
+    path = io.work_dir(spark, "json")
+    io.write_table(df, path, fmt="json")
+    return spark.read.schema(df.schema).json(path)
+
+
+@query("round_trip_parquet", _sql("SELECT * FROM raw"))
+def q_round_trip_parquet(spark, sf_dir):
+    path = io.work_dir(spark, "parquet")
+    io.write_table(raw(spark, sf_dir), path, fmt="parquet")
+    return spark.read.parquet(path)
+
+
+# --- S10: header in the first data row -------------------------------------------------
+
+@query("promote_header", ORACLE_SQL["round_trip_csv"])
+def q_promote_header(spark, sf_dir):
+    """The file's first line is junk; the real header is the first data row."""
+    df = RS.cast_to_string(raw(spark, sf_dir))
+    junk = [f"c{i}" for i in range(len(df.columns))]
+    head = spark.createDataFrame([tuple(df.columns)], junk)
+    path = io.work_dir(spark, "header")
+    # the one-row frame is partition 0, so the header row opens the first file
+    io.write_table(head.union(df.toDF(*junk)), path, fmt="csv")
+    return io.read_table(spark, path, promote_first_row=True)
+
+
+# --- S3 + S11 + R15 + U1/U2 + C2: a folder of yearly files -----------------------------------
+
+_MERGE_SQL = _sql("""
+SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber,
+  CASE WHEN amount IN ('-888888888', '(X)', '') THEN NULL ELSE amount END AS amount,
+  label, '2015' AS Year FROM raw
+UNION ALL BY NAME
+SELECT CAST(o_orderkey AS VARCHAR) AS l_orderkey, o_orderpriority AS priority,
+  o_orderstatus AS label, '2016' AS Year FROM orders
+UNION ALL BY NAME
+SELECT CAST(c_custkey AS VARCHAR) AS l_orderkey, c_mktsegment AS label, 'Unknown' AS Year FROM customer
+""")
+
+
+@query("merge_folder", _MERGE_SQL)
+def q_merge_folder(spark, sf_dir):
+    """Three folders with other headers (one without a year in its path) and
+    one JSON folder that the ``*.csv`` pattern must skip."""
+    from raw2clean.plans.jobs import merge_folder
+    base = io.work_dir(spark, "survey")
+    r = raw(spark, sf_dir)
+    io.write_table(r.select(
+        "l_orderkey", "l_linenumber", "amount", "label",
+        F.when(F.col("l_orderkey") % 2 == 0, "(X)").otherwise("-888888888").alias("flag")),
+        f"{base}/acs_a_2015", fmt="csv")
+    o = table(spark, sf_dir, "orders")
+    io.write_table(o.select(F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("label"),
+                            F.col("o_orderkey").alias("l_orderkey")),
+                   f"{base}/acs_b_2016", fmt="csv")
+    c = table(spark, sf_dir, "customer")
+    io.write_table(c.select(F.col("c_mktsegment").alias("label"), F.col("c_custkey").alias("l_orderkey")),
+                   f"{base}/other", fmt="csv")
+    io.write_table(o.select("o_orderkey"), f"{base}/acs_c_2017", fmt="json")
+    return merge_folder(spark, base)
+
+
+# --- a stream of CSV files through the same rules ------------------------------------------
+
+_STREAM_SQL = _sql("""SELECT * FROM (SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey,
+ CAST(l_linenumber AS VARCHAR) AS l_linenumber,
+ CASE WHEN code IN ('1', '2', '3', '4') THEN code ELSE NULL END AS code,
+ CASE WHEN try_cast(amount AS DOUBLE) >= 0 OR amount IN ('NA', 'EXEMPT') THEN amount ELSE NULL END AS amount,
+ CASE WHEN label IN ('Male', 'Female') THEN label WHEN label = 'Not applicable' THEN 'NA' ELSE NULL END AS label
+ FROM raw) t WHERE COALESCE(l_orderkey, l_linenumber, code, amount, label) IS NOT NULL""")
+
+
+@query("stream_clean", _STREAM_SQL)
+def q_stream_clean(spark, sf_dir):
+    from raw2clean.streaming.stream import clean_stream, run_available
+    base = io.work_dir(spark, "stream")
+    io.write_table(raw(spark, sf_dir), f"{base}/in", fmt="csv")
+    rules = RuleSet({
+        "l_orderkey": R.passthrough(), "l_linenumber": R.passthrough(),
+        "code": R.keep_codes(["1", "2", "3", "4"]),
+        "amount": R.numeric(low=0, sentinels=["NA", "EXEMPT"]),
+        "label": R.keep_and_relabel(["Male", "Female"], {"Not applicable": "NA"}),
+    })
+    stream = clean_stream(spark, f"{base}/in", rules, columns=raw(spark, sf_dir).columns)
+    run_available(stream, f"{base}/out", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out")

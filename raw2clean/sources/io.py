@@ -82,9 +82,10 @@ def first_row_in_file_order(df: DataFrame) -> list:
     """
     cols = df.columns
     packed = F.struct(*[as_column(c).alias(f"f{i}") for i, c in enumerate(cols)])
-    order = F.struct(F.col("_metadata.file_path"), F.monotonically_increasing_id())
-    row = (df.where(F.col("_metadata.file_block_start") == 0)
-             .agg(F.min_by(packed, order).alias("r")).first())
+    firsts = df.where(F.col("_metadata.file_block_start") == 0).select(
+        packed.alias("row"), F.col("_metadata.file_path").alias("p"),
+        F.monotonically_increasing_id().alias("rid"))
+    row = firsts.agg(F.min_by("row", F.struct("p", "rid")).alias("r")).first()
     if row is None or row["r"] is None:
         return []
     return [row["r"][f"f{i}"] for i in range(len(cols))]
@@ -147,8 +148,9 @@ def header_lines(spark: SparkSession, files: list[str]) -> dict[str, str]:
         return {}
     lines = (spark.read.text(files)
              .where(F.col("_metadata.file_block_start") == 0)
-             .groupBy(F.col("_metadata.file_path").alias("p"))
-             .agg(F.min_by("value", F.monotonically_increasing_id()).alias("h")))
+             .select("value", F.col("_metadata.file_path").alias("p"),
+                     F.monotonically_increasing_id().alias("rid"))
+             .groupBy("p").agg(F.min_by("value", "rid").alias("h")))
     return {r["p"]: r["h"] for r in lines.collect()}
 
 
