@@ -92,7 +92,7 @@ def keep_codes(values: Iterable[str], ignore_case: bool = False) -> Rule:
             return _keep_if(F.lower(s).isin([v.lower() for v in values]), as_column(c))
         return _keep_if(_in(s, values), as_column(c))
 
-    return Rule("keep_codes", build, args=(values,))
+    return Rule("keep_codes", build, args=(values, ignore_case))
 
 
 # R3 ---------------------------------------------------------------------

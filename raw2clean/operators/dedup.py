@@ -11,6 +11,7 @@ per map partition across the network, not a third of the table.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,12 +19,25 @@ from pyspark.sql import functions as F
 from raw2clean.functions.rules import as_column
 
 _SURVIVOR = "__survivor"
+_COUNT = "__rows"
 _RANK = "__rank"
 
 
-def distinct_rows(df: DataFrame) -> DataFrame:
-    """One row per distinct row."""
-    return df.distinct()
+def distinct_rows(df: DataFrame, drop_all_null: bool = False) -> DataFrame:
+    """One row per distinct row.
+
+    ``drop_all_null=True`` also drops the row in which every column is NULL
+    (P1), after the aggregate: all such rows fall into one group. The filter
+    reads the group's row count, so Catalyst keeps it above the aggregate
+    instead of pushing it through the projection below, where it would
+    evaluate every column expression (every cleaning rule) a second time.
+    """
+    if not drop_all_null:
+        return df.distinct()
+    cols = [as_column(c) for c in df.columns]
+    all_null = reduce(lambda a, b: a & b, [c.isNull() for c in cols])
+    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(_COUNT))
+    return groups.where(~all_null | (F.col(_COUNT) < 0)).drop(_COUNT)
 
 
 def dedup_by_key(df: DataFrame, keys: Iterable[str], order: Iterable[str] | None = None,

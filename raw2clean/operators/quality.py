@@ -158,7 +158,7 @@ def evaluate(df: DataFrame, rules: Sequence[QualityRule]) -> DataFrame:
 
 
 def profile(df: DataFrame, columns: Iterable[str] | None = None,
-            distinct: str = "exact", rsd: float = 0.01) -> DataFrame:
+            distinct: str = "exact", rsd: float = 0.05) -> DataFrame:
     """D3: statistics of every column, one row each (``AllStatistics of AllColumns``).
 
     One aggregate pass gives the per-column statistics. ``distinct="exact"``

@@ -39,10 +39,10 @@ def clean(df: DataFrame, rules: RuleSet, dedup_keys: Sequence[str] | None = None
     one row per distinct row. The legacy 2007 job ran ``distinct`` and then a
     key dedup; the key dedup alone gives the same rows, with one shuffle.
     """
-    out = drop_empty_rows(rules.apply(df, on_missing=on_missing))
+    out = rules.apply(df, on_missing=on_missing)
     if dedup_keys:
-        return dedup_by_key(out, dedup_keys, method=dedup_method)
-    return distinct_rows(out)
+        return dedup_by_key(drop_empty_rows(out), dedup_keys, method=dedup_method)
+    return distinct_rows(out, drop_all_null=True)
 
 
 def run_clean(spark: SparkSession, year: str | int, in_path: str, out_path: str | None = None,

@@ -608,3 +608,167 @@ def q_stream_clean(spark, sf_dir):
     stream = clean_stream(spark, f"{base}/in", rules, columns=raw(spark, sf_dir).columns)
     run_available(stream, f"{base}/out", f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/out")
+
+
+# --- the era presets (R21 over 23 to 99 columns) on loan-layout tables ----------------------
+#
+# Each input column of an era is filled from every lineitem row with one of
+# seventeen kinds of text (codes, sentinels, numbers, negatives, decimals,
+# ranges, labels, blanks, NULL), chosen per row and column. The same SQL
+# expressions build the table in Spark and in DuckDB.
+
+_LOAN_VALUES = [
+    "CAST(l_linenumber AS STRING)",
+    "CAST(l_suppkey % 10 AS STRING)",
+    "'NA'",
+    "'EXEMPT'",
+    "NULL",
+    "CAST(l_partkey AS STRING)",
+    "CAST(0 - l_suppkey AS STRING)",
+    "CONCAT(CAST(l_partkey AS STRING), '.', LPAD(CAST(l_suppkey % 100 AS STRING), 2, '0'))",
+    "'Not applicable'",
+    "CONCAT(CAST(l_linenumber * 10 + 5 AS STRING), '-', CAST(l_linenumber * 10 + 14 AS STRING))",
+    "CASE l_suppkey % 5 WHEN 0 THEN 'Male' WHEN 1 THEN 'White' WHEN 2 THEN 'Exempt' "
+    "WHEN 3 THEN 'Conventional:First Lien' ELSE 'Not Hispanic or Latino' END",
+    "''",
+    "CAST(l_orderkey * 1000 + l_suppkey AS STRING)",
+    "CAST(l_partkey % 100 AS STRING)",
+    "'8888'",
+    "CONCAT('0', CAST(l_suppkey % 100 AS STRING))",
+    "CONCAT('06037', LPAD(CAST(l_partkey AS STRING), 6, '0'))",
+]
+
+
+def _loan_value_sql(i: int) -> str:
+    whens = " ".join(f"WHEN {k} THEN {v}" for k, v in enumerate(_LOAN_VALUES))
+    return f"CASE (l_orderkey + 3 * l_linenumber + {7 * i}) % {len(_LOAN_VALUES)} {whens} END"
+
+
+def loan_table(spark: SparkSession, sf_dir: str, era: str) -> DataFrame:
+    from raw2clean.plans.presets import preset
+    cols = preset(era).inputs
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        *[f"{_loan_value_sql(i)} AS `{c}`" for i, c in enumerate(cols)])
+
+
+def _q(c: str) -> str:
+    return '"' + c.replace('"', '""') + '"'
+
+
+def _lit(v) -> str:
+    return "'" + str(v).replace("'", "''") + "'"
+
+
+def _in(c: str, values) -> str:
+    return f"{c} IN ({', '.join(_lit(v) for v in values)})"
+
+
+def duck_rule_sql(rule, out: str) -> str:
+    """The DuckDB SQL of one rule: written per rule kind from the rule's data."""
+    ins = [_q(c) for c in rule.input_columns(out)]
+    c = ins[0]
+    k, a = rule.kind, rule.args
+    num = f"try_cast({c} AS DOUBLE)"
+    if k == "passthrough":
+        return c
+    if k == "keep_codes":
+        values, ignore_case = a
+        cond = _in(f"lower({c})", [v.lower() for v in values]) if ignore_case else _in(c, values)
+        return f"CASE WHEN {cond} THEN {c} END"
+    if k == "keep_and_relabel":
+        values, relabel = a
+        whens = " ".join(f"WHEN {c} = {_lit(o)} THEN {_lit(n)}" for o, n in relabel)
+        return f"CASE WHEN {_in(c, values)} THEN {c} {whens} END"
+    if k == "text_without_digits":
+        return f"CASE WHEN regexp_matches({c}, '^[^0-9]+$') THEN {c} END"
+    if k == "digits":
+        (sent,) = a
+        cond = f"regexp_matches({c}, '^[0-9]+$')" + (f" OR {_in(c, sent)}" if sent else "")
+        return f"CASE WHEN {cond} THEN {c} END"
+    if k == "numeric":
+        low, high, sent = a
+        cond = f"{num} IS NOT NULL"
+        if low is not None:
+            cond += f" AND {num} >= {float(low)}"
+        if high is not None:
+            cond += f" AND {num} <= {float(high)}"
+        if sent:
+            cond = f"({cond}) OR {_in(c, sent)}"
+        return f"CASE WHEN {cond} THEN {c} END"
+    if k == "integer_text":
+        (lengths,) = a
+        return (f"CASE WHEN try_cast(regexp_replace(trim({c}), '[.][0-9]*$', '') AS BIGINT) IS NOT NULL "
+                f"AND length({c}) IN ({', '.join(str(n) for n in lengths)}) THEN {c} END")
+    if k == "text_length":
+        mn, exact, sent, charset, like, not_like = a
+        parts = ["TRUE"]
+        if mn is not None:
+            parts.append(f"length({c}) >= {mn}")
+        if exact is not None:
+            parts.append(f"length({c}) = {exact}")
+        if charset is not None:
+            parts.append(f"regexp_matches({c}, '^[{charset}]+$')")
+        if like is not None:
+            parts.append(f"{c} LIKE {_lit(like)}")
+        if not_like is not None:
+            parts.append(f"{c} NOT LIKE {_lit(not_like)}")
+        cond = " AND ".join(parts)
+        if sent:
+            cond = f"({cond}) OR {_in(c, sent)}"
+        return f"CASE WHEN {cond} THEN {c} END"
+    if k == "range_or_number":
+        sent, excl = a
+        cond = f"regexp_matches({c}, '^[0-9]+-[0-9]+$') OR {num} IS NOT NULL"
+        if sent:
+            cond += f" OR {_in(c, sent)}"
+        cond = f"({cond})"
+        if excl:
+            cond += f" AND NOT {_in(c, excl)}"
+        return f"CASE WHEN {cond} THEN {c} END"
+    if k == "tract_code":
+        (style,) = a
+        s, co, t = ins
+        if style == "truncate":
+            part = (f"CASE WHEN {t} LIKE '%.%' THEN CAST(CAST(trunc(try_cast({t} AS DOUBLE)) AS BIGINT) AS VARCHAR) "
+                    f"ELSE {t} END")
+        else:
+            part = (f"CASE WHEN NOT regexp_matches({t}, '^[0-9]+([.][0-9]*)?$') THEN NULL "
+                    f"WHEN {t} LIKE '%.%' THEN lpad(split_part({t}, '.', 1), 4, '0') || "
+                    f"rpad(substr(split_part({t}, '.', 2), 1, 2), 2, '0') ELSE {t} END")
+        return (f"CASE WHEN {s} IS NULL OR {co} IS NULL OR {t} IS NULL THEN NULL ELSE "
+                f"lpad({s}, 2, '0') || lpad({co}, 3, '0') || lpad({part}, 6, '0') END")
+    raise ValueError(f"no SQL for rule kind {k!r}")
+
+
+def _loan_oracle(era: str) -> str:
+    from raw2clean.plans.presets import DEDUP_KEYS_2007, preset
+    rs = preset(era)
+    cols = rs.inputs
+    src = ("WITH loans AS (SELECT " + ", ".join(f"{_loan_value_sql(i)} AS {_q(c)}" for i, c in enumerate(cols))
+           + " FROM lineitem),\n")
+    outs = [_q(o) for o in rs.outputs]
+    cleaned = ("cleaned AS (SELECT " + ", ".join(f"{duck_rule_sql(r, o)} AS {_q(o)}" for o, r in rs.items())
+               + " FROM loans WHERE " + " OR ".join(f"{_q(c)} IS NOT NULL" for c in cols) + ")\n")
+    # rows whose every OUTPUT is NULL are dropped
+    not_empty = f"COALESCE({', '.join(outs)}) IS NOT NULL"
+    if era != "2007":
+        return src + cleaned + f"SELECT DISTINCT * FROM cleaned WHERE {not_empty}"
+    keys = [_q(k) for k in DEDUP_KEYS_2007]
+    rest = [o for o in outs if o not in keys]
+    return (src + cleaned + f"SELECT {', '.join(outs)} FROM (SELECT *, row_number() OVER (PARTITION BY "
+            + ", ".join(keys) + " ORDER BY " + ", ".join(f"{r} NULLS FIRST" for r in rest)
+            + f") AS __rn FROM cleaned WHERE {not_empty}) t WHERE __rn = 1")
+
+
+def _register_loans(era: str) -> None:
+    def q(spark, sf_dir):
+        from raw2clean.plans.jobs import clean
+        from raw2clean.plans.presets import DEDUP_KEYS_2007, preset
+        keys = DEDUP_KEYS_2007 if era == "2007" else None
+        return clean(loan_table(spark, sf_dir, era), preset(era), dedup_keys=keys)
+    q.__name__ = f"q_clean_loans_{era}"
+    query(f"clean_loans_{era}", _loan_oracle(era))(q)
+
+
+for _era in ("2000", "2004", "2007", "2018"):
+    _register_loans(_era)
