@@ -34,9 +34,17 @@ def text(c: ColumnLike) -> Column:
     return as_column(c).cast("string")
 
 
+# Text that Spark's cast to double can read starts, after blanks and control
+# characters and an optional sign, with a digit, a point, "inf" or "nan" (any
+# case). Text that does not is not a number: it skips the cast, which would
+# raise and catch a Java exception inside the JVM for every such value.
+MAYBE_NUMBER = r"^[\x00-\x20]*[+-]?([0-9.]|[Ii][Nn][Ff]|[Nn][Aa][Nn])"
+
+
 def number(c: ColumnLike) -> Column:
     """The column parsed as a double, NULL where it is not a number."""
-    return text(c).try_cast("double")
+    s = text(c)
+    return F.when(s.rlike(MAYBE_NUMBER), s.try_cast("double"))
 
 
 @dataclass(frozen=True)
@@ -162,18 +170,23 @@ def numeric(low: float | None = None, high: float | None = None,
 
 # R11 --------------------------------------------------------------------
 
+WHOLE_NUMBER = r"^[+-]?[0-9]+([.][0-9]*)?$"
+
+
 def integer_text(lengths: Iterable[int]) -> Rule:
     """Keep whole numbers whose text has one of the given lengths.
 
     A fractional part is cut before the check, as a legacy (non-ANSI) cast
-    to bigint does: ``'12.7'`` counts as a whole number.
+    to bigint does: ``'12.7'`` counts as a whole number. Blanks around the
+    text are allowed; the whole part must fit a bigint.
     """
     lengths = tuple(int(n) for n in lengths)
 
     def build(c: ColumnLike) -> Column:
         s = text(c)
-        whole = F.regexp_replace(F.trim(s), r"[.][0-9]*$", "").try_cast("bigint")
-        return _keep_if(whole.isNotNull() & F.length(s).isin(list(lengths)), as_column(c))
+        t = F.trim(s)
+        whole = t.rlike(WHOLE_NUMBER) & F.substring_index(t, ".", 1).try_cast("bigint").isNotNull()
+        return _keep_if(F.length(s).isin(list(lengths)) & whole, as_column(c))
 
     return Rule("integer_text", build, args=(lengths,))
 

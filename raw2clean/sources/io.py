@@ -200,6 +200,19 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwri
         raise ValueError(f"unknown format {fmt!r}")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread rows round-robin over ``min_partitions`` tasks (default: the
+    cluster's cores) when the scan yields fewer partitions, so row-wise work
+    (the rules) uses every core. A Parquet file with one large row group is
+    read by one task however big it is. Inputs that already give enough
+    partitions, as any large input does, are returned unchanged: no shuffle.
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= n:
+        return df
+    return df.repartition(n)
+
+
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     """The first ``n`` rows (opt-in: it starts its own job)."""
     return df.limit(n)

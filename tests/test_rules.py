@@ -141,3 +141,21 @@ def test_rules_agree_across_ansi_modes(spark):
         out[mode] = [tuple(r) for r in df.select(*[r("c").alias(f"r{i}") for i, r in enumerate(rules)]).collect()]
     spark.conf.set("spark.sql.ansi.enabled", "true")
     assert out["true"] == out["false"]
+
+
+def test_number_guard_equals_plain_cast(ansi_spark):
+    from pyspark.sql import functions as F
+    values = [" 12 ", "1e3", "NaN", "nan", "inf", "-Infinity", "+INF", "\t5", "1d", "2f", ".5", "+.5",
+              "-0", "NA", "Nan", "N", "i", "x1", "", "0x1p3", "١٢", "1_000", " - 1", "--1", None]
+    df = one_col(ansi_spark, values)
+    got = df.select(R.number("c").alias("a"), F.col("c").try_cast("double").alias("b")).collect()
+    for v, r in zip(values, got):
+        a, b = r["a"], r["b"]
+        assert (a == b) or (a != a and b != b), (v, a, b)
+
+
+def test_integer_text_edges(ansi_spark):
+    rule = R.integer_text([2, 3, 4, 21])
+    got = apply_rule(ansi_spark, rule, ["12", " 12", "+12", "-12", "1.", ".5", "1.2.3", "1e3", "12ab",
+                                        "123456789012345678901"])
+    assert got == ["12", " 12", "+12", "-12", "1.", None, None, None, None, None]
