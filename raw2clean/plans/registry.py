@@ -773,3 +773,63 @@ def _register_loans(era: str) -> None:
 
 for _era in ("2000", "2004", "2007", "2018"):
     _register_loans(_era)
+
+
+# --- S11 alone: the year from each file's path ------------------------------------------------
+
+@query("year_from_file_name", _sql("""SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, code, '2015' AS Year FROM raw
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR) AS l_orderkey, o_orderstatus AS code, '2016' AS Year FROM orders
+UNION ALL SELECT CAST(c_custkey AS VARCHAR) AS l_orderkey, c_mktsegment AS code, 'Unknown' AS Year FROM customer"""))
+def q_year_from_file_name(spark, sf_dir):
+    base = io.work_dir(spark, "years")
+    io.write_table(raw(spark, sf_dir).select("l_orderkey", "code"), f"{base}/acs_x_2015", fmt="csv")
+    io.write_table(table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderstatus").alias("code")),
+        f"{base}/acs_x_2016", fmt="csv")
+    io.write_table(table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("l_orderkey"), F.col("c_mktsegment").alias("code")),
+        f"{base}/no_year", fmt="csv")
+    return io.read_table(spark, base, recursive=True, pattern="*.csv", year_column="Year")
+
+
+# --- the legacy quality jobs' own rule lists, on a fuel-station-shaped table --------------------
+
+_FUEL_SQL = (", q AS (SELECT amount AS \"intersection directions\", CAST(NULL AS VARCHAR) AS plus4, "
+             "label AS \"bd blends\", state_code AS \"cng station sells renewable natural gas\", "
+             "age AS \"cng total compression capacity\", "
+             "CASE WHEN amount = 'abc' THEN '' ELSE NULL END AS \"funding sources\", "
+             "tract AS \"cng fill type code\", county_code AS \"ev level2 evse num\", "
+             "CASE WHEN amount = '' THEN '' ELSE code END AS \"cng psi\" FROM raw)\n")
+
+
+def _fuel_frame(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    return r.select(
+        F.col("amount").alias("intersection directions"), F.lit(None).cast("string").alias("plus4"),
+        F.col("label").alias("bd blends"), F.col("state_code").alias("cng station sells renewable natural gas"),
+        F.col("age").alias("cng total compression capacity"),
+        F.when(F.col("amount") == "abc", "").alias("funding sources"),
+        F.col("tract").alias("cng fill type code"), F.col("county_code").alias("ev level2 evse num"),
+        F.when(F.col("amount") == "", "").otherwise(F.col("code")).alias("cng psi"))
+
+
+def _ne_sql(i: int, c: str) -> str:
+    qc = '"' + c + '"'
+    return _outcome_sql(i, f'ColumnValues "{c}" != EMPTY with threshold > 0',
+                        f"avg(CASE WHEN {qc} IS NULL OR {qc} = '' THEN 0.0 ELSE 1.0 END)", "> 0", "> 0")
+
+
+def _register_quality(name: str, columns: list[str], rules_fn) -> None:
+    def q(spark, sf_dir):
+        return quality.evaluate(_fuel_frame(spark, sf_dir), rules_fn())
+    q.__name__ = f"q_{name}"
+    query(name, _sql(_FUEL_SQL + " UNION ALL ".join(_ne_sql(i, c) for i, c in enumerate(columns))))(q)
+
+
+def _quality_jobs():
+    from raw2clean.plans import checks
+    _register_quality("quality_raw_table", checks.RAW_TABLE_COLUMNS, checks.raw_table_rules)
+    _register_quality("quality_processed_table", checks.PROCESSED_TABLE_COLUMNS, checks.processed_table_rules)
+
+
+_quality_jobs()

@@ -207,10 +207,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     read by one task however big it is. Inputs that already give enough
     partitions, as any large input does, are returned unchanged: no shuffle.
     """
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= n:
+    try:
+        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (Spark Connect): leave the plan as it is
         return df
-    return df.repartition(n)
+    return df if have >= n else df.repartition(n)
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
