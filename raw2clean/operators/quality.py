@@ -157,70 +157,118 @@ def evaluate(df: DataFrame, rules: Sequence[QualityRule]) -> DataFrame:
     return metrics.select(F.inline(F.array(*rows)))
 
 
+_NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+
+
 def profile(df: DataFrame, columns: Iterable[str] | None = None,
             distinct: str = "exact", rsd: float = 0.05) -> DataFrame:
     """D3: statistics of every column, one row each (``AllStatistics of AllColumns``).
 
-    One aggregate pass gives the per-column statistics. ``distinct="exact"``
-    adds one shuffle of (column, value) pairs, partially aggregated per task,
-    for exact distinct counts and uniqueness; ``"approx"`` uses
-    HyperLogLog++ in the same pass and leaves uniqueness NULL.
+    ``distinct="exact"`` (default): ONE scan. Rows unpivot into (column,
+    value) pairs, counted per pair with a partial aggregate before the
+    shuffle; every statistic then comes from that frequency table, so a
+    number is parsed once per distinct value instead of once per row. The
+    standard deviation is a second, stable pass over the same frequency
+    table (its shuffle is reused) with each column's mean, broadcast as one
+    row per column.
+
+    ``distinct="approx"``: one aggregate pass without a value shuffle;
+    HyperLogLog++ distinct counts, uniqueness left NULL.
     """
     columns = list(columns) if columns is not None else df.columns
+    if distinct == "exact":
+        return _profile_exact(df, columns)
+    if distinct == "approx":
+        return _profile_approx(df, columns, rsd)
+    raise ValueError(f"unknown distinct={distinct!r}")
+
+
+def _column_info(columns: Sequence[str], types: dict[str, str]) -> tuple[Column, Column, Column]:
+    """Name, type and is-numeric of column number ``i``, as expressions on ``i``."""
+    idx = F.col("i") + 1
+    names = F.element_at(F.array(*[F.lit(c) for c in columns]), idx)
+    tps = F.element_at(F.array(*[F.lit(types[c]) for c in columns]), idx)
+    numeric = F.element_at(F.array(*[F.lit(types[c].split("(")[0] in _NUMERIC_TYPES) for c in columns]), idx)
+    return names, tps, numeric
+
+
+def _profile_exact(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     types = dict(df.dtypes)
+    pairs = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("i"), as_column(c).cast("string").alias("v"))
+        for i, c in enumerate(columns)
+    ])))
+    freq = (pairs.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("d", number("v")).withColumn("len", F.length("v")))
+    n, v, d = F.col("n"), F.col("v"), F.col("d")
+    per = freq.groupBy("i").agg(
+        F.sum(n).alias("rows"),
+        F.sum(F.when(v.isNull(), n).otherwise(0)).alias("nulls"),
+        F.count(v).alias("distinct"),
+        F.sum(F.when(v.isNotNull() & (n == 1), 1).otherwise(0)).alias("singles"),
+        F.min(v).alias("smin"), F.max(v).alias("smax"),
+        F.min_by(v, d).alias("nmin"), F.max_by(v, d).alias("nmax"),
+        F.sum(n * d).alias("sum"),
+        F.sum(F.when(d.isNotNull(), n)).alias("num_n"),
+        F.min("len").alias("min_length"), F.max("len").alias("max_length"),
+    ).withColumn("mean", F.col("sum") / F.col("num_n"))
+    # second pass over the frequency table: sum of squared deviations (sums
+    # skip the NULLs of non-numbers). No filter here: one pushed below the
+    # aggregate would change the exchange and defeat its reuse.
+    means = per.select("i", "mean")
+    m2 = (freq.join(F.broadcast(means), "i")
+          .groupBy("i").agg(F.sum(n * (d - F.col("mean")) * (d - F.col("mean"))).alias("m2")))
+    # one row per column, also for a table without rows (bounded by the column count)
+    ids = df.sparkSession.range(len(columns)).select(F.col("id").cast("int").alias("i"))
+    out = ids.join(F.broadcast(per), "i", "left").join(F.broadcast(m2), "i", "left")
+    name, tp, is_num = _column_info(columns, types)
+    rows = F.coalesce(F.col("rows"), F.lit(0)).cast("long")
+    nn = rows - F.coalesce(F.col("nulls"), F.lit(0))
+    return out.select(
+        name.alias("column"), tp.alias("type"),
+        rows.alias("rows"), F.coalesce(F.col("nulls"), F.lit(0)).cast("long").alias("nulls"),
+        F.try_divide(nn, rows).alias("completeness"),
+        F.coalesce(F.col("distinct"), F.lit(0)).cast("long").alias("distinct"),
+        F.when(nn > 0, F.col("singles") / nn).alias("uniqueness"),
+        F.when(is_num, F.col("nmin")).otherwise(F.col("smin")).alias("min"),
+        F.when(is_num, F.col("nmax")).otherwise(F.col("smax")).alias("max"),
+        F.col("mean").alias("mean"),
+        F.when(F.col("num_n") > 1, F.sqrt(F.col("m2") / (F.col("num_n") - 1))).alias("stddev"),
+        F.col("sum").cast("double").alias("sum"),
+        F.col("min_length").cast("int").alias("min_length"),
+        F.col("max_length").cast("int").alias("max_length"),
+    )
+
+
+def _profile_approx(df: DataFrame, columns: Sequence[str], rsd: float) -> DataFrame:
+    types = dict(df.dtypes)
+    # parse each value once: the aggregates read these columns
+    proj = df.select(*[as_column(c).alias(f"c{i}") for i, c in enumerate(columns)],
+                     *[number(c).alias(f"d{i}") for i, c in enumerate(columns)],
+                     *[F.length(text(c)).alias(f"l{i}") for i, c in enumerate(columns)])
     aggs = [F.count(F.lit(1)).alias("rows")]
+    for i in range(len(columns)):
+        c, d, ln = F.col(f"c{i}"), F.col(f"d{i}"), F.col(f"l{i}")
+        aggs += [F.count(c).alias(f"nn{i}"), F.min(c).cast("string").alias(f"lo{i}"),
+                 F.max(c).cast("string").alias(f"hi{i}"), F.avg(d).alias(f"mean{i}"),
+                 F.stddev_samp(d).alias(f"sd{i}"), F.sum(d).alias(f"sum{i}"),
+                 F.min(ln).alias(f"ln{i}"), F.max(ln).alias(f"lx{i}"),
+                 F.approx_count_distinct(c, rsd).alias(f"dc{i}")]
+    stats = proj.agg(*aggs)
+    rows = []
     for i, c in enumerate(columns):
-        col, d, n = as_column(c), number(c), F.length(text(c))
-        aggs += [
-            F.count(col).alias(f"nn{i}"),
-            F.min(col).cast("string").alias(f"lo{i}"),
-            F.max(col).cast("string").alias(f"hi{i}"),
-            F.avg(d).alias(f"mean{i}"),
-            F.stddev_samp(d).alias(f"sd{i}"),
-            F.sum(d).alias(f"sum{i}"),
-            F.min(n).alias(f"ln{i}"),
-            F.max(n).alias(f"lx{i}"),
-        ]
-        if distinct == "approx":
-            aggs.append(F.approx_count_distinct(col, rsd).alias(f"dc{i}"))
-    stats = df.agg(*aggs)
-    per_col = []
-    for i, c in enumerate(columns):
-        per_col.append(F.struct(
-            F.lit(i).alias("i"), F.lit(c).alias("column"), F.lit(types[c]).alias("type"),
-            F.col("rows").alias("rows"),
-            (F.col("rows") - F.col(f"nn{i}")).alias("nulls"),
-            (F.col(f"nn{i}") / F.col("rows")).alias("completeness"),
-            (F.col(f"dc{i}") if distinct == "approx" else F.lit(None).cast("long")).alias("dc"),
+        rows.append(F.struct(
+            F.lit(c).alias("column"), F.lit(types[c]).alias("type"),
+            F.col("rows").alias("rows"), (F.col("rows") - F.col(f"nn{i}")).alias("nulls"),
+            F.try_divide(F.col(f"nn{i}"), F.col("rows")).alias("completeness"),
+            F.col(f"dc{i}").cast("long").alias("distinct"),
+            F.lit(None).cast("double").alias("uniqueness"),
             F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"),
             F.col(f"mean{i}").alias("mean"), F.col(f"sd{i}").alias("stddev"),
-            F.col(f"sum{i}").alias("sum"),
+            F.col(f"sum{i}").cast("double").alias("sum"),
             F.col(f"ln{i}").alias("min_length"), F.col(f"lx{i}").alias("max_length"),
         ))
-    rows = stats.select(F.inline(F.array(*per_col)))
-    if distinct == "approx":
-        return rows.select(*[_profile_col(f.name, rows) for f in PROFILE_SCHEMA.fields])
-    if distinct != "exact":
-        raise ValueError(f"unknown distinct={distinct!r}")
-    freq = value_frequencies(df, columns)
-    dist = freq.groupBy("i").agg(
-        F.count(F.lit(1)).alias("distinct"),
-        F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("singles"))
-    # both sides hold one row per column: a bounded broadcast
-    joined = rows.join(F.broadcast(dist), "i", "left")
-    return joined.select(*[_profile_col(f.name, joined, exact=True) for f in PROFILE_SCHEMA.fields])
-
-
-def _profile_col(name: str, frame: DataFrame, exact: bool = False) -> Column:
-    if name == "distinct":
-        e = F.coalesce(F.col("distinct"), F.lit(0)) if exact else F.col("dc")
-        return e.cast("long").alias("distinct")
-    if name == "uniqueness":
-        if not exact:
-            return F.lit(None).cast("double").alias("uniqueness")
-        nn = F.col("rows") - F.col("nulls")
-        return F.when(nn > 0, F.coalesce(F.col("singles"), F.lit(0)) / nn).alias("uniqueness")
-    return F.col(name).cast(PROFILE_SCHEMA[name].dataType).alias(name)
+    return stats.select(F.inline(F.array(*rows)))
 
 
 def value_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -569,6 +569,12 @@ def q_merge_folder(spark, sf_dir):
     one JSON folder that the ``*.csv`` pattern must skip."""
     from raw2clean.plans.jobs import merge_folder
     base = io.work_dir(spark, "survey")
+    write_survey_folders(spark, sf_dir, base)
+    return merge_folder(spark, base)
+
+
+def write_survey_folders(spark, sf_dir, base):
+    """Folders of CSV files with different headers below ``base``."""
     r = raw(spark, sf_dir)
     io.write_table(r.select(
         "l_orderkey", "l_linenumber", "amount", "label",
@@ -582,7 +588,6 @@ def q_merge_folder(spark, sf_dir):
     io.write_table(c.select(F.col("c_mktsegment").alias("label"), F.col("c_custkey").alias("l_orderkey")),
                    f"{base}/other", fmt="csv")
     io.write_table(o.select("o_orderkey"), f"{base}/acs_c_2017", fmt="json")
-    return merge_folder(spark, base)
 
 
 # --- a stream of CSV files through the same rules ------------------------------------------

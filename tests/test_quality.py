@@ -68,3 +68,19 @@ def test_run_checks_names(spark):
     res = Q.run_checks(_frame(spark), [Q.non_empty("n")], statistics=True)
     assert set(res) == {"rule_outcomes", "statistics"}
     assert res["rule_outcomes"].count() == 1 and res["statistics"].count() == 3
+
+
+def test_profile_of_empty_table(spark):
+    df = spark.createDataFrame([], "a string, b int")
+    for mode in ("exact", "approx"):
+        p = {r["column"]: r for r in Q.profile(df, distinct=mode).collect()}
+        assert set(p) == {"a", "b"} and p["a"]["rows"] == 0 and p["a"]["distinct"] in (0, None)
+
+
+def test_profile_typed_min_max(spark):
+    df = spark.createDataFrame([(9, 1.5), (10, -2.0), (None, None)], "a int, b double")
+    for mode in ("exact", "approx"):
+        p = {r["column"]: r for r in Q.profile(df, distinct=mode).collect()}
+        assert (p["a"]["min"], p["a"]["max"]) == ("9", "10")
+        assert (p["b"]["min"], p["b"]["max"]) == ("-2.0", "1.5")
+        assert p["a"]["type"] == "int" and p["a"]["nulls"] == 1
