@@ -49,7 +49,9 @@ def dedup_by_key(df: DataFrame, keys: Iterable[str], order: Iterable[str] | None
 
     * ``"min_struct"`` (default): ``groupBy(keys).agg(min(struct(rest)))``,
       with a partial aggregate before the shuffle;
-    * ``"row_number"``: ``row_number()`` over the key, equal survivor;
+    * ``"row_number"``: ``row_number()`` over the key, equal survivor (with
+      dozens of keys over a wide rule projection, Catalyst's constraint
+      propagation can stall planning; ``min_struct`` does not have this);
     * ``"any"``: ``dropDuplicates`` as the legacy job did; which row survives
       is not defined.
     Output columns keep the input order.
