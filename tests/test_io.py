@@ -115,3 +115,11 @@ def test_work_dir_under_checkpoint_dir(spark):
     d = io.work_dir(spark, "x")
     base = spark.sparkContext.getCheckpointDir()
     assert base and d.startswith(base.rstrip("/"))
+
+
+def test_spread_only_when_coarse(spark):
+    coarse = spark.range(100).coalesce(1)
+    spread = io.spread(coarse, min_partitions=4)
+    assert spread.rdd.getNumPartitions() == 4 and spread.count() == 100
+    wide = spark.range(100).repartition(8)
+    assert io.spread(wide, min_partitions=4) is wide
