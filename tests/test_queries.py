@@ -7,9 +7,10 @@ import pytest
 
 import __spark_entry__ as E
 from compare import digest, duck
+from raw2clean.plans import registry
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(E.queries())
+NAMES = sorted(registry.Q)
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +25,8 @@ def test_entry(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(registry.ORACLE_SQL) == set(registry.Q)
+    assert set(registry.Q) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
