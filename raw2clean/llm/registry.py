@@ -6,12 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from raw2clean.llm.op01_toxicity import op1_toxicity
 from raw2clean.llm.op02_token_counts import op2_token_counts
 from raw2clean.llm.op03_byte_bpe import op3_byte_bpe
+from raw2clean.llm.op04_topk import OP4_SQL, op4_topk
+from raw2clean.llm.op05_quality import op5_quality
+from raw2clean.llm.op07_line_dedup import OP7_SQL, op7_line_dedup
+from raw2clean.llm.op08_fingerprints import op8_fingerprints
+from raw2clean.llm.op09_url_filter import OP9_SQL, op9_url_filter
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_topk": op4_topk,
+    "op5_quality": op5_quality,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_fingerprints": op8_fingerprints,
+    "op9_url_filter": op9_url_filter,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_topk": OP4_SQL, "op7_line_dedup": OP7_SQL, "op9_url_filter": OP9_SQL}
