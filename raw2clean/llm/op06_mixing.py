@@ -6,7 +6,7 @@ source whose target is r times its size and a rest gives all its blocks r
 times, and for the rest the documents below a cut of the hash order. The cut is
 found by refining the one block that it lies in, level by level (each level
 is one small aggregate: ``BLOCKS`` sums a source), down to a few documents,
-which are then filled in by size.
+of which those are taken that fill the rest.
 
 The blocks to place are exact quotas by source. A tree over the output
 shards divides them: each node draws how many blocks of every source go left from the
@@ -34,7 +34,7 @@ MOST = 3                # times a source's size that its target may be
 BITS = 8                # of the hash order, at each level
 BLOCKS = 1 << BITS
 PLACE_BITS = 63
-FEW = 256               # documents that are filled in one by one
+FEW = 256               # documents that are filled in one by one, about
 SHARDS = 16
 SEED = 20
 
@@ -84,16 +84,22 @@ def split_quotas(quotas: Sequence[int], shards: int, seed: int = SEED) -> np.nda
 
 
 def _fill(sizes: list[tuple[int, int]], rest: int) -> list[int]:
-    """Places of the documents (place, size) that fill the rest, largest first where they fit; the last if it comes nearer."""
-    taken = []
-    for p, size in sorted(sizes, key=lambda x: (-x[1], x[0])):
+    """Places of the documents (place, size) that fill the rest: in order, those that fit; then the
+    one document more, or exchanged for one taken, that comes nearest."""
+    taken, spare = [], []
+    for p, size in sorted(sizes):
         if 0 < size <= rest:
             rest -= size
-            taken.append(p)
-    spare = [(s, p) for p, s in sizes if p not in set(taken) and s > 0]
-    if spare and (least := min(spare))[0] - rest < rest:
-        taken.append(least[1])
-    return taken
+            taken.append((p, size))
+        elif size:
+            spare.append((p, size))
+    if rest and spare:
+        out = [(None, 0), *taken]
+        off = np.abs(np.subtract.outer([s for _, s in spare], [s for _, s in out]) - rest)
+        i, j = np.unravel_index(off.argmin(), off.shape)
+        if off[i, j] < rest:
+            taken = [x for x in out[1:] if x != out[j]] + [spare[i]]
+    return [p for p, _ in taken]
 
 
 def _cuts(slim: DataFrame, rest: dict[int, int]) -> dict[int, tuple[int, list[int]]]:
@@ -108,26 +114,37 @@ def _cuts(slim: DataFrame, rest: dict[int, int]) -> dict[int, tuple[int, list[in
         for r in (inside.groupBy("no", F.shiftright("place", shift).bitwiseAND(BLOCKS - 1).alias("block"))
                   .agg(F.sum("size").alias("size"), F.count("*").alias("docs")).collect()):
             sums[r["no"]][r["block"]] = (r["size"], r["docs"])
-        few: dict[int, int] = {}
+        few: dict[int, tuple[int, int, int]] = {}   # the places from, to, and what to fill there
         for i in list(left):
             for block in range(BLOCKS):
                 size, docs = sums[i].get(block, (0, 0))
                 if size > left[i]:
-                    base[i] += block << shift
-                    if docs <= FEW or shift - BITS < 0:
-                        few[i] = left.pop(i)
                     break
                 left[i] -= size
             else:
                 out[i] = (base[i] + (BLOCKS << shift), [])
                 left.pop(i)
+                continue
+            if docs > FEW and shift >= BITS:
+                base[i] += block << shift
+                continue
+            lo = hi = block   # few enough: with neighbours up to about FEW documents
+            while docs < FEW and (lo > 0 or hi < BLOCKS - 1):
+                if hi < BLOCKS - 1:
+                    hi += 1
+                    docs += sums[i].get(hi, (0, 0))[1]
+                if lo > 0:
+                    lo -= 1
+                    left[i] += sums[i].get(lo, (0, 0))[0]
+                    docs += sums[i].get(lo, (0, 0))[1]
+            few[i] = (base[i] + (lo << shift), base[i] + ((hi + 1 << shift) - 1), left.pop(i))
         if few:
-            ends = stored(spark.createDataFrame([(i, base[i]) for i in few], "no int, base long"), "mix-few")
+            ends = stored(spark.createDataFrame([(i, a, b) for i, (a, b, _) in few.items()], "no int, a long, b long"), "mix-few")
             docs_of: dict[int, list[tuple[int, int]]] = {i: [] for i in few}
-            for r in (slim.join(ends, "no").where(F.shiftright("place", shift) == F.shiftright("base", shift))
+            for r in (slim.join(ends, "no").where(F.col("place").between(F.col("a"), F.col("b")))
                       .groupBy("no", "place").agg(F.sum("size").alias("size")).collect()):
                 docs_of[r["no"]].append((r["place"], r["size"]))
-            out |= {i: (base[i], _fill(docs_of[i], few[i])) for i in few}
+            out |= {i: (a, _fill(docs_of[i], r)) for i, (a, _, r) in few.items()}
         depth += 1
     return out
 
