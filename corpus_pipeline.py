@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from raw2clean.llm import op03_byte_bpe, op05_quality, op06_mixing, op07_line_dedup, op10_ngram_jaccard
-from raw2clean.llm.common import importable, read, stored
+from raw2clean.llm.common import as_struct, importable, read, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -54,11 +54,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     repeated = linked.where("n_shingles > 0").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
     if repeated.isEmpty():
         return kept
-    row = F.struct("text", F.struct(*[docs[c] for c in docs.columns])).alias("_row")
+    row = F.struct("text", as_struct(docs).alias("whole")).alias("_row")
     again = repeated.select(F.col("doc_id").alias("_again"))
     many = kept["doc_id"].cast("long").eqNullSafe(again["_again"])
-    one = kept.join(again, many, "left_semi").select(row).groupBy("_row.col2.doc_id").agg(F.min("_row").alias("_row"))
-    return kept.join(again, many, "left_anti").unionByName(one.select("_row.col2.*"))
+    one = kept.join(again, many, "left_semi").select(row).groupBy("_row.whole.doc_id").agg(F.min("_row").alias("_row"))
+    return kept.join(again, many, "left_anti").unionByName(one.select("_row.whole.*"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,6 +36,11 @@ def texts(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def as_struct(docs: DataFrame) -> Column:
+    """All columns of ``docs`` in one struct, out of the way of the names that an operator adds."""
+    return F.struct(*[docs["`" + c.replace("`", "``") + "`"].alias(c) for c in docs.columns])
+
+
 def crc_fold(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, mod ``n`` (a null id counts as the empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n

@@ -11,8 +11,9 @@ has begun to tell the positives in the unlabelled sample from the others by hear
 climbs back on that term alone (Kiryo et al., 2017).
 
 Both samples are bounded parameters: the first rows in a hash order of their
-ids. The prior is the share of toxic documents among the labelled ones of the
-training folds. Texts are scored where they lie; the model (at most ``WORDS``
+ids. The prior is the upper end of the 95 % interval of the share of toxic documents among
+the labelled ones of the training folds: one too low would call a word's presence in
+the unlabelled sample harmless. Texts are scored where they lie; the model (at most ``WORDS``
 word hashes and weights) is broadcast.
 """
 
@@ -133,7 +134,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = F
     train_rows = lambda df: df.where(F.col("doc_id").isNotNull() & (crc_fold(F.col("doc_id"), folds) != held))
     y = (train_rows(labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")))
          .where(F.col("y").isin(0, 1)).groupBy("doc_id").agg(F.max("y").alias("y")))
-    prior = y.agg(F.avg("y")).first()[0] or 0.0
+    share, n = y.agg(F.coalesce(F.avg("y"), F.lit(0.0)), F.count("*")).first()
+    prior = share + 1.96 * (share * (1 - share) / max(n, 1)) ** 0.5
     ids = train_rows(texts(docs).select("doc_id")).distinct()
     first = lambda df, n, seed: [r[0] for r in df.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(n).collect()]
     p, u = first(y.where("y = 1").select("doc_id"), positives, 1), first(ids, unlabelled, 2)

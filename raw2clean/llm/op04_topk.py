@@ -57,7 +57,8 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 def products(queries: np.ndarray, data: np.ndarray) -> np.ndarray:
     """Exact inner products of whole numbers, as int64; beyond a long, its ends."""
-    top = (np.abs(queries).max(initial=0) * np.abs(data).max(initial=0)) * max(1, queries.shape[1])
+    with np.errstate(over="ignore"):
+        top = (np.abs(queries).max(initial=0) * np.abs(data).max(initial=0)) * max(1, queries.shape[1])
     if top < 2.0 ** 53:
         return np.rint(queries @ data.T).astype(np.int64)
     whole = lambda m: np.array([[int(x) for x in r] for r in m], object).reshape(m.shape)
@@ -76,24 +77,27 @@ class Cells:
 
     def of(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The nearest pivot of each vector and the distance to it."""
-        d = np.stack([np.sqrt(np.square(v - p).sum(axis=1)) for p in self.pivots], axis=1)
+        with np.errstate(over="ignore"):
+            d = np.stack([np.sqrt(np.square(v - p).sum(axis=1)) for p in self.pivots], axis=1)
         cell = d.argmin(axis=1)
         return cell, d[np.arange(len(v)), cell]
 
     def wanted(self, q: np.ndarray, k: int) -> np.ndarray:
         """queries x cells: whether a cell can hold one of the k best of a query, itself not counted."""
-        base, norm = q @ self.pivots.T, np.sqrt(np.square(q).sum(axis=1))[:, None]
-        room = SLACK * (np.abs(base).max(initial=0) + norm.max(initial=0) * (1 + self.radius.max(initial=0)))
-        which = [c for c, near in enumerate(self.near) for _ in near]
-        far = np.array([d for near in self.near for d, _ in near])
-        count = np.array([m for near in self.near for _, m in near])
-        low = base[:, which] - norm * far
+        with np.errstate(all="ignore"):   # components near the largest double: bounds without a value bound nothing
+            base, norm = q @ self.pivots.T, np.sqrt(np.square(q).sum(axis=1))[:, None]
+            room = SLACK * (np.abs(base).max(initial=0) + norm.max(initial=0) * (1 + self.radius.max(initial=0)))
+            which = [c for c, near in enumerate(self.near) for _ in near]
+            far = np.array([d for near in self.near for d, _ in near])
+            count = np.array([m for near in self.near for _, m in near])
+            # scores end at the ends of a long, and so do the bounds
+            low = np.nan_to_num(np.minimum(base[:, which] - norm * far, float(LONG)), nan=-np.inf, neginf=-np.inf)
+            high = np.nan_to_num(np.maximum(base + norm * self.radius, float(-LONG - 1)) + room, nan=np.inf, posinf=np.inf)
         order = np.argsort(-low, axis=1, kind="stable")
-        sums = np.cumsum(count[order], axis=1)
-        reached = sums > k   # one row more than k, as the query itself may be among them
+        reached = np.cumsum(count[order], axis=1) > k   # one row more than k, as the query itself may be among them
         at = np.where(reached.any(axis=1), reached.argmax(axis=1), 0)
         least = np.where(reached.any(axis=1), low[np.arange(len(q)), order[np.arange(len(q)), at]], -np.inf)
-        return (base + norm * self.radius + room >= least[:, None]) & (self.radius >= 0)
+        return (high >= least[:, None]) & (self.radius >= 0)
 
 
 def _cells(distinct: DataFrame, k: int, n_pivots: int) -> dict[int, Cells]:
@@ -121,7 +125,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
     are all rows of the same length but the query's own id. Rows with a
     repeated id are candidates each; a repeated query id with another vector
     is answered for each of its vectors (equal ones once). Scores beyond a
-    long are given as its ends. Null ids take no part; other columns are not read.
+    long are its ends, and rank as such. Null ids take no part; other columns are not read.
     """
     spark = importable(vectors.sparkSession)
     rows = quantised(vectors, scale)

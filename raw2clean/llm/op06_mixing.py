@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raw2clean.llm.common import importable, read, stored
+from raw2clean.llm.common import as_struct, importable, read, stored
 
 WEIGHTS = (5, 2, 1)     # of the sources by code point, repeating, null last
 MOST = 3                # times a source's size that its target may be
@@ -231,7 +231,7 @@ def mixed(docs: DataFrame, mix: Mix, shards: int = SHARDS) -> DataFrame:
 
     The columns are those of ``docs``, extra ones too. ``mix`` is the plan over the same rows.
     """
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_mix_row"), docs["source"].cast("string").alias("_mix_source"),
+    rows = docs.select(as_struct(docs).alias("_mix_row"), docs["source"].cast("string").alias("_mix_source"),
                        place(docs["doc_id"].cast("long"), docs["source"].cast("string"), docs["text"].cast("string")).alias("_mix_place"))
     return (_placed(rows, mix, "_mix_source", "_mix_place", "_mix_to")
             .select("_mix_row", "_mix_place", F.posexplode("_mix_to").alias("_mix_copy", "_mix_shard"))

@@ -21,7 +21,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raw2clean.llm.common import read, stored
+from raw2clean.llm.common import as_struct, read, stored
 
 SPACES = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -92,7 +92,7 @@ class LineRuns:
 def _with_lines(docs: DataFrame) -> DataFrame:
     """id, th and lines beside the given columns, whose names are left alone: a struct holds them."""
     return docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        as_struct(docs).alias("row"),
         F.coalesce(docs["doc_id"].cast("long"), F.lit(SMALLEST)).alias("id"),
         F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text")).select(
         "row", "id", F.xxhash64("text").alias("th"), F.split("text", "\n", -1).alias("lines"))
