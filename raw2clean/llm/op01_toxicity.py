@@ -11,7 +11,8 @@ has begun to tell the positives in the unlabelled sample from the others by hear
 climbs back on that term alone (Kiryo et al., 2017).
 
 Both samples are bounded parameters: the first rows in a hash order of their
-ids. The prior is the upper end of the 95 % interval of the share of toxic documents among
+ids. Spark counts their words; only those that tell the samples apart, and
+their places in the sampled documents, reach the driver, which trains. The prior is the upper end of the 95 % interval of the share of toxic documents among
 the labelled ones of the training folds: one too low would call a word's presence in
 the unlabelled sample harmless. Texts are scored where they lie; the model (at most ``WORDS``
 word hashes and weights) is broadcast.
@@ -64,28 +65,12 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(f + self.bias, -700, 700)))
 
 
-def telling_words(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
-    """Words whose shares of documents in the two samples differ by ``LEAST_Z`` standard errors, the most telling first
-    up to ``WORDS``, sorted. Words that tell nothing would let the model learn its samples by heart."""
-    empty = np.zeros(0, np.uint64)
-    words, at = np.unique(np.concatenate([empty, *positive, *unlabelled]), return_inverse=True)
-    n = sum(map(len, positive))
-    p, u = (np.bincount(x, minlength=len(words)) for x in (at[:n], at[n:]))
-    pn, un = max(len(positive), 1), max(len(unlabelled), 1)
-    both = (p + u) / (pn + un)
-    z = np.abs(p / pn - u / un) / np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / pn + 1 / un))
-    telling = np.flatnonzero((p + u >= LEAST_DOCS) & (z >= LEAST_Z))
-    return np.sort(words[telling[np.lexsort((words[telling], -z[telling]))[:WORDS]]])
-
-
-def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = STEPS,
+def train(words: np.ndarray, positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = STEPS,
           rate: float = RATE, decay: float = DECAY) -> Model:
-    """The non-negative risk by Adam over both whole samples (lists of distinct word hashes)."""
-    empty = np.zeros(0, np.uint64)
-    words = telling_words(positive, unlabelled)
+    """The non-negative risk by Adam over both whole samples (lists of distinct word hashes), on the sorted ``words``."""
     prior = min(max(prior, 1e-4), 1 - 1e-4)
     if not positive or not unlabelled or not len(words):
-        return Model(empty, np.zeros(0), float(np.log(prior / (1 - prior))))
+        return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(prior / (1 - prior))))
 
     def sparse(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
         row, h = np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate(rows)
@@ -113,8 +98,11 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     return Model(words, w, float(b))
 
 
-def _sampled_words(docs: DataFrame, ids: DataFrame) -> dict[int, np.ndarray]:
-    """Distinct word hashes of the sampled documents; ``ids`` is bounded by the sample sizes, and so its broadcast."""
+def _sampled_words(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """doc_id, p, u (whether it is in either sample) and the distinct word hashes of each sampled document.
+
+    ``sample`` is bounded by the sample sizes, and so is its broadcast.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -123,9 +111,35 @@ def _sampled_words(docs: DataFrame, ids: DataFrame) -> dict[int, np.ndarray]:
             out = [np.unique(h[a:b]).view(np.int64) for a, b in zip(cuts, cuts[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.list_(pa.int64()))], ["doc_id", "words"])
 
-    found = (texts(docs).join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(run, "doc_id long, words array<long>")
+    found = (texts(docs).join(F.broadcast(sample), "doc_id", "left_semi").mapInArrow(run, "doc_id long, words array<long>")
              .groupBy("doc_id").agg(F.min("words").alias("words")))
-    return {r["doc_id"]: np.array(r["words"], np.int64).view(np.uint64) for r in stored(found, "sample").toLocalIterator()}
+    return stored(found.join(F.broadcast(sample), "doc_id"), "sample")
+
+
+def telling_words(sampled: DataFrame) -> np.ndarray:
+    """Words whose shares of documents in the two samples differ by ``LEAST_Z`` standard errors, the most telling
+    ``WORDS`` of them, sorted. Words that tell nothing would let the model learn its samples by heart."""
+    pn, un = (max(x or 0, 1) for x in sampled.agg(F.sum("p"), F.sum("u")).first())
+    both = (F.col("p") + F.col("u")) / (pn + un)
+    z = F.abs(F.col("p") / pn - F.col("u") / un) / F.sqrt(F.greatest(both * (1 - both), F.lit(1e-12)) * (1 / pn + 1 / un))
+    rows = (sampled.select(F.explode("words").alias("word"), "p", "u").groupBy("word").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+            .where(F.col("p") + F.col("u") >= LEAST_DOCS).withColumn("z", z).where(F.col("z") >= LEAST_Z)
+            .orderBy(F.desc("z"), "word").limit(WORDS).select("word").collect())
+    return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
+
+
+def _telling_only(sampled: DataFrame, words: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The telling words of each document of both samples: what the driver trains on."""
+    shipped = sampled.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [np.intersect1d(np.array(w, np.int64).view(np.uint64), shipped.value).view(np.int64) for w in batch.column("words").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("doc_id", "p", "u")] + [pa.array(kept, pa.list_(pa.int64()))],
+                                             ["doc_id", "p", "u", "words"])
+
+    rows = sampled.select("doc_id", "p", "u", "words").mapInArrow(run, "doc_id long, p int, u int, words array<long>").orderBy("doc_id").collect()
+    return tuple([np.array(r["words"], np.int64).view(np.uint64) for r in rows if r[c]] for c in ("p", "u"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = FOLDS, held: int = HELD,
@@ -140,9 +154,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = F
     first = lambda df, n, seed: [r[0] for r in df.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(n).collect()]
     p, u = first(y.where("y = 1").select("doc_id"), positives, 1), first(ids, unlabelled, 2)
     spark = docs.sparkSession
-    sample = spark.createDataFrame([(i,) for i in sorted({*p, *u})], "doc_id long")
-    words = _sampled_words(docs, sample)
-    return train([words[i] for i in p if i in words], [words[i] for i in u if i in words], prior)
+    in_p, in_u = set(p), set(u)
+    sampled = _sampled_words(docs, spark.createDataFrame([(i, int(i in in_p), int(i in in_u)) for i in sorted(in_p | in_u)],
+                                                         "doc_id long, p int, u int"))
+    words = telling_words(sampled)
+    return train(words, *_telling_only(sampled, words), prior)
 
 
 def score_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD, folds: int = FOLDS, held: int = HELD) -> DataFrame:

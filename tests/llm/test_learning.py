@@ -55,10 +55,11 @@ def test_non_negative_risk_beats_its_prior():
     common = [np.unique(rng.integers(1000, 1100, 8).astype(np.uint64)) for _ in range(1000)]
     positive = [np.union1d(word(7), c) for c in common[:100]]
     unlabelled = [np.union1d(word(7), c) if k % 10 == 0 else c for k, c in enumerate(common[100:])]
-    m = o1.train(positive, unlabelled, 0.1)
+    words = np.append(word(7), np.arange(1000, 1005).astype(np.uint64))   # what is left after telling_words, and a little noise
+    m = o1.train(words, positive, unlabelled, 0.1)
     rows = lambda s: (np.repeat(np.arange(len(s)), [len(x) for x in s]), np.concatenate(s), len(s))
     assert m.score(*rows(positive)).min() > 0.7 and m.score(*rows([c for k, c in enumerate(unlabelled) if k % 10])).max() < 0.3
-    assert o1.train([], unlabelled, 0.1).score(np.zeros(0, int), np.zeros(0, np.uint64), 2).round(6).tolist() == [0.1, 0.1]
+    assert o1.train(words, [], unlabelled, 0.1).score(np.zeros(0, int), np.zeros(0, np.uint64), 2).round(6).tolist() == [0.1, 0.1]
 
 
 def test_quality_on_held_out_documents(spark):
