@@ -5,11 +5,19 @@ documents with equal sets are one row, known by a 128-bit hash of the set), colu
 the n-grams. The overlaps of all pairs are the product of the matrix with its
 transpose; what is computed of it are the blocks that can hold a link:
 
-* Two sets that link share one of their ``n - ceil(share n) + 1`` first
-  n-grams in any one order of all n-grams. The order takes n-grams frequent
-  in the corpus last (a bounded table of them; any table gives the same links,
-  a good one fewer candidates). Only sets that share such an n-gram with
-  another set go on, each once, to the block of its candidate component.
+* Sizes fall into classes so wide that two sets that link lie in the same class or
+  in neighbours; a window is a class and the next. A window's sets link
+  only if they differ in at most d n-grams, its bound. Each set is cut into more than
+  d parts by a hash of its n-grams: a differing n-gram spoils one part, so
+  sets that link have equal parts. Sets with an equal part are candidates.
+  A part without any n-gram of its own (empty, or only n-grams frequent in
+  the corpus, of which a bounded table is kept) counts only for sets with many such
+  parts, as any others that link agree in another part as well.
+* A task sends each part's signature once, with the first set that has it; other
+  sets of the task that have it are tied to the first on the spot. So a
+  signature arrives at most once a task, however many sets share it.
+* Candidates that hang together form a component; each set goes on once, to the
+  block of its component. Sets without candidates go no further.
 * Components of many sets are cut into parts, and every pair of parts is a
   block, so no task holds more than two parts.
 * In a block, columns with equal entries are one weighted column. Overlaps
@@ -37,7 +45,7 @@ from raw2clean.llm.components import connected_components
 WIDTH, PERCENT = 4, 85
 FREQUENT = 65_536          # entries of the table of frequent n-grams
 FREQUENT_OUT = 8_192       # of them, from one task at most
-HELD = 4_000_000           # n-grams a task holds before it counts them
+HELD = 4_000_000           # n-grams or signatures a task holds before it counts or sends them
 PART_SETS, PART_GRAMS = 256, 2_000_000   # of a part of a large component
 SLICE = 4096               # columns of a slice
 
@@ -70,8 +78,20 @@ def set_key(grams: np.ndarray) -> bytes | None:
     return hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None
 
 
-def prefix_length(n: int, percent: int) -> int:
-    return n - (percent * n + 99) // 100 + 1 if n else 0
+def size_classes(percent: int, top: int) -> list[int]:
+    """Borders of the classes up to ``top``: sets that link lie in one class or in neighbours."""
+    borders = [1]
+    while borders[-1] <= top:
+        borders.append(max(borders[-1] + 1, 100 * (borders[-1] - 1) // percent + 1))
+    return [*borders, borders[-1] + 1, 100 * borders[-1] // percent + 2]
+
+
+def window_parts(percent: int, borders: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """For each window (class k and k + 1): the most n-grams in which sets that link differ, and its number of parts."""
+    k = np.arange(len(borders) - 2)
+    most = np.array(borders)[k + 1] + np.array(borders)[k + 2] - 2          # of the sizes of both sets together
+    differ = (100 - percent) * most // (100 + percent)
+    return differ, differ + 3 + differ // 20
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -86,19 +106,18 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
-def frequent_ngrams(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent n-grams of all documents, sorted, and their counts as the tasks have seen them.
+def frequent_ngrams(docs: DataFrame, width: int) -> np.ndarray:
+    """The most frequent n-grams of all documents, sorted.
 
     A task counts all its n-grams, ``HELD`` at a time, and keeps the most
-    frequent of what it has seen; counts may be low, which costs candidates, not links.
+    frequent of what it has seen; any table gives the same links, a good one fewer candidates.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, counts, waiting, held = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
 
         def counted(keep: int) -> tuple[np.ndarray, np.ndarray]:
-            g, at, c = np.unique(np.concatenate([np.zeros(0, np.uint64), *waiting]), return_inverse=True, return_counts=True)
-            del at
+            g, c = np.unique(np.concatenate([np.zeros(0, np.uint64), *waiting]), return_counts=True)
             both, at = np.unique(np.concatenate([grams, g]), return_inverse=True)
             total = np.bincount(at, np.concatenate([counts, c]), minlength=len(both)).astype(np.int64)
             top = np.flatnonzero(total >= 3)
@@ -116,33 +135,114 @@ def frequent_ngrams(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray
 
     rows = (texts(docs).select("text").mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
             .orderBy(F.desc("n"), "g").limit(FREQUENT).collect())
-    g, n = np.array([r["g"] for r in rows], np.int64).view(np.uint64), np.array([r["n"] for r in rows], np.int64)
-    order = np.argsort(g)
-    return g[order], n[order]
+    return np.sort(np.array([r["g"] for r in rows], np.int64).view(np.uint64))
+
+
+class Parts:
+    """The signatures of the parts of many sets at once."""
+
+    def __init__(self, frequent: np.ndarray, percent: int):
+        self.frequent, self.percent = frequent, percent
+        self.borders = size_classes(percent, 1 << 32)
+        self.differ, self.parts = window_parts(percent, self.borders)
+
+    def signatures(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The signatures, and the number of the set that each belongs to."""
+        n = np.array([len(s) for s in sets], np.int64)
+        grams = np.concatenate([np.zeros(0, np.uint64), *sets])
+        own = np.ones(len(grams), bool)
+        if len(self.frequent) and len(grams):
+            at = np.minimum(np.searchsorted(self.frequent, grams), len(self.frequent) - 1)
+            own = self.frequent[at] != grams
+        row = np.repeat(np.arange(len(sets)), n)
+        of_class = np.searchsorted(self.borders, n, side="right") - 1
+        out, of = [], []
+        for window in (of_class, of_class - 1):
+            # sets of a window without room to differ link only if they are equal: they are one row already
+            used = (window >= 0) & (n > 0)
+            used[used] = self.differ[window[used]] > 0
+            m = np.where(used, self.parts[np.maximum(window, 0)], 0)
+            base = np.cumsum(m) - m
+            total = int(m.sum())
+            if not total:
+                continue
+            inside = used[row]
+            g, r = grams[inside], row[inside]
+            part = base[r] + (g % m[r].astype(np.uint64)).astype(np.int64)
+            low = np.bincount(part, (g & np.uint64(0xFFFFFFFF)).astype(float), minlength=total)
+            high = np.bincount(part, (g >> np.uint64(32)).astype(float), minlength=total)
+            vacuous = np.bincount(part, own[inside], minlength=total) == 0
+            owner = np.repeat(np.arange(len(sets)), m)
+            many = np.bincount(owner, vacuous, minlength=len(sets)) >= m - self.differ[np.maximum(window, 0)]
+            kept = ~vacuous | many[owner]
+            place = mix(np.repeat(window, m).astype(np.uint64) << np.uint64(32) | (np.arange(total) - np.repeat(base, m)).astype(np.uint64))
+            out.append(mix(mix(low.astype(np.uint64) + place) + high.astype(np.uint64))[kept])
+            of.append(owner[kept])
+        return np.concatenate([np.zeros(0, np.uint64), *out]), np.concatenate([np.zeros(0, np.int64), *of])
+
+
+def tie(signatures: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each signature once with its smallest set, and the distinct ties (smallest set, other set) within equal ones."""
+    order = np.lexsort((sets, signatures))
+    signatures, sets = signatures[order], sets[order]
+    first = np.ones(len(signatures), bool)
+    first[1:] = signatures[1:] != signatures[:-1]
+    head = sets[np.maximum.accumulate(np.where(first, np.arange(len(sets)), 0))] if len(sets) else sets
+    ties = np.unique(np.stack([head, sets], axis=1)[head != sets], axis=0)
+    return signatures[first], sets[first], ties
+
+
+_TABLE = "uid long, doc_id long, n long, key binary, bucket int, signatures binary, sets binary, ties array<long>"
+
+
+def _part_table(docs: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
+    """Rows of documents (uid, doc_id, n, key), of signatures by bucket with their sets' uids, and of ties found in a task."""
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_ngrams(docs, width))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        parts, uid = Parts(frequent.value, percent), TaskContext.get().partitionId() << 36
+        found, of, held = [], [], 0
+
+        def record(many_rows: int, /, **columns: pa.Array) -> pa.RecordBatch:
+            kinds = {"uid": pa.int64(), "doc_id": pa.int64(), "n": pa.int64(), "key": pa.binary(), "bucket": pa.int32(),
+                     "signatures": pa.binary(), "sets": pa.binary(), "ties": pa.list_(pa.int64())}
+            return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(many_rows, k) for c, k in kinds.items()], list(kinds))
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            signatures, sets, ties = tie(np.concatenate([np.zeros(0, np.uint64), *found]), np.concatenate([np.zeros(0, np.int64), *of]))
+            bucket = (signatures >> np.uint64(40)) % np.uint64(buckets)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+            spans = [(b, order[i:j]) for b, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)) if i < j]
+            yield record(len(spans), bucket=pa.array([b for b, _ in spans], pa.int32()),
+                         signatures=pa.array([signatures[x].tobytes() for _, x in spans], pa.binary()),
+                         sets=pa.array([sets[x].tobytes() for _, x in spans], pa.binary()))
+            for k in range(0, len(ties), 10_000):
+                yield record(1, ties=pa.array([ties[k:k + 10_000].ravel().tolist()], pa.list_(pa.int64())))
 
-def _prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, n, key, k (the key's first eight bytes) and the first n-grams of each document's set."""
-    table = docs.sparkSession.sparkContext.broadcast(frequent_ngrams(docs, width))
+        for batch, sets in _sets(batches, width):
+            rows = np.arange(uid, uid + len(sets))
+            uid += len(sets)
+            yield record(len(sets), uid=pa.array(rows), doc_id=batch.column("doc_id"), n=pa.array([len(s) for s in sets], pa.int64()),
+                         key=pa.array([set_key(s) for s in sets], pa.binary()))
+            signatures, owner = parts.signatures(sets)
+            found.append(signatures)
+            of.append(rows[owner])
+            held += len(signatures)
+            if held >= HELD:
+                yield from sent()
+                found, of, held = [], [], 0
+        yield from sent()
 
-    def first(s: np.ndarray) -> np.ndarray:
-        g, n = table.value
-        p = prefix_length(len(s), percent)
-        if not len(g) or not len(s):
-            return s[:p]
-        at = np.minimum(np.searchsorted(g, s), len(g) - 1)
-        often = np.where(g[at] == s, n[at], 0)
-        return s[np.argsort(often, kind="stable")[:p]]   # s is sorted: ties by hash
+    return texts(docs).mapInArrow(run, _TABLE)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, sets in _sets(batches, width):
-            keys = [set_key(s) for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array([k and int.from_bytes(k[:8], "little", signed=True) for k in keys], pa.int64()), _lists([first(s) for s in sets])],
-                ["doc_id", "n", "key", "k", "prefix"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, n long, key binary, k long, prefix array<long>")
+def _tied(bucket: pa.Table) -> pa.Table:
+    """The ties of one bucket: sets of different tasks that share a signature."""
+    join = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in bucket.column(c).to_pylist()])
+    ties = tie(join("signatures", np.uint64), join("sets", np.int64))[2]
+    return pa.table({"u": pa.array(ties[:, 0]), "v": pa.array(ties[:, 1])})
 
 
 def linked_pairs(sets: list[np.ndarray], part: np.ndarray, percent: int) -> np.ndarray:
@@ -212,15 +312,20 @@ def link_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     empty table gives no rows.
     """
     spark = importable(docs.sparkSession)
-    table = stored(_prefixes(docs, width, percent), "prefixes")
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored_parts = stored(_part_table(docs, width, percent, buckets), "parts-of-sets")
+    table = stored_parts.where("uid is not null").select("uid", "doc_id", "n", "key")
     sets = table.where("key is not null")
 
-    # columns that two different sets share, and the sets in them
-    entries = sets.select("k", F.explode("prefix").alias("g"))
-    shared = entries.groupBy("g").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi")
-    edges = entries.join(shared.select("g", "lo"), "g").select(F.col("k").alias("u"), F.col("lo").alias("v")).distinct()
-    near = stored(connected_components(edges).select(F.col("node").alias("k"), F.col("label").alias("c")), "candidates")
-    chosen = stored(sets.select("key", "k", "n", "doc_id").join(near, "k").groupBy("key", "k", "c", "n").agg(F.min("doc_id").alias("doc_id")), "chosen")
+    # candidates: sets that share a part
+    pairs = stored_parts.where("ties is not null").select(F.explode(F.transform(
+        F.sequence(F.lit(0), F.size("ties") - 2, F.lit(2)), lambda i: F.struct(F.get("ties", i).alias("u"), F.get("ties", i + 1).alias("v")))).alias("t"))
+    edges = pairs.select("t.u", "t.v").unionByName(
+        stored_parts.where("bucket is not null").select("bucket", "signatures", "sets").groupBy("bucket").applyInArrow(_tied, "u long, v long"))
+    near = connected_components(edges).select(F.col("node").alias("uid"), F.col("label").alias("c"))
+    found = sets.join(near, "uid").groupBy("key").agg(F.min("c").alias("c"), F.min("n").alias("n"), F.min("doc_id").alias("doc_id"))
+    several = found.groupBy("c").agg(F.count("*").alias("m")).where("m > 1").select("c")   # else copies of one set
+    chosen = stored(found.join(several, "c"), "chosen")
     sizes = chosen.groupBy("c").agg(F.greatest(F.ceil(F.count("*") / PART_SETS), F.ceil(F.sum("n") / PART_GRAMS)).cast("int").alias("parts"))
     parts = stored(chosen.join(sizes, "c").select("key", "c", "parts"), "parts")
 

@@ -126,10 +126,40 @@ def test_blocked_product_is_the_plain_one():
                 assert got[a, b] == want
 
 
-def test_prefix_bound():
-    for n in range(1, 300):
-        p = o10.prefix_length(n, 85)
-        assert n - p + 1 == -(-85 * n // 100) and p >= 1
+@pytest.mark.parametrize("percent", [50, 85, 97])
+def test_sets_that_link_share_a_signature(percent):
+    """Also where most n-grams are frequent ones, and where sets are small."""
+    rnd, rng = random.Random(percent), np.random.default_rng(percent)
+    frequent = np.sort(rng.integers(1, 1 << 63, 300).astype(np.uint64))
+    parts = o10.Parts(frequent, percent)
+    for _ in range(1500):
+        n = rnd.choice((5, 8, 13, 40, 120, 400))
+        a = np.unique(np.concatenate([rng.choice(frequent, min(300, int(n * rnd.random()))), rng.integers(1, 1 << 63, n).astype(np.uint64)]))
+        drop = rnd.randint(0, max(1, len(a) * (100 - percent) // 100))
+        b = np.unique(np.concatenate([np.delete(a, rng.choice(len(a), min(drop, len(a) - 1), replace=False)), rng.integers(1, 1 << 63, rnd.choice((0, 0, 1, drop // 2))).astype(np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        if not np.array_equal(a, b) and 100 * both >= percent * (len(a) + len(b) - both):
+            signatures, of = parts.signatures([a, b])
+            assert np.intersect1d(signatures[of == 0], signatures[of == 1]).size, (len(a), len(b), both)
+
+
+def test_size_classes():
+    for percent in (50, 85, 100):
+        borders = o10.size_classes(percent, 5000)
+        assert all(x < y for x, y in zip(borders, borders[1:], strict=False))
+        differ, parts = o10.window_parts(percent, borders)
+        at = lambda n: int(np.searchsorted(borders, n, side="right")) - 1
+        for n in range(1, 3000, 7):
+            most = 100 * n // percent
+            assert at(most) <= at(n) + 1
+            assert (n + most) * (100 - percent) // (100 + percent) <= differ[at(n)] < parts[at(n)]
+
+
+def test_ties():
+    signatures, sets = np.array([5, 5, 9, 5, 9, 1], np.uint64), np.array([4, 2, 7, 2, 4, 1])
+    s, first, ties = o10.tie(signatures, sets)
+    assert s.tolist() == [1, 5, 9] and first.tolist() == [1, 2, 4] and ties.tolist() == [[2, 4], [4, 7]]
+    assert [x.tolist() for x in o10.tie(signatures[:0], sets[:0])] == [[], [], []]
 
 
 def test_connected_components(spark):
