@@ -13,9 +13,9 @@ transpose; what is computed of it are the blocks that can hold a link:
   A part without any n-gram of its own (empty, or only n-grams frequent in
   the corpus, of which a bounded table is kept) counts only for sets with many such
   parts, as any others that link agree in another part as well.
-* A task sends each part's signature once, with the first set that has it; other
-  sets of the task that have it are tied to the first on the spot. So a
-  signature arrives at most once a task, however many sets share it.
+* A task ties sets that share a signature on the spot, and sends each
+  signature once, with the first of the sets tied to the one that has it. So a
+  signature arrives once a task, however many sets share it.
 * Candidates that hang together form a component; each set goes on once, to the
   block of its component. Sets without candidates go no further.
 * Components of many sets are cut into parts, and every pair of parts is a
@@ -45,7 +45,7 @@ from raw2clean.llm.components import connected_components
 WIDTH, PERCENT = 4, 85
 FREQUENT = 65_536          # entries of the table of frequent n-grams
 FREQUENT_OUT = 8_192       # of them, from one task at most
-HELD = 4_000_000           # n-grams or signatures a task holds before it counts or sends them
+HELD = 1_500_000           # n-grams or signatures a task holds before it counts or sends them
 PART_SETS, PART_GRAMS = 256, 2_000_000   # of a part of a large component
 SLICE = 4096               # columns of a slice
 
@@ -192,6 +192,22 @@ def tie(signatures: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return signatures[first], sets[first], ties
 
 
+def forest_of(ties: np.ndarray) -> np.ndarray:
+    """A star for each component of the ties: (its smallest set, another of its sets), sorted by the other."""
+    ids, at = np.unique(ties, return_inverse=True)
+    a, b = at.reshape(-1, 2).T
+    label = np.arange(len(ids))
+    while True:
+        new, least = label.copy(), np.minimum(label[a], label[b])
+        np.minimum.at(new, a, least)
+        np.minimum.at(new, b, least)
+        new = new[new]
+        if np.array_equal(new, label):
+            other = label != np.arange(len(ids))
+            return np.stack([ids[label[other]], ids[other]], axis=1)
+        label = new
+
+
 _TABLE = "uid long, doc_id long, n long, key binary, bucket int, signatures binary, sets binary, ties array<long>"
 
 
@@ -211,6 +227,9 @@ def _part_table(docs: DataFrame, width: int, percent: int, buckets: int) -> Data
 
         def sent() -> Iterator[pa.RecordBatch]:
             signatures, sets, ties = tie(np.concatenate([np.zeros(0, np.uint64), *found]), np.concatenate([np.zeros(0, np.int64), *of]))
+            if len(ties := forest_of(ties)):   # sets tied here are one from now on: the first of them stands for all
+                at = np.minimum(np.searchsorted(ties[:, 1], sets), len(ties) - 1)
+                sets = np.where(ties[at, 1] == sets, ties[at, 0], sets)
             bucket = (signatures >> np.uint64(40)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
@@ -238,11 +257,26 @@ def _part_table(docs: DataFrame, width: int, percent: int, buckets: int) -> Data
     return texts(docs).mapInArrow(run, _TABLE)
 
 
-def _tied(bucket: pa.Table) -> pa.Table:
-    """The ties of one bucket: sets of different tasks that share a signature."""
-    join = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in bucket.column(c).to_pylist()])
-    ties = tie(join("signatures", np.uint64), join("sets", np.int64))[2]
-    return pa.table({"u": pa.array(ties[:, 0]), "v": pa.array(ties[:, 1])})
+def _tied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ties of a partition's buckets, sorted by bucket: sets of different tasks that share a signature.
+
+    One bucket is held at a time, and a forest of the ties so far.
+    """
+    join = lambda rows, c, kind: np.concatenate([np.frombuffer(x, kind) for r in rows for x in r.column(c).to_pylist()])
+    ties, bucket, rows = np.zeros((0, 2), np.int64), None, []
+
+    def with_bucket() -> np.ndarray:
+        return forest_of(np.concatenate([ties, tie(join(rows, "signatures", np.uint64), join(rows, "sets", np.int64))[2]])) if rows else ties
+
+    for batch in batches:
+        of = np.asarray(batch.column("bucket"))
+        cuts = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if a < b and of[a] != bucket:
+                ties, bucket, rows = with_bucket(), of[a], []
+            rows.append(batch.slice(a, b - a))
+    ties = with_bucket()
+    yield pa.RecordBatch.from_arrays([pa.array(ties[:, 0]), pa.array(ties[:, 1])], ["u", "v"])
 
 
 def linked_pairs(sets: list[np.ndarray], part: np.ndarray, percent: int) -> np.ndarray:
@@ -321,7 +355,8 @@ def link_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     pairs = stored_parts.where("ties is not null").select(F.explode(F.transform(
         F.sequence(F.lit(0), F.size("ties") - 2, F.lit(2)), lambda i: F.struct(F.get("ties", i).alias("u"), F.get("ties", i + 1).alias("v")))).alias("t"))
     edges = pairs.select("t.u", "t.v").unionByName(
-        stored_parts.where("bucket is not null").select("bucket", "signatures", "sets").groupBy("bucket").applyInArrow(_tied, "u long, v long"))
+        stored_parts.where("bucket is not null").select("bucket", "signatures", "sets")
+        .repartition(buckets // 4, "bucket").sortWithinPartitions("bucket").mapInArrow(_tied, "u long, v long"))
     near = connected_components(edges).select(F.col("node").alias("uid"), F.col("label").alias("c"))
     found = sets.join(near, "uid").groupBy("key").agg(F.min("c").alias("c"), F.min("n").alias("n"), F.min("doc_id").alias("doc_id"))
     several = found.groupBy("c").agg(F.count("*").alias("m")).where("m > 1").select("c")   # else copies of one set

@@ -160,6 +160,16 @@ def test_ties():
     s, first, ties = o10.tie(signatures, sets)
     assert s.tolist() == [1, 5, 9] and first.tolist() == [1, 2, 4] and ties.tolist() == [[2, 4], [4, 7]]
     assert [x.tolist() for x in o10.tie(signatures[:0], sets[:0])] == [[], [], []]
+    chain = np.array([[i, i + 1] for i in range(9, 40)] + [[3, 50], [50, 4]])
+    assert o10.forest_of(chain).tolist() == [[3, 4], *[[9, i] for i in range(10, 41)], [3, 50]]
+    assert o10.forest_of(np.zeros((0, 2), np.int64)).shape == (0, 2)
+
+
+@pytest.mark.parametrize("held", [1, 500])
+def test_ngram_join_of_many_flushes(spark, monkeypatch, held):
+    monkeypatch.setattr(o10, "HELD", held)
+    texts = near_copies(11, 150)
+    assert components_of(documents(spark, texts).repartition(6)) == brute_components(list(enumerate(texts)))
 
 
 def test_connected_components(spark):
