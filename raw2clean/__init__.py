@@ -21,7 +21,7 @@ from raw2clean.plans.ruleset import (
     RuleSet, cast_to_string, keep_one_column, non_negative, numeric_except, trim_strings,
 )
 from raw2clean.sources.io import (
-    list_files, preview, promote_header, read_table, write_table, year_from_text,
+    list_files, preview, promote_header, read_table, write_table, year_of_file,
 )
 
 __version__ = "0.1.0"

@@ -23,10 +23,10 @@ ColumnLike = str | Column
 
 
 def as_column(c: ColumnLike) -> Column:
-    """A column name (quoted as needed) or a Column."""
+    """A column by its plain name, whatever signs it holds, or a Column."""
     if isinstance(c, Column):
         return c
-    return F.col(f"`{c}`") if not c.startswith("`") else F.col(c)
+    return F.col("`" + c.replace("`", "``") + "`")
 
 
 def text(c: ColumnLike) -> Column:
@@ -251,19 +251,28 @@ def range_or_number(sentinels: Iterable[str] = (), exclude: Iterable[str] = ())
 DECIMAL = "^[0-9]+([.][0-9]*)?$"
 
 
+def _padded(s: Column, width: int) -> Column:
+    """Zeros before text up to ``width``; longer text gives NULL instead of losing its end."""
+    return F.when(F.length(s) <= width, F.lpad(s, width, "0"))
+
+
 def tract_code(state: str, county: str, tract: str, style: str = "fixed2") -> Rule:
     """An 11-character tract code: state (2) + county (3) + tract (6).
 
     NULL if any part is NULL. Styles for the tract part:
 
-    * ``"fixed2"`` (default): the tract is a decimal number of 4 + 2 digits,
-      ``1234.01`` -> ``123401``, ``9.1`` -> ``000910``; text without a point is
-      padded to 6; anything else gives NULL.
+    * ``"fixed2"`` (default): the tract is a number of at most 4 digits with at
+      most 2 decimals (further zeros at either end don't count), written as
+      4 + 2 digits: ``1234.01`` -> ``123401``, ``9.1`` -> ``000910``. Text
+      without a point is such a number too if it has up to 4 digits
+      (``1234`` -> ``123400``, the code of ``1234.00``); 5 or 6 digits are the
+      code itself (``12345`` -> ``012345``, its leading zero lost). Whatever
+      doesn't fit, a state of more than 2 or a county of more than 3
+      characters too, gives NULL: nothing is cut, so no two tracts share a code.
     * ``"truncate"``: the legacy result, in which the fraction is lost:
       text with a point becomes its whole part (``1234.01`` -> ``001234``),
-      other text is padded as it is (``NA`` -> ``0000NA``).
-
-    ``lpad`` cuts text longer than its width, in both engines.
+      other text is padded as it is (``NA`` -> ``0000NA``); ``lpad`` cuts
+      text longer than its width, in both engines.
     """
     if style not in ("fixed2", "truncate"):
         raise ValueError(f"unknown tract style {style!r}")
@@ -273,14 +282,12 @@ def tract_code(state: str, county: str, tract: str, style: str = "fixed2") -> Ru
         has_point = t.contains(".")
         if style == "truncate":
             part = F.when(has_point, number(t).try_cast("bigint").cast("string")).otherwise(t)
-        else:
-            whole = F.substring_index(t, ".", 1)
-            frac = F.substring(F.substring_index(t, ".", -1), 1, 2)
-            fixed = F.concat(F.lpad(whole, 4, "0"), F.rpad(frac, 2, "0"))
-            part = F.when(~t.rlike(DECIMAL), F.lit(None).cast("string")) \
-                .when(has_point, fixed).otherwise(t)
-        code = F.concat(F.lpad(s, 2, "0"), F.lpad(c, 3, "0"), F.lpad(part, 6, "0"))
-        return F.when(s.isNull() | c.isNull() | t.isNull(), F.lit(None).cast("string")) \
-            .otherwise(code)
+            code = F.concat(F.lpad(s, 2, "0"), F.lpad(c, 3, "0"), F.lpad(part, 6, "0"))
+            return F.when(s.isNull() | c.isNull() | t.isNull(), F.lit(None).cast("string")).otherwise(code)
+        whole = F.ltrim(F.substring_index(t, ".", 1), F.lit("0"))
+        decimals = F.when(has_point, F.rtrim(F.substring_index(t, ".", -1), F.lit("0"))).otherwise(F.lit(""))
+        number_code = F.when(F.length(decimals) <= 2, F.concat(_padded(whole, 4), F.rpad(decimals, 2, "0")))
+        part = F.when(t.rlike(DECIMAL), F.when(has_point | (F.length(t) <= 4), number_code).otherwise(_padded(t, 6)))
+        return F.concat(_padded(s, 2), _padded(c, 3), part)
 
     return Rule("tract_code", build, inputs=(state, county, tract), args=(style,))

@@ -9,12 +9,12 @@ driver; the rows themselves never do.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DataType, StringType
 
 from raw2clean.functions.rules import as_column
 
@@ -28,8 +28,8 @@ def drop_empty_rows(df: DataFrame) -> DataFrame:
 
 
 def null_sentinels(df: DataFrame, values: Iterable[str] = SURVEY_SENTINELS,
-                   subset: Iterable[str] | None = None) -> DataFrame:
-    """Listed values become NULL in string columns (as ``df.replace``)."""
+                   subset: Iterable[str] | None = None, extra: Mapping[str, Column] | None = None) -> DataFrame:
+    """Listed values become NULL in string columns (as ``df.replace``); ``extra`` columns are added as they are."""
     values = [str(v) for v in values]
     subset = set(subset) if subset is not None else None
     cols = []
@@ -38,7 +38,7 @@ def null_sentinels(df: DataFrame, values: Iterable[str] = SURVEY_SENTINELS,
         if isinstance(f.dataType, StringType) and (subset is None or f.name in subset) and values:
             c = F.when(c.isin(values), F.lit(None).cast("string")).otherwise(c)
         cols.append(c.alias(f.name))
-    return df.select(*cols)
+    return df.select(*cols, *[c.alias(name) for name, c in (extra or {}).items()])
 
 
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> tuple[int, dict[str, int]]:
@@ -95,53 +95,62 @@ def _distinct_exact(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
     return {c: got.get(i, 0) for i, c in enumerate(columns)}
 
 
-def distinct_counts(df: DataFrame, columns: Sequence[str], method: str = "exact",
-                    threshold: int | None = None, rsd: float = 0.05) -> dict[str, int]:
+def distinct_counts(df: DataFrame, columns: Sequence[str], method: str = "exact", rsd: float = 0.05) -> dict[str, int]:
     """Distinct (non-NULL) values per column.
 
-    ``method="approx"``: HyperLogLog++ (``approx_count_distinct``), one pass,
-    fixed-size buffers. ``method="exact"``: exact counts; with ``threshold``
-    set, a HyperLogLog pass first settles every column far from the threshold
-    and only columns near it get an exact count, so high-cardinality columns
-    (ids, amounts) are never shuffled value by value.
+    ``method="exact"``: one shuffle of the (column, value) pairs.
+    ``method="approx"``: HyperLogLog++ estimates, one pass, fixed-size buffers.
     """
     columns = list(columns)
     if not columns:
         return {}
-    if method == "approx" or (method == "exact" and threshold is not None):
+    if method == "approx":
         row = df.agg(*[F.approx_count_distinct(as_column(c), rsd).alias(f"c{i}")
                        for i, c in enumerate(columns)]).first()
-        approx = {c: row[f"c{i}"] for i, c in enumerate(columns)}
-        if method == "approx":
-            return approx
-        # Near the threshold (small counts) HLL++ runs as linear counting, with an
-        # error of a few percent; outside [t/2, 2t + 10] an estimate is many
-        # standard errors from t, so only columns inside get an exact count.
-        near = [c for c in columns if threshold / 2 <= approx[c] <= 2 * threshold + 10]
-        exact = _distinct_exact(df, near)
-        return {c: exact.get(c, approx[c]) for c in columns}
+        return {c: row[f"c{i}"] for i, c in enumerate(columns)}
     if method == "exact":
         return _distinct_exact(df, columns)
     raise ValueError(f"unknown method {method!r}")
 
 
+def more_distinct_than(df: DataFrame, columns: Sequence[str], threshold: int) -> dict[str, bool]:
+    """Whether each column holds more than ``threshold`` distinct values; exact, from counted values.
+
+    Estimates choose, per column, a share of the hash space in which about
+    four times ``threshold`` of its values lie; the distinct values of that
+    share are counted. More than ``threshold`` of them prove the column to be
+    above, so an ID-like column is never shuffled value by value. Columns not
+    proved so are counted in full: their estimate said that they are small.
+    """
+    columns = list(columns)
+    if not columns:
+        return {}
+    estimate = distinct_counts(df, columns, method="approx")
+    one_in = [max(1, estimate[c] // (4 * max(threshold, 1))) for c in columns]
+    share = F.element_at(F.array(*[F.lit(m) for m in one_in]), F.col("i") + 1)
+    part = (value_pairs(df, columns).where(F.pmod(F.xxhash64("v"), share) == 0).distinct()
+            .groupBy("i").agg(F.count(F.lit(1)).alias("n")))
+    seen = {r["i"]: r["n"] for r in part.collect()}   # one row per column
+    above = {c: seen.get(i, 0) > threshold for i, c in enumerate(columns)}
+    open_ = [c for c, m in zip(columns, one_in, strict=True) if m > 1 and not above[c]]
+    return above | {c: n > threshold for c, n in _distinct_exact(df, open_).items()}
+
+
 def blank_high_cardinality(df: DataFrame, prefix: str, threshold: int = 20,
                            method: str = "exact") -> DataFrame:
     """Columns whose name starts with ``prefix`` and that hold more than
     ``threshold`` distinct values are blanked (all NULL, same type). Checked
     columns move to the end, in their order; no match returns ``df``.
+    ``method="approx"`` decides by estimates.
     """
     checked = [c for c in df.columns if c.startswith(prefix)]
     if not checked:
         return df
-    counts = distinct_counts(df, checked, method=method,
-                             threshold=threshold if method == "exact" else None)
+    above = (more_distinct_than(df, checked, threshold) if method == "exact" else
+             {c: n > threshold for c, n in distinct_counts(df, checked, method=method).items()})
     types = dict(df.dtypes)
     others = [as_column(c) for c in df.columns if c not in checked]
-    blanked = [
-        (F.lit(None).cast(types[c]) if counts[c] > threshold else as_column(c)).alias(c)
-        for c in checked
-    ]
+    blanked = [(F.lit(None).cast(types[c]) if above[c] else as_column(c)).alias(c) for c in checked]
     return df.select(*others, *blanked)
 
 
@@ -149,15 +158,31 @@ def merge_by_name(frames: Sequence[DataFrame], by: str = "name") -> DataFrame |
     """Union of several tables; duplicates are kept.
 
     ``by="name"`` matches columns by name, a column absent from a table is
-    NULL there, and new columns are appended in order of appearance.
+    NULL there, and new columns are appended in order of appearance. Each
+    table is projected once to the columns of all, so the plan grows with the
+    number of tables, not with its square.
     ``by="position"`` is the legacy positional union (column counts must agree).
     Returns ``None`` for no tables.
     """
     frames = list(frames)
     if not frames:
         return None
-    if by == "name":
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     if by == "position":
         return reduce(lambda a, b: a.union(b), frames)
-    raise ValueError(f"unknown by={by!r}")
+    if by != "name":
+        raise ValueError(f"unknown by={by!r}")
+    key = str if frames[0].sparkSession.conf.get("spark.sql.caseSensitive") == "true" else str.lower
+    names: dict[str, str] = {}
+    types: dict[str, list[DataType]] = {}
+    for f in frames:
+        for field in f.schema.fields:
+            names.setdefault(key(field.name), field.name)
+            types.setdefault(key(field.name), []).append(field.dataType)
+    one = {k: t[0] if all(x == t[0] for x in t) else None for k, t in types.items()}
+
+    def projected(f: DataFrame) -> DataFrame:
+        own = {key(c): c for c in f.columns}
+        # types that differ are left to the union, which widens them
+        return f.select(*[as_column(own[k]).alias(n) if k in own else
+                          (F.lit(None) if one[k] is None else F.lit(None).cast(one[k])).alias(n) for k, n in names.items()])
+    return reduce(lambda a, b: a.union(b), [projected(f) for f in frames])

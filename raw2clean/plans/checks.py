@@ -1,7 +1,7 @@
 """The rule lists of the legacy quality jobs, held as data.
 
-* ``RAW_TABLE_RULES``: six "non-empty" rules on the raw fuel-station table.
-* ``PROCESSED_TABLE_RULES``: six on the processed table; one column is
+* ``raw_table_rules()``: six "non-empty" rules on the raw fuel-station table.
+* ``processed_table_rules()``: six on the processed table; one column is
   checked twice, and both outcome rows are kept.
 * The statistics job has no rules and asks for all statistics of all
   columns: ``run_checks(df, [], statistics=True)``.

@@ -28,7 +28,7 @@ from raw2clean.operators.shape import (
 )
 from raw2clean.plans.presets import DEDUP_KEYS_2007, YEAR_TO_ERA, preset
 from raw2clean.plans.ruleset import RuleSet
-from raw2clean.sources.io import group_by_header, list_files, read_table, write_table
+from raw2clean.sources.io import group_by_header, list_files, read_group, read_table, year_of_file, write_table
 
 
 def clean(df: DataFrame, rules: RuleSet, dedup_keys: Sequence[str] | None = None,
@@ -80,22 +80,23 @@ def merge_folder(spark: SparkSession, in_path: str, pattern: str = "*.csv",
     """U1/U2 with S3, S11, R15 and C2: all matching files below ``in_path``
     as one table.
 
-    Files are grouped by header line (one small job reads every file's first
-    line); each group is one parallel CSV scan; the groups are united by
-    column name. Columns with no value in any file are dropped with one
-    joint aggregate. A column dropped from some files only would be NULL for
-    those files' rows after a by-name union anyway, so one aggregate over the
-    united table gives the legacy per-file result without a job per file and
-    column. Returns ``None`` when no file matches.
+    Files are grouped by their header (read alone, a line of each file); each
+    group is one parallel CSV scan in which Spark checks every header; the
+    groups are united by column name. Columns with no value in any file are
+    dropped with one joint aggregate, so the data is read twice. A column
+    dropped from some files only would be NULL for those files' rows after a
+    by-name union anyway, so one aggregate over the united table gives the
+    legacy per-file result without a job per file and column. With
+    ``by="position"`` the columns of the first file name those of all. Returns ``None`` when
+    no file matches.
     """
     files = list_files(spark, in_path, pattern)
     if not files:
         return None
-    groups = group_by_header(spark, files) if by == "name" else [files]
-    frames = [
-        null_sentinels(read_table(spark, g, year_column=year_column), sentinels)
-        for g in groups
-    ]
+    groups = group_by_header(spark, files)
+    if not groups:   # files without any line
+        return None
+    frames = [null_sentinels(read_group(spark, columns, of), sentinels, extra={year_column: year_of_file(in_path)}) for columns, of in groups]
     merged = merge_by_name(frames, by=by)
     return drop_empty_columns(merged) if drop_empty else merged
 
@@ -114,11 +115,12 @@ def run_merge(spark: SparkSession, in_path: str, out_path: str | None = None,
 
 def run_quality(spark: SparkSession, in_path: str | DataFrame, rules: Sequence[QualityRule] = (),
                 statistics: bool = False, out_path: str | None = None, fmt: str = "json",
-                result: str = "rule_outcomes", distinct: str = "exact") -> DataFrame:
+                result: str = "rule_outcomes", distinct: str | Sequence[str] = "auto", **read) -> DataFrame:
     """A quality job: all-string CSV scan, rules and/or statistics, one result
     table picked by name (D5) and written as JSON (no compression) or
-    Parquet (snappy) when ``out_path`` is given."""
-    df = in_path if isinstance(in_path, DataFrame) else read_table(spark, in_path, recursive=True)
+    Parquet (snappy) when ``out_path`` is given. Further arguments go to
+    ``read_table``: ``schema`` (S4), ``sep``, ``quote``, ``pattern``, ..."""
+    df = in_path if isinstance(in_path, DataFrame) else read_table(spark, in_path, **{"recursive": True} | read)
     results = run_checks(df, rules, statistics=statistics, distinct=distinct)
     out = results[result]
     if out_path:

@@ -28,8 +28,9 @@ from raw2clean.functions.rules import (
 from raw2clean.plans.ruleset import RuleSet
 
 # ---------------------------------------------------------------------------
-# Code lists, labels, sentinels and patterns that must equal the
-# source jobs' for equal results. Written as in the source, in source order.
+# Fixed values, from here to the end of ``_era_2018``: column names, code lists,
+# labels, sentinels, bounds and patterns that must equal the source jobs' for
+# equal results. Written as in the source, in source order.
 # ---------------------------------------------------------------------------
 LITERAL_CLASS = "%[^A-Za-z]%"
 NA = ["NA"]
@@ -89,7 +90,6 @@ DEDUP_KEYS_2007 = [
     "tract_to_msamd_income", "number_of_owner_occupied_units",
     "number_of_1_to_4_family_units", "application_date_indicator",
 ]
-# ---------------------------------------------------------------------------
 
 
 def _codes(*values: str):

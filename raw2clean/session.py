@@ -8,6 +8,12 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+#: For jobs over dozens of rule columns. Whole-stage code of so many rules is one method too long for
+#: the JVM to compile (8,000 bytes of bytecode), or even for a class file, and runs interpreted; Spark's
+#: plain projection splits the rules into methods that are compiled. Measured in the README.
+WIDE_RULES = {"spark.sql.codegen.hugeMethodLimit": "8000", "spark.sql.codegen.maxFields": "64"}
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, ansi: bool | None = None,
                   app: str = "raw2clean") -> SparkSession:
     scratch = os.environ.get("RAW2CLEAN_SCRATCH") or tempfile.mkdtemp(prefix="raw2clean-")
@@ -23,6 +29,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, ansi: bool
          .config("spark.local.dir", os.path.join(scratch, "local"))
          .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
          .config("spark.checkpoint.dir", os.path.join(scratch, "checkpoint")))
+    for key, value in WIDE_RULES.items():
+        b = b.config(key, value)
     if ansi is not None:
         b = b.config("spark.sql.ansi.enabled", str(ansi).lower())
     spark = b.getOrCreate()

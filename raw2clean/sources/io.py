@@ -9,8 +9,11 @@ full extra read of the input and turns ``001`` into ``1``.
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 import uuid
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +25,9 @@ from raw2clean.functions.rules import as_column
 YEAR_PATTERN = r"_(\d{4})"
 YEAR_UNKNOWN = "Unknown"
 
+#: Small jobs (one line of one file each) that run at a time.
+HEADER_JOBS = 16
+
 
 def string_schema(columns: Iterable[str]) -> StructType:
     """A schema of nullable string columns (S4's declared all-string schema)."""
@@ -30,8 +36,11 @@ def string_schema(columns: Iterable[str]) -> StructType:
 
 def _csv_reader(spark: SparkSession, types: str = "string", schema: StructType | None = None,
                 header: bool = True, sep: str = ",", quote: str = '"', escape: str | None = None,
-                recursive: bool = False, pattern: str | None = None, multiline: bool = False):
+                recursive: bool = False, pattern: str | None = None, multiline: bool = False,
+                check_headers: bool = False):
     r = spark.read.option("header", header).option("sep", sep).option("quote", quote)
+    if check_headers:   # Spark then compares every file's header with the schema and fails on another
+        r = r.option("enforceSchema", False)
     if escape is not None:
         r = r.option("escape", escape)
     if schema is not None:
@@ -54,41 +63,71 @@ def read_table(spark: SparkSession, path: str | list[str], types: str = "string"
                quote: str = '"', escape: str | None = None, recursive: bool = False,
                pattern: str | None = None, multiline: bool = False,
                promote_first_row: bool = False, year_column: str | None = None,
-               year_pattern: str = YEAR_PATTERN, year_source: str = "path") -> DataFrame:
+               year_pattern: str = YEAR_PATTERN, year_source: str = "below",
+               check_headers: bool = False) -> DataFrame:
     """A CSV table with a header line.
 
     ``types="string"`` reads every column as text; ``"infer"`` runs Spark's
     inference pass (legacy behaviour); ``schema`` declares the columns.
     ``promote_first_row``: the real header is the first data row (S10, the
     2000 layout): it is found in file order and used as column names.
-    ``year_column``: add the year taken from each row's file path (S11).
+    ``check_headers``: fail where a file's header differs from the columns,
+    instead of reading it by position.
+    ``year_column``: add the year of each row's file (S11), looked for in its
+    name, then in the folders between it and what was read (``year_source=
+    "below"``), in its name alone (``"name"``) or in the whole path (``"path"``).
     """
-    reader = _csv_reader(spark, types, schema, header, sep, quote, escape, recursive, pattern, multiline)
+    reader = _csv_reader(spark, types, schema, header, sep, quote, escape, recursive, pattern, multiline, check_headers)
     df = reader.csv(path)
     if promote_first_row:
-        df = promote_header(df, header=first_row_in_file_order(df))
+        df = promote_header(df, header=first_row(reader, spark, path, pattern, recursive))
     if year_column:
-        src = "_metadata.file_path" if year_source == "path" else "_metadata.file_name"
-        df = df.withColumn(year_column, year_from_text(F.col(src), year_pattern))
+        df = df.withColumn(year_column, year_of_file(path, year_pattern, year_source))
     return df
 
 
-def first_row_in_file_order(df: DataFrame) -> list:
-    """The first data row of the first file (by path) of a file scan.
+def year_of_file(path: str | list[str], pattern: str = YEAR_PATTERN, source: str = "below") -> Column:
+    """The year in the name of a row's file, else in its folders below the read ``path``, else ``Unknown``."""
+    name = F.regexp_extract(F.col("_metadata.file_name"), pattern, 1)
+    if source == "name":
+        found = name
+    elif source == "path":
+        found = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
+    elif source == "below":
+        roots = sorted({_plain(p) for p in ([path] if isinstance(path, str) else path)}, key=len, reverse=True)
+        file = F.regexp_replace(F.try_url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))), "^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
+        below = F.lit("")
+        for root in roots[::-1]:   # the longest root that holds the file is asked last, and so decides
+            below = F.when(file.startswith(root.rstrip("/") + "/"), F.substring(file, len(root.rstrip("/")) + 1, 1 << 30)).otherwise(below)
+        folders = F.regexp_extract(F.regexp_replace(below, "[^/]*$", ""), pattern, 1)
+        found = F.when(name != "", name).otherwise(folders)
+    else:
+        raise ValueError(f"unknown year source {source!r}")
+    return F.when(found == "", F.lit(YEAR_UNKNOWN)).otherwise(found)
+
+
+def _plain(path: str) -> str:
+    """A path without its scheme, and without what a glob pattern leaves open."""
+    path = re.sub("^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", path)
+    if not path.startswith("/"):
+        path = os.path.join(os.getcwd(), path)
+    fixed = re.split(r"(?<!\\)[*?\[{]", path)[0]
+    if fixed != path:
+        fixed = fixed.rpartition("/")[0]
+    return re.sub(r"\\(.)", r"\1", fixed)
 
-    One aggregate with ``min_by`` over the rows of each file's first split:
-    only that one row reaches the driver. Within a split, rows come in file
-    order, and ``monotonically_increasing_id`` grows with it.
-    """
-    cols = df.columns
-    packed = F.struct(*[as_column(c).alias(f"f{i}") for i, c in enumerate(cols)])
-    firsts = df.where(F.col("_metadata.file_block_start") == 0).select(
-        packed.alias("row"), F.col("_metadata.file_path").alias("p"),
-        F.monotonically_increasing_id().alias("rid"))
-    row = firsts.agg(F.min_by("row", F.struct("p", "rid")).alias("r")).first()
-    if row is None or row["r"] is None:
-        return []
-    return [row["r"][f"f{i}"] for i in range(len(cols))]
+
+def escape_glob(path: str) -> str:
+    """A path that Spark's readers take as it is, not as a pattern."""
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", path)
+
+
+def first_row(reader, spark: SparkSession, path: str | list[str], pattern: str | None = None, recursive: bool = False) -> list:
+    """The first data row in file order: of the first file by path that has one. Each file asked is read up to its first row."""
+    for file in list_files(spark, path, pattern or "*", recursive, empty=False):
+        if row := reader.csv(escape_glob(file)).head(1):
+            return list(row[0])
+    return []
 
 
 def promote_header(df: DataFrame, header: list | None = None) -> DataFrame:
@@ -113,24 +152,20 @@ def promote_header(df: DataFrame, header: list | None = None) -> DataFrame:
     return kept.toDF(*names)
 
 
-def year_from_text(c: Column, pattern: str = YEAR_PATTERN, default: str = YEAR_UNKNOWN) -> Column:
-    """The first ``_dddd`` in the text, or ``Unknown``."""
-    hit = F.regexp_extract(c, pattern, 1)
-    return F.when(hit == "", F.lit(default)).otherwise(hit)
-
-
-def list_files(spark: SparkSession, path: str, pattern: str = "*.csv",
-               recursive: bool = True) -> list[str]:
-    """S3: every file below ``path`` whose name matches ``pattern``, sorted.
+def list_files(spark: SparkSession, path: str | list[str], pattern: str = "*.csv",
+               recursive: bool = True, empty: bool = True) -> list[str]:
+    """S3: every file below ``path`` whose name matches ``pattern``, sorted; without ``empty``, files of no bytes are left out.
 
     Spark lists the folder (in parallel for large folders); the file contents
-    are not read, since only the ``path`` column is selected.
+    are not read, since only path and length are selected. The driver holds
+    the paths, as it does for any file scan.
     """
     r = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     if recursive:
         r = r.option("recursiveFileLookup", True)
     try:
-        rows = r.load(path).select("path").collect()
+        found = r.load(path).where(F.lit(empty) | (F.col("length") > 0)).select("path")
+        rows = found.collect()
     except Exception as e:  # an empty or absent folder
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return []
@@ -138,33 +173,25 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*.csv",
     return sorted(r["path"] for r in rows)
 
 
-def header_lines(spark: SparkSession, files: list[str]) -> dict[str, str]:
-    """The first line of every file, in ONE Spark job.
+def group_by_header(spark: SparkSession, files: list[str]) -> list[tuple[list[str], list[str]]]:
+    """(columns, files) for each different header, in order of the first file.
 
-    Only each file's first split is kept, and per file only its first line
-    (``min_by`` on the row id) reaches the driver: one line per file.
+    A file's header comes from Spark's own header read, which reads the first
+    line that isn't blank and nothing else; ``HEADER_JOBS`` files at a time. A
+    file without any such line has no rows and is left out. Equal headers are held once.
     """
-    if not files:
-        return {}
-    lines = (spark.read.text(files)
-             .where(F.col("_metadata.file_block_start") == 0)
-             .select("value", F.col("_metadata.file_path").alias("p"),
-                     F.monotonically_increasing_id().alias("rid"))
-             .groupBy("p").agg(F.min_by("value", "rid").alias("h")))
-    return {r["p"]: r["h"] for r in lines.collect()}
-
+    read = lambda f: tuple(_csv_reader(spark).csv(escape_glob(f)).columns)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(HEADER_JOBS) as pool:
+        for f, head in zip(files, pool.map(read, files), strict=True):
+            if head:
+                groups.setdefault(head, []).append(f)
+    return [(list(head), of) for head, of in groups.items()]
 
-def group_by_header(spark: SparkSession, files: list[str]) -> list[list[str]]:
-    """Files grouped by identical header line, groups in order of first file."""
-    heads = header_lines(spark, files)
-    groups: dict[str, list[str]] = {}
-    for f in files:
-        groups.setdefault(heads.get(f, heads.get(_as_uri(f), "")), []).append(f)
-    return list(groups.values())
 
-
-def _as_uri(p: str) -> str:
-    return p if ":" in p.split("/")[0] else "file:" + p
+def read_group(spark: SparkSession, columns: list[str], files: list[str], **kw) -> DataFrame:
+    """Files of one header as one scan. Spark itself checks the header of each file where there are several."""
+    return read_table(spark, [escape_glob(f) for f in files], schema=string_schema(columns), check_headers=len(files) > 1, **kw)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite",
@@ -200,21 +227,6 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwri
         raise ValueError(f"unknown format {fmt!r}")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread rows round-robin over ``min_partitions`` tasks (default: the
-    cluster's cores) when the scan yields fewer partitions, so row-wise work
-    (the rules) uses every core. A Parquet file with one large row group is
-    read by one task however big it is. Inputs that already give enough
-    partitions, as any large input does, are returned unchanged: no shuffle.
-    """
-    try:
-        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (Spark Connect): leave the plan as it is
-        return df
-    return df if have >= n else df.repartition(n)
-
-
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     """The first ``n`` rows (opt-in: it starts its own job)."""
     return df.limit(n)
@@ -223,13 +235,15 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
 def work_dir(spark: SparkSession, name: str = "raw2clean") -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    The folder comes from ``spark.checkpoint.dir``; only where that is unset
-    (local tests) is one made under the system temp folder, and set.
+    The folder comes from ``spark.checkpoint.dir``. Where that is unset, a
+    local session (one machine, as in tests) gets a temporary folder; on a cluster it is an
+    error, since executors would each write to their own disk.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
-        import tempfile
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="raw2clean-ckpt-")
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base

@@ -1,7 +1,12 @@
 """Files: CSV/JSON/Parquet write and read back, header promotion, year from
 path, listing by pattern, merge of a folder with mixed headers."""
 
+import json
 import os
+import subprocess
+import sys
+
+import pytest
 
 from raw2clean.plans.jobs import merge_folder, run_merge
 from raw2clean.sources import io
@@ -117,9 +122,77 @@ def test_work_dir_under_checkpoint_dir(spark):
     assert base and d.startswith(base.rstrip("/"))
 
 
-def test_spread_only_when_coarse(spark):
-    coarse = spark.range(100).coalesce(1)
-    spread = io.spread(coarse, min_partitions=4)
-    assert spread.rdd.getNumPartitions() == 4 and spread.count() == 100
-    wide = spark.range(100).repartition(8)
-    assert io.spread(wide, min_partitions=4) is wide
+def test_work_dir_needs_a_shared_folder_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(lambda: {})
+
+    class Session:
+        sparkContext = Context()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        io.work_dir(Session())
+
+
+def test_year_below_the_folder_read(spark, tmp_dir):
+    base = f"{tmp_dir}/p_2024 x%20#+/in"
+    _write(f"{base}/a_2015.csv", "a\n1\n")
+    _write(f"{base}/y_2016/a.csv", "a\n2\n")
+    _write(f"{base}/y_2016/b_2017.csv", "a\n3\n")
+    _write(f"{base}/plain.csv", "a\n4\n")
+    read = lambda p, **kw: sorted(tuple(r) for r in io.read_table(spark, p, year_column="Year", **kw).collect())
+    assert read(base, recursive=True) == [("1", "2015"), ("2", "2016"), ("3", "2017"), ("4", "Unknown")]
+    assert read(base, recursive=True, year_source="name") == [("1", "2015"), ("2", "Unknown"), ("3", "2017"), ("4", "Unknown")]
+    assert read(base, recursive=True, year_source="path")[3] == ("4", "2024")
+    assert read(f"{base}/plain.csv") == [("4", "Unknown")]
+    assert read(f"{base}/*.csv") == [("1", "2015"), ("4", "Unknown")]
+
+
+@pytest.mark.parametrize("folder", ["plain", "with blank", "100%20", "a#b", "q[1]{x}", "p+q"])
+def test_merge_folder_on_any_path(spark, tmp_dir, folder):
+    """Given as a path or, with pattern signs escaped, as a pattern. Columns in different orders, a blank line before a header, an empty file, a header alone."""
+    base = f"{tmp_dir}/{folder}"
+    _write(f"{base}/age a_2015.csv", "a,b\n1,2\n")
+    _write(f"{base}/age b_2016.csv", "b,a\n20,10\n")
+    _write(f"{base}/c#1_2017.csv", "\n\nb,a\n200,100\n")
+    _write(f"{base}/d%20_2018.csv", "\na,b\n3,4\n")
+    _write(f"{base}/empty_2019.csv", "")
+    _write(f"{base}/head_2020.csv", "b,a\n")
+    _write(f"{base}/sub dir/e_2021.csv", "c\n7\n")
+    got = sorted((r.Year, r.a, r.b, r.c) for r in merge_folder(spark, io.escape_glob(base)).collect())
+    assert got == [("2015", "1", "2", None), ("2016", "10", "20", None), ("2017", "100", "200", None), ("2018", "3", "4", None),
+                   ("2021", None, None, "7")]
+
+
+def test_another_header_in_a_group_is_an_error(spark, tmp_dir):
+    _write(f"{tmp_dir}/a.csv", "a,b\n1,2\n")
+    _write(f"{tmp_dir}/b.csv", "b,a\n20,10\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        io.read_group(spark, ["a", "b"], [f"{tmp_dir}/a.csv", f"{tmp_dir}/b.csv"]).collect()
+
+
+def test_header_reads_touch_one_line(tmp_dir):
+    """Records read, from the event log: of a file in many splits, the header alone and the first row alone."""
+    _write(f"{tmp_dir}/in/h_2015.csv", "junk1,junk2\nid,name\n" + "".join(f"{i},some text here to fill the line\n" for i in range(40_000)))
+    os.makedirs(f"{tmp_dir}/log")
+    code = f"""
+import sys; sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.files.maxPartitionBytes", "64k")
+         .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", "file://{tmp_dir}/log").config("spark.eventLog.compress", "false")
+         .config("spark.eventLog.rolling.enabled", "false").getOrCreate())
+from raw2clean.sources import io
+df = io.read_table(spark, "{tmp_dir}/in", promote_first_row=True)
+assert df.columns == ["id", "name"], df.columns
+assert io.group_by_header(spark, io.list_files(spark, "{tmp_dir}/in"))[0][0] == ["junk1", "junk2"]
+spark.stop()
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, capture_output=True)
+    read, longest = 0, 0
+    for name in os.listdir(f"{tmp_dir}/log"):
+        for line in open(f"{tmp_dir}/log/{name}"):
+            e = json.loads(line)
+            if e["Event"] == "SparkListenerTaskEnd":
+                n = e["Task Metrics"]["Input Metrics"]["Records Read"]
+                read, longest = read + n, max(longest, n)
+    assert 0 < longest < 3000 and read < 9000   # a buffer of lines of one split of 64 KB each time, not 40,000

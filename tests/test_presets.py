@@ -54,7 +54,7 @@ def test_apply_one_projection(spark):
     assert out.columns == rs.outputs
     row = out.first().asDict()
     assert row["loan_type"] == "1" and row["edit_status"] is None
-    assert row["census_tract_id"] == "01001000001"
+    assert row["census_tract_id"] == "01001000100"   # tract 1, the code of 1.00
 
 
 def test_missing_columns(spark):
@@ -73,3 +73,17 @@ def test_hyphenated_names(spark):
     row = rs.apply(df).first().asDict()
     assert row["denial_reason-1"] == "1" and row["aus-1"] == "1" and row["applicant_age"] == "1"
     assert row["debt_to_income_ratio"] is None and row["census_tract"] is None
+
+
+def test_presets_follow_the_survey():
+    """Columns, order and rule kinds of every era as the survey's appendix lists them; values are compared by the oracles."""
+    from raw2clean.plans.survey_rules import SECTIONS, appendix
+    kinds = {"R1": "passthrough", "R2": "keep_codes", "R3": "keep_and_relabel", "R4": "text_without_digits", "R5": "digits", "R11": "integer_text",
+             "R12": "text_length", "R12b": "text_length", "R13": "range_or_number", "R14": "tract_code"}
+    for era in SECTIONS:
+        rows, rules = appendix(era), preset(era)
+        assert [c for c, _, _ in rows] == rules.outputs
+        for c, rule, arguments in rows:
+            assert rules[c].kind == kinds.get(rule, "numeric"), (era, c)
+            if rule == "R2":
+                assert list(rules[c].args[0]) == [v.strip() for v in arguments.split(";")], (era, c)

@@ -46,7 +46,9 @@ def test_empty_table_fails_and_empty_rules(spark):
 
 def test_profile(spark):
     df = _frame(spark)
-    p = {r["column"]: r for r in Q.profile(df).collect()}
+    p = {r["column"]: r for r in Q.profile(df, distinct="exact").collect()}
+    rounded = lambda r: {k: round(v, 9) if isinstance(v, float) else v for k, v in r.asDict().items()}
+    assert [rounded(r) for r in Q.profile(df).collect()] == [rounded(p[c]) for c in df.columns]   # few values: exact by default
     assert set(p) == {"s c", "n", "e"}
     n = p["n"]
     assert (n["rows"], n["nulls"], n["distinct"], n["min"], n["max"]) == (4, 0, 4, "1", "x")
@@ -72,15 +74,32 @@ def test_run_checks_names(spark):
 
 def test_profile_of_empty_table(spark):
     df = spark.createDataFrame([], "a string, b int")
-    for mode in ("exact", "approx"):
+    for mode in ("exact", "approx", "auto", ["a"]):
         p = {r["column"]: r for r in Q.profile(df, distinct=mode).collect()}
         assert set(p) == {"a", "b"} and p["a"]["rows"] == 0 and p["a"]["distinct"] in (0, None)
 
 
 def test_profile_typed_min_max(spark):
     df = spark.createDataFrame([(9, 1.5), (10, -2.0), (None, None)], "a int, b double")
-    for mode in ("exact", "approx"):
+    for mode in ("exact", "approx", "auto", ["a"]):
         p = {r["column"]: r for r in Q.profile(df, distinct=mode).collect()}
         assert (p["a"]["min"], p["a"]["max"]) == ("9", "10")
         assert (p["b"]["min"], p["b"]["max"]) == ("-2.0", "1.5")
         assert p["a"]["type"] == "int" and p["a"]["nulls"] == 1
+
+
+def test_profile_modes_agree(spark, monkeypatch):
+    """On columns of few and many values, also with columns summarised a few at a time."""
+    monkeypatch.setattr(Q, "COLUMNS_AT_ONCE", 2)
+    rows = [(str(i), i, i % 7, None if i % 3 else f"v{i % 50}", float(i) / 4) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "id string, n long, few int, some string, d double")
+    exact = {r["column"]: r.asDict() for r in Q.profile(df, distinct="exact").collect()}
+    auto = {r["column"]: r.asDict() for r in Q.profile(df).collect()}
+    named = {r["column"]: r.asDict() for r in Q.profile(df, distinct=["n"]).collect()}
+    for c, want in exact.items():
+        for k, v in want.items():
+            estimated = k in ("distinct", "uniqueness") and c in ("id", "n", "d")
+            if not estimated:
+                assert auto[c][k] == v or math.isclose(auto[c][k], v, rel_tol=1e-9), (c, k)
+    assert abs(auto["id"]["distinct"] - 20_000) < 2_000 and auto["id"]["uniqueness"] is None
+    assert named["n"]["distinct"] == 20_000 and named["n"]["uniqueness"] == 1.0

@@ -2,6 +2,8 @@
 
 from conftest import apply_rule, one_col
 
+import pytest
+
 from raw2clean.functions import rules as R
 
 
@@ -119,8 +121,21 @@ TRACT_ROWS = [("6", "1", "1234.01"), ("06", "001", "9.1"), ("6", "37", "0201.00"
 
 def test_tract_code_fixed2(ansi_spark):
     got = _tract(ansi_spark, TRACT_ROWS, "fixed2")
-    assert got == ["06001123401", "06001000910", "06037020100", "06037123401", None, None,
-                   "06123000150"]
+    assert got == ["06001123401", "06001000910", "06037020100", "06037123401", None, None, None]
+
+
+@pytest.mark.parametrize(("tract", "code"), [
+    ("12345.01", None), ("9.129", None), ("9.120", "000912"), ("1234567", None), ("1234", "123400"), ("1234.00", "123400"),
+    ("1234.", "123400"), ("001234.01", "123401"), ("12345", "012345"), ("001234", "001234"), ("0", "000000"), ("0.5", "000050"),
+    ("1.2.3", None), ("-1", None), ("", None), (" 1", None)])
+def test_tract_code_cuts_nothing(spark, tract, code):
+    assert _tract(spark, [("6", "37", tract)], "fixed2") == [code and "06037" + code]
+    assert _tract(spark, [("123", "37", tract), ("6", "1234", tract)], "fixed2") == [None, None]
+
+
+def test_column_names_with_backticks(spark):
+    df = spark.createDataFrame([("1", "2", "3")], ["a`b", "`c`", "d.e"])
+    assert [df.select(R.keep_codes(["1", "2", "3"])(c)).first()[0] for c in df.columns] == ["1", "2", "3"]
 
 
 def test_tract_code_truncate_matches_legacy(ansi_spark):

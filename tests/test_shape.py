@@ -58,9 +58,17 @@ def test_distinct_counts_exact_matches_screen(spark):
     df = spark.createDataFrame(rows, "a string, b string, c string, d string")
     full = shape.distinct_counts(df, df.columns, method="exact")
     assert full == {"a": 7, "b": 19, "c": 23, "d": 500}
-    screened = shape.distinct_counts(df, df.columns, method="exact", threshold=20)
-    assert {k: screened[k] > 20 for k in "abcd"} == {"a": False, "b": False, "c": True, "d": True}
-    assert screened["b"] == 19 and screened["c"] == 23
+    assert shape.more_distinct_than(df, df.columns, 20) == {"a": False, "b": False, "c": True, "d": True}
+    for t in (6, 7, 18, 19, 22, 23, 499, 500):
+        assert shape.more_distinct_than(df, df.columns, t) == {c: n > t for c, n in full.items()}
+
+
+def test_merge_by_name_widens_and_keeps_odd_names(spark):
+    a = spark.createDataFrame([(1, "x")], ["k.1", "V"])
+    b = spark.createDataFrame([("y", 2.5)], ["v", "n"])
+    out = shape.merge_by_name([a, b])
+    assert out.columns == ["k.1", "V", "n"] and dict(out.dtypes) == {"k.1": "bigint", "V": "string", "n": "double"}
+    assert sorted(map(tuple, out.collect()), key=str) == [(1, "x", None), (None, "y", 2.5)]
 
 
 def test_merge_by_name_and_position(spark):
