@@ -351,13 +351,16 @@ def link_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     table = stored_parts.where("uid is not null").select("uid", "doc_id", "n", "key")
     sets = table.where("key is not null")
 
-    # candidates: sets that share a part
-    pairs = stored_parts.where("ties is not null").select(F.explode(F.transform(
-        F.sequence(F.lit(0), F.size("ties") - 2, F.lit(2)), lambda i: F.struct(F.get("ties", i).alias("u"), F.get("ties", i + 1).alias("v")))).alias("t"))
-    edges = pairs.select("t.u", "t.v").unionByName(
-        stored_parts.where("bucket is not null").select("bucket", "signatures", "sets")
-        .repartition(buckets // 4, "bucket").sortWithinPartitions("bucket").mapInArrow(_tied, "u long, v long"))
-    near = connected_components(edges).select(F.col("node").alias("uid"), F.col("label").alias("c"))
+    # candidates: sets that share a part. Only the first set of each star found in a task takes part in the
+    # search for components; the others follow it, so a group of copies weighs no more than the tasks that met it.
+    stars = stored_parts.where("ties is not null").select(F.explode(F.transform(
+        F.sequence(F.lit(0), F.size("ties") - 2, F.lit(2)), lambda i: F.struct(F.get("ties", i).alias("lead"), F.get("ties", i + 1).alias("uid")))).alias("t")).select("t.*")
+    tied = (stored_parts.where("bucket is not null").select("bucket", "signatures", "sets")
+            .repartition(buckets // 4, "bucket").sortWithinPartitions("bucket").mapInArrow(_tied, "u long, v long"))
+    labels = stored(connected_components(tied).select(F.col("node").alias("lead"), "label"), "candidates")
+    near = (stars.join(labels, "lead", "left").select("uid", F.coalesce("label", "lead").alias("c"))
+            .unionByName(stars.select("lead").distinct().join(labels, "lead", "left_anti").select(F.col("lead").alias("uid"), F.col("lead").alias("c")))
+            .unionByName(labels.select(F.col("lead").alias("uid"), F.col("label").alias("c"))))
     found = sets.join(near, "uid").groupBy("key").agg(F.min("c").alias("c"), F.min("n").alias("n"), F.min("doc_id").alias("doc_id"))
     several = found.groupBy("c").agg(F.count("*").alias("m")).where("m > 1").select("c")   # else copies of one set
     chosen = stored(found.join(several, "c"), "chosen")
