@@ -28,7 +28,7 @@ from raw2clean.llm.common import chunks, importable, read, texts
 
 RANKS = "byte_bpe_50k.tiktoken"
 LEAF = 32            # bytes that are encoded without a further cut
-CACHE = 400_000      # pre-tokens whose ids a worker keeps
+CACHE = 200_000      # pre-tokens whose ids a worker keeps
 CACHED_BYTES = 64    # the longest pre-token kept
 
 
@@ -182,10 +182,25 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """The digest of encoding and decoding: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    both = decode_documents(encode_documents(docs, path, pattern), path, pattern)
-    return both.selectExpr("doc_id", "cast(octet_length(ids) div 4 as long) n_tokens",
-                           "sha2(ids, 256) ids_sha256", "sha2(decoded, 256) decoded_sha256")
+    """The digest of encoding and decoding: doc_id, n_tokens, ids_sha256, decoded_sha256.
+
+    What ``decode_documents(encode_documents(docs))`` holds, in one pass that lets neither ids nor bytes leave the task.
+    """
+    importable(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = worker_for(path, pattern)
+        for batch in chunks(batches):
+            rows = []
+            for text in batch.column("text").to_pylist():
+                ids = w.encode(text)
+                decoded = w.pairs.decode(np.frombuffer(ids, "<u4").tolist())
+                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()))
+            n, encoded, decoded = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(encoded), pa.array(decoded)],
+                                             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return texts(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,6 +60,8 @@ def test_byte_bpe_round_trip(spark, encoding):
         return (i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest())
     assert by_row(o3.round_trip(edge_docs(spark), RANKS, public_tokenizers.PATTERN)) == sorted((row(i, t) for i, t, _ in TEXTS), key=repr)
     assert o3.round_trip(empty_docs(spark), RANKS, public_tokenizers.PATTERN).count() == 0
+    both = o3.decode_documents(o3.encode_documents(edge_docs(spark), RANKS, public_tokenizers.PATTERN), RANKS, public_tokenizers.PATTERN)
+    assert by_row(both.selectExpr("doc_id", "cast(octet_length(ids) div 4 as long)", "sha2(ids, 256)", "sha2(decoded, 256)")) == sorted((row(i, t) for i, t, _ in TEXTS), key=repr)
 
 
 @pytest.mark.parametrize("alphabet", ["a", "ab", "the ing", "aeiou", "0123456789", "é漢"])
