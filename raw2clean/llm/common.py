@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -15,7 +16,9 @@ from pyspark.sql import functions as F
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 #: Text handed to Python at once, in bytes: what one task holds beside its Arrow batch.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
+
+_LIBC = ctypes.CDLL(None)
 
 
 def importable(spark: SparkSession) -> SparkSession:
@@ -76,8 +79,15 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0]:off[-1]], off - off[0]
 
 
+def trim() -> None:
+    """Give freed memory back to the system at a task's end: workers stay, and share their executor's limit with later stages."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):   # glibc
+        _LIBC.malloc_trim(0)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with about ``limit`` bytes in their text column (a longer text alone)."""
+    """Slices of the batches with about ``limit`` bytes in their text column (a longer text alone); trims at the end."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -86,6 +96,7 @@ def chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Itera
         cuts = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):
             yield batch.slice(a, b - a)
+    trim()
 
 
 # -- vectorised word hashes ------------------------------------------------

@@ -4,8 +4,9 @@ One pass over the texts gives each document a short vector of transformed
 statistics (shares of byte classes, word lengths, repetition); it is stored, and
 everything after works on these vectors. The moments of both classes are sums over ALL
 labelled training rows, taken by Spark; what reaches the driver are two
-mean vectors and two small matrices. Class covariances of the standardised statistics are
-shrunk towards a multiple of the identity, their Cholesky factors are
+mean vectors and two small matrices. Statistics of a short text say little: they
+are standardised and drawn towards the mean by size / (size + ``DAMPING``).
+Class covariances of the damped statistics are shrunk towards a multiple of the identity, their Cholesky factors are
 computed once and shipped with the scoring tasks. The score is the logistic
 function of the difference of the two Gaussian log densities (Mahalanobis distances and log
 determinants) plus the log odds of the classes.
@@ -13,8 +14,8 @@ determinants) plus the log odds of the classes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,7 @@ from raw2clean.llm.common import (LOWER, SPACE, chunks, crc_fold, importable, mi
 
 FOLDS, HELD = 5, 0
 THRESHOLD = 0.3
+DAMPING = 200        # bytes: a text of this size has its statistics halved
 SHRINKAGE = 0.02     # weight of the identity in a class covariance
 
 _CLASS = np.full(256, 6, np.uint8)                      # 6: other ASCII signs
@@ -90,61 +92,76 @@ def document_statistics(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class Discriminant:
-    """Mean and scale of the statistics, and of each class its mean, the inverse Cholesky factor and a constant."""
+    """Of the statistics the mean and scale; of each class the mean of the damped ones, the inverse Cholesky factor and a constant."""
 
     centre: np.ndarray
     scale: np.ndarray
-    means: tuple[np.ndarray, np.ndarray]
-    whiten: tuple[np.ndarray, np.ndarray]
-    constant: tuple[float, float]
+    damping: float
+    means: tuple[np.ndarray, np.ndarray] = ()
+    whiten: tuple[np.ndarray, np.ndarray] = ()
+    constant: tuple[float, float] = ()
 
     @classmethod
-    def fit(cls, n: np.ndarray, sums: np.ndarray, squares: np.ndarray, shrinkage: float) -> Discriminant:
-        """From both classes' counts, sums of x and sums of x x'; a class without rows takes the other's shape."""
-        d = sums.shape[1]
+    def over(cls, n: np.ndarray, sums: np.ndarray, squares: np.ndarray, damping: float) -> Discriminant:
+        """Mean and scale, from both classes' counts, sums of x and sums of x x'."""
         total = max(n.sum(), 1)
         centre = sums.sum(axis=0) / total
-        scale = np.sqrt(np.maximum(np.diag(squares.sum(axis=0)) / total - centre ** 2, 1e-6))
+        return cls(centre, np.sqrt(np.maximum(np.diag(squares.sum(axis=0)) / total - centre ** 2, 1e-6)), damping)
+
+    def damped(self, x: np.ndarray) -> np.ndarray:
+        """Standardised statistics, all but the length itself drawn to 0 in short texts."""
+        z = (x - self.centre) / self.scale
+        size = np.expm1(x[:, :1])
+        z[:, 1:] *= (size + 1) / (size + 1 + self.damping)
+        return z
+
+    def fit(self, n: np.ndarray, sums: np.ndarray, squares: np.ndarray, shrinkage: float) -> Discriminant:
+        """With the classes, from the same moments of the damped statistics; a class without rows takes the shape of the whole."""
+        d, total = sums.shape[1], n.sum()
         means, whiten, constant = [], [], []
         for c in (0, 1):
-            m = sums[c] / n[c] if n[c] else centre
-            cov = (squares[c] / n[c] - np.outer(m, m) if n[c] else np.diag(scale ** 2)) / np.outer(scale, scale)
+            m = sums[c] / n[c] if n[c] else np.zeros(d)
+            cov = squares[c] / n[c] - np.outer(m, m) if n[c] else np.eye(d)
             cov = (1 - shrinkage) * cov + shrinkage * max(np.trace(cov) / d, 1e-3) * np.eye(d)
             lower = np.linalg.cholesky(cov)
-            means.append((m - centre) / scale)
+            means.append(m)
             whiten.append(np.linalg.inv(lower))
             constant.append(float(np.log((n[c] + 1) / (total + 2)) - np.log(np.diag(lower)).sum()))
-        return cls(centre, scale, tuple(means), tuple(whiten), tuple(constant))
+        return replace(self, means=tuple(means), whiten=tuple(whiten), constant=tuple(constant))
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        z = (x - self.centre) / self.scale
+        z = self.damped(x)
         log = [self.constant[c] - 0.5 * np.square((z - self.means[c]) @ self.whiten[c].T).sum(axis=1) for c in (0, 1)]
         return 1 / (1 + np.exp(np.clip(log[0] - log[1], -700, 700)))
 
 
-def fit(vectors: DataFrame, labels: DataFrame, label: str, shrinkage: float = SHRINKAGE) -> Discriminant:
-    """The model of (doc_id, x) and labels (doc_id, 0 or 1; other values and null ids are left out)."""
-    y = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
-         .where(F.col("y").isin(0, 1)).groupBy("doc_id").agg(F.min("y").alias("y")))
+def _moments(rows: DataFrame, of: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts, sums of z and sums of z z' of both classes, z = of(x), over all rows (x, y): sums a task, then a sum by entry."""
     d = len(NAMES)
 
-    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, 1 + d + d * d))
         for batch in batches:
-            x = np.asarray(batch.column("x").flatten(), np.float64).reshape(-1, d)
-            y = np.asarray(batch.column("y"))
+            z, y = of(np.asarray(batch.column("x").flatten(), np.float64).reshape(-1, d)), np.asarray(batch.column("y"))
             for c in (0, 1):
-                of = x[y == c]
-                total[c] += np.concatenate(([len(of)], of.sum(axis=0), (of.T @ of).ravel()))
+                total[c] += np.concatenate(([(y == c).sum()], z[y == c].sum(axis=0), (z[y == c].T @ z[y == c]).ravel()))
         yield pa.RecordBatch.from_arrays([pa.array(np.repeat([0, 1], total.shape[1]), pa.int32()),
                                           pa.array(np.tile(np.arange(total.shape[1]), 2), pa.int32()), pa.array(total.ravel())],
                                          ["y", "k", "v"])
 
     total = np.zeros((2, 1 + d + d * d))
-    for r in (vectors.join(y, "doc_id").select("x", "y").mapInArrow(moments, "y int, k int, v double")
-              .groupBy("y", "k").agg(F.sum("v").alias("v")).collect()):
+    for r in rows.mapInArrow(run, "y int, k int, v double").groupBy("y", "k").agg(F.sum("v").alias("v")).collect():
         total[r["y"], r["k"]] = r["v"]
-    return Discriminant.fit(total[:, 0], total[:, 1:1 + d], total[:, 1 + d:].reshape(2, d, d), shrinkage)
+    return total[:, 0], total[:, 1:1 + d], total[:, 1 + d:].reshape(2, d, d)
+
+
+def fit(vectors: DataFrame, labels: DataFrame, label: str, shrinkage: float = SHRINKAGE, damping: float = DAMPING) -> Discriminant:
+    """The model of (doc_id, x) and labels (doc_id, 0 or 1; other values and null ids are left out)."""
+    y = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
+         .where(F.col("y").isin(0, 1)).groupBy("doc_id").agg(F.min("y").alias("y")))
+    rows = stored(vectors.join(y, "doc_id").select("x", "y"), "training-statistics")
+    model = Discriminant.over(*_moments(rows, lambda x: x), damping)
+    return model.fit(*_moments(rows, model.damped), shrinkage)
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = THRESHOLD,

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raw2clean.llm.common import LOWER, SPACE, chunks, importable, mix, read, span_hashes, stored, text_buffer, texts, word_spans
+from raw2clean.llm.common import LOWER, SPACE, chunks, importable, mix, read, span_hashes, stored, text_buffer, texts, trim, word_spans
 from raw2clean.llm.components import connected_components
 
 WIDTH, PERCENT = 4, 85
@@ -276,6 +276,7 @@ def _tied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ties, bucket, rows = with_bucket(), of[a], []
             rows.append(batch.slice(a, b - a))
     ties = with_bucket()
+    trim()
     yield pa.RecordBatch.from_arrays([pa.array(ties[:, 0]), pa.array(ties[:, 1])], ["u", "v"])
 
 
@@ -385,6 +386,8 @@ def link_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         flat, cuts = np.asarray(lists.flatten()).view(np.uint64), np.concatenate(([0], np.cumsum(np.asarray(lists.value_lengths()))))
         grams = [flat[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
         found = forest(linked_pairs(grams, np.asarray(block.column("part")), percent)) if len(keys) > 1 else []
+        if len(keys) > PART_SETS:   # a block of a size worth giving back
+            trim()
         return pa.table({"u": pa.array([keys[i] for i, _ in found], pa.binary()), "v": pa.array([keys[j] for _, j in found], pa.binary())})
 
     links = rows.groupBy("c", "a", "b").applyInArrow(solve, "u binary, v binary")

@@ -79,7 +79,9 @@ def test_quality_learns_from_its_folds_only(spark):
 def test_discriminant_is_the_gaussian_one():
     rng = np.random.default_rng(2)
     x = [rng.multivariate_normal([0, 0], [[1, .5], [.5, 1]], 400), rng.multivariate_normal([2, 1], [[2, 0], [0, .5]], 600)]
-    m = o5.Discriminant.fit(np.array([400, 600]), np.array([a.sum(0) for a in x]), np.array([a.T @ a for a in x]), 0.0)
+    moments = lambda rows: (np.array([400, 600]), np.array([a.sum(0) for a in rows]), np.array([a.T @ a for a in rows]))
+    m = o5.Discriminant.over(*moments(x), 0.0)
+    m = m.fit(*moments([m.damped(a) for a in x]), 0.0)
     at = rng.normal(size=(50, 2))
 
     def density(a, p):
@@ -89,6 +91,12 @@ def test_discriminant_is_the_gaussian_one():
     assert np.allclose(m.score(at), 1 / (1 + np.exp(density(x[0], at) - density(x[1], at))))
 
 
+def test_short_texts_are_drawn_to_the_mean():
+    m = o5.Discriminant(np.zeros(3), np.ones(3), 200.0)
+    z = m.damped(np.array([[np.log1p(199.0), 2.0, -4.0], [0.0, 2.0, 2.0], [np.log1p(1e6), 2.0, 1.0]]))
+    assert np.allclose(z[0], [np.log1p(199.0), 1.0, -2.0]) and z[1, 1] < 0.02 and z[2, 1] > 1.999
+
+
 def test_statistics_do_not_depend_on_the_batch():
     import pyarrow as pa
 
