@@ -366,13 +366,21 @@ YEAR_TO_ERA = {**{str(y): "2000" for y in range(2000, 2004)},
                **{str(y): "2019" for y in range(2019, 2024)}}
 
 
-def preset(era: str | int, tract_style: str = "fixed2") -> RuleSet:
-    """The rule table of one era (``2000``, ``2004``, ``2007``, ``2018``, ``2019``)."""
+def preset(era: str | int, tract_style: str = "fixed2", literal_like: bool = False) -> RuleSet:
+    """The rule table of one era (``2000``, ``2004``, ``2007``, ``2018``, ``2019``).
+
+    ``literal_like=True``: the two-character state abbreviation keeps the
+    source's LIKE test on the literal text ``[^A-Za-z]``, which no two
+    characters pass (R12b): the column is NULL in every row.
+    """
     era = str(era)
     if era not in _ERAS:
         raise KeyError(f"unknown era {era!r}; known: {sorted(_ERAS)}")
-    return RuleSet(_ERAS[era](tract_style), name=f"loans_{era}")
+    rules = dict(_ERAS[era](tract_style))
+    if literal_like and "state_abbr" in rules:
+        rules["state_abbr"] = text_length(exact=2, like=LITERAL_CLASS)
+    return RuleSet(rules, name=f"loans_{era}")
 
 
-def preset_for_year(year: str | int, tract_style: str = "fixed2") -> RuleSet:
-    return preset(YEAR_TO_ERA[str(year)], tract_style)
+def preset_for_year(year: str | int, tract_style: str = "fixed2", literal_like: bool = False) -> RuleSet:
+    return preset(YEAR_TO_ERA[str(year)], tract_style, literal_like)

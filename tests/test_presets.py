@@ -87,3 +87,12 @@ def test_presets_follow_the_survey():
             assert rules[c].kind == kinds.get(rule, "numeric"), (era, c)
             if rule == "R2":
                 assert list(rules[c].args[0]) == [v.strip() for v in arguments.split(";")], (era, c)
+
+
+def test_literal_like_switch(spark):
+    df = spark.createDataFrame([("CA",), ("C1",), ("%[",)], "state_abbr string")
+    values = lambda rs: [r[0] for r in df.select(rs["state_abbr"].column("state_abbr")).collect()]
+    assert values(preset("2007")) == ["CA", None, None]
+    assert values(preset("2007", literal_like=True)) == [None, None, None]
+    assert preset("2007", literal_like=True).outputs == preset("2007").outputs
+    assert preset("2018", literal_like=True).outputs == preset("2018").outputs
