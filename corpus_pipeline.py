@@ -23,16 +23,10 @@ from raw2clean.llm.common import as_struct, importable, read, stored
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is among ``ids`` (one column, distinct); null ids meet null ids."""
-    ids = stored(ids.toDF("_kept_id"), "kept")
-    return docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(ids["_kept_id"]), "left_semi")
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the quality classifier (5) accepts; of rows that share an id, all stay if one is accepted."""
-    judged = op05_quality.classify(docs, read(spark, sf_dir, "labels"))
-    return _keep(docs, judged.where("predicted = 1").select("doc_id").distinct())
+    """Rows that the quality classifier (5) accepts, each judged by itself."""
+    _, model = op05_quality.train(docs, read(spark, sf_dir, "labels"))
+    return op05_quality.accepted(docs, model)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +44,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     id that stays are one row: the smallest text.
     """
     linked = stored(op10_ngram_jaccard.link_documents(docs), "linked")
-    kept = _keep(docs, linked.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select("doc_id").distinct())
+    # what goes is less than what stays: ids of which no row stays, rarely too many for Spark to send them to the texts
+    stays = F.bool_or(F.col("component_id").eqNullSafe(F.col("doc_id")))
+    gone = stored(linked.groupBy(F.col("doc_id").alias("_gone")).agg(stays.alias("stays")).where("not stays").select("_gone"), "gone")
+    kept = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_gone"]), "left_anti")
     repeated = linked.where("n_shingles > 0").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
     if repeated.isEmpty():
         return kept

@@ -174,13 +174,12 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", thresho
     score follows the other class's shape. Repeated rows give a row each;
     other columns are not read.
     """
-    vectors = stored(document_statistics(docs), "statistics")
-    model = docs.sparkSession.sparkContext.broadcast(
-        fit(vectors, labels.where(crc_fold(F.col("doc_id"), folds) != held), label, shrinkage))
+    vectors, model = train(docs, labels, label, folds, held, shrinkage)
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            s = model.value.score(np.asarray(batch.column("x").flatten(), np.float64).reshape(-1, len(NAMES)))
+            s = shipped.value.score(np.asarray(batch.column("x").flatten(), np.float64).reshape(-1, len(NAMES)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s)], ["doc_id", "score"])
 
     return vectors.mapInArrow(run, "doc_id long, score double").select(
@@ -188,5 +187,24 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", thresho
         (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = FOLDS, held: int = HELD,
+          shrinkage: float = SHRINKAGE) -> tuple[DataFrame, Discriminant]:
+    """The stored statistics of all documents, and the model of the labels outside the held-out fold."""
+    vectors = stored(document_statistics(docs), "statistics")
+    return vectors, fit(vectors, labels.where(crc_fold(F.col("doc_id"), folds) != held), label, shrinkage)
+
+
+def accepted(docs: DataFrame, model: Discriminant, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score at least ``threshold``, all columns as they are: texts are judged where they lie, nothing is shuffled."""
+    shipped = importable(docs.sparkSession).sparkContext.broadcast(model)
+
+    @F.arrow_udf("double")
+    def score(text: pa.Array) -> pa.Array:
+        parts = chunks(iter([pa.RecordBatch.from_arrays([text], ["text"])]))
+        return pa.array(np.concatenate([np.zeros(0), *(shipped.value.score(statistics(*text_buffer(p.column("text")))) for p in parts)]))
+
+    return docs.where(score(F.coalesce(docs["text"].cast("string"), F.lit(""))) >= threshold)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))

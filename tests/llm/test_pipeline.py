@@ -58,3 +58,12 @@ def test_near_duplicate_stage(spark):
     docs = documents(spark, texts)
     got = sorted(r.doc_id for r in P.near_duplicates(spark, docs.unionByName(docs.where("doc_id < 9")), SF).collect())
     assert got == [i for i, _, c in sorted(brute_components(list(enumerate(texts)))) if i == c]
+
+
+def test_quality_stage_is_the_classifier(spark):
+    """The rows that the operator accepts, whatever other columns they have; the last statistics' bits depend on nothing else."""
+    from raw2clean.llm import op05_quality
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    judged = {r.doc_id for r in op05_quality.classify(docs, spark.read.parquet(f"{SF}/labels.parquet")).collect() if r.predicted}
+    got = P.quality(spark, docs, SF)
+    assert got.columns == docs.columns and {r.doc_id for r in got.collect()} == judged and 0 < len(judged) < docs.count()
