@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from raw2clean.functions.rules import as_column
 
 _SURVIVOR = "__survivor"
+_KEY = "__key"
+_HASH = "__hash"
 _COUNT = "__rows"
 _RANK = "__rank"
 
@@ -47,8 +49,9 @@ def dedup_by_key(df: DataFrame, keys: Iterable[str], order: Iterable[str] | None
     The survivor is fixed: the row whose other columns (in ``order``, by
     default the table's column order) are smallest, NULLs first. Methods:
 
-    * ``"min_struct"`` (default): ``groupBy(keys).agg(min(struct(rest)))``,
-      with a partial aggregate before the shuffle;
+    * ``"min_struct"`` (default): ``groupBy(hash, struct(keys)).agg(min(struct(rest)))``,
+      with a partial aggregate before the shuffle; its sorts compare the hash
+      first, and all keys only where hashes are equal;
     * ``"row_number"``: ``row_number()`` over the key, equal survivor (with
       dozens of keys over a wide rule projection, Catalyst's constraint
       propagation can stall planning; ``min_struct`` does not have this);
@@ -68,11 +71,11 @@ def dedup_by_key(df: DataFrame, keys: Iterable[str], order: Iterable[str] | None
         return df.select(*[as_column(k) for k in keys]).distinct()
     if method == "min_struct":
         # struct field names are positional to stay clear of odd column names
-        packed = F.struct(*[as_column(c).alias(f"f{i}") for i, c in enumerate(rest)])
-        agg = df.groupBy(*[as_column(k) for k in keys]).agg(F.min(packed).alias(_SURVIVOR))
-        out = {k: as_column(k) for k in keys}
-        out.update({c: F.col(f"{_SURVIVOR}.f{i}").alias(c) for i, c in enumerate(rest)})
-        return agg.select(*[out[c].alias(c) for c in df.columns])
+        pack = lambda names: F.struct(*[as_column(c).alias(f"f{i}") for i, c in enumerate(names)])
+        agg = (df.select(F.xxhash64(*[as_column(k) for k in keys]).alias(_HASH), pack(keys).alias(_KEY), pack(rest).alias(_SURVIVOR))
+               .groupBy(_HASH, _KEY).agg(F.min(_SURVIVOR).alias(_SURVIVOR)))
+        at = {c: F.col(f"{_KEY}.f{i}") for i, c in enumerate(keys)} | {c: F.col(f"{_SURVIVOR}.f{i}") for i, c in enumerate(rest)}
+        return agg.select(*[at[c].alias(c) for c in df.columns])
     if method == "row_number":
         w = Window.partitionBy(*[as_column(k) for k in keys]) \
             .orderBy(*[as_column(c).asc_nulls_first() for c in rest])
