@@ -21,11 +21,19 @@ CHUNK_BYTES = 1_000_000
 _LIBC = ctypes.CDLL(None)
 
 
+#: Rows handed to Python at once: Spark's default of 10,000 whole texts is some 40 MB on both sides of every task.
+BATCH_ROWS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000")
+
+
 def importable(spark: SparkSession) -> SparkSession:
-    """Let Python workers of a local session import this package from its checkout."""
+    """Let Python workers of a local session import this package from its checkout, and give
+    them smaller batches, unless the session has a batch size of its own."""
     env = spark.sparkContext.environment
     if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, env.get("PYTHONPATH")]))
+    key, default, ours = BATCH_ROWS
+    if spark.conf.get(key) == default:
+        spark.conf.set(key, ours)
     return spark
 
 
