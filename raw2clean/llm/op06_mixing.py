@@ -35,7 +35,6 @@ BITS = 8                # of the hash order, at each level
 BLOCKS = 1 << BITS
 PLACE_BITS = 63
 FEW = 256               # documents that are filled in one by one, about
-SHARDS = 16
 SEED = 20
 
 
@@ -155,12 +154,14 @@ class Mix:
     ``sources``: source, no, source_size, target. ``blocks``: no, block, shards (one for each whole copy), rest_shard, cut, singles.
     """
 
-    def __init__(self, sources: DataFrame, blocks: DataFrame, slim: DataFrame):
-        self.sources, self.blocks, self.slim = sources, blocks, slim
+    def __init__(self, sources: DataFrame, blocks: DataFrame, slim: DataFrame, shards: int):
+        self.sources, self.blocks, self.slim, self.shards = sources, blocks, slim, shards
 
 
-def plan_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST, shards: int = SHARDS) -> Mix:
+def plan_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST, shards: int | None = None) -> Mix:
+    """The plan over all rows; ``shards`` output shards, by default the session's shuffle partitions. What is taken doesn't depend on their number."""
     spark = importable(docs.sparkSession)
+    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                           F.col("text").cast("string").alias("text"))
     slim = stored(columns.select("doc_id", "source", n_words(F.col("text")).alias("size"),
@@ -198,7 +199,7 @@ def plan_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MO
             if whole or (copies[i], b) in of:
                 table.append((i, b, whole, of.get((copies[i], b)), cut, [p for p in singles if p >> shift == b]))
     blocks = stored(spark.createDataFrame(table, "no int, block int, shards array<int>, rest_shard int, cut long, singles array<long>"), "mix-blocks")
-    return Mix(sources, blocks, slim)
+    return Mix(sources, blocks, slim, shards)
 
 
 def _placed(rows: DataFrame, mix: Mix, source: str, at: str, out: str) -> DataFrame:
@@ -226,7 +227,7 @@ def taken(mix: Mix) -> DataFrame:
         (F.col("size") * F.size("shards")).alias("taken"), "shards")
 
 
-def mixed(docs: DataFrame, mix: Mix, shards: int = SHARDS) -> DataFrame:
+def mixed(docs: DataFrame, mix: Mix) -> DataFrame:
     """The mix itself: the rows of ``docs`` as often as they are taken, dealt to shards and shuffled within each.
 
     The columns are those of ``docs``, extra ones too. ``mix`` is the plan over the same rows.
@@ -235,7 +236,7 @@ def mixed(docs: DataFrame, mix: Mix, shards: int = SHARDS) -> DataFrame:
                        place(docs["doc_id"].cast("long"), docs["source"].cast("string"), docs["text"].cast("string")).alias("_mix_place"))
     return (_placed(rows, mix, "_mix_source", "_mix_place", "_mix_to")
             .select("_mix_row", "_mix_place", F.posexplode("_mix_to").alias("_mix_copy", "_mix_shard"))
-            .repartition(shards, "_mix_shard")
+            .repartition(mix.shards, "_mix_shard")
             .sortWithinPartitions("_mix_shard", F.xxhash64(F.lit(SEED), "_mix_place", "_mix_copy"))
             .select(*[F.col("_mix_row").getField(c).alias(c) for c in docs.columns]))
 
