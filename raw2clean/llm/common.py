@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 #: Text handed to Python at once, in bytes: what one task holds beside its Arrow batch.
-CHUNK_BYTES = 1_000_000
+CHUNK_BYTES = 500_000
 
 _LIBC = ctypes.CDLL(None)
 

@@ -28,7 +28,7 @@ from raw2clean.llm.common import chunks, importable, read, texts
 
 RANKS = "byte_bpe_50k.tiktoken"
 LEAF = 32            # bytes that are encoded without a further cut
-CACHE = 200_000      # pre-tokens whose ids a worker keeps
+CACHE = 100_000      # pre-tokens whose ids a worker keeps
 CACHED_BYTES = 64    # the longest pre-token kept
 
 
