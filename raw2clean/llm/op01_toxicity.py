@@ -35,7 +35,7 @@ THRESHOLD = 0.7
 POSITIVES, UNLABELLED = 6_000, 20_000   # documents of the two samples, at most
 WORDS = 20_000                          # words of the model, at most
 LEAST_DOCS, LEAST_Z = 5, 5.0            # sampled documents that hold a word of the model, and how far its shares differ
-STEPS, RATE, DECAY = 400, 0.05, 1e-5
+STEPS, RATE, DECAY = 1500, 0.1, 1e-5
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
