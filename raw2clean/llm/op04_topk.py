@@ -1,7 +1,7 @@
 """Exact top-k search by inner product: a Voronoi join.
 
-Equal vectors are one candidate that carries its k + 1 smallest ids, so a
-group of copies costs one row. Pivots cut the distinct vectors into Voronoi
+Equal vectors are one candidate that carries its k + 1 smallest distinct ids (an
+id of several rows up to k times), so a group of copies costs one row. Pivots cut the distinct vectors into Voronoi
 cells. A summary of a cell (its radius, and the smallest distances to the pivot with
 the rows that stand behind them) bounds every score in it: for a query q and
 a vector x of the cell of pivot p,
@@ -73,7 +73,7 @@ class Cells:
         self.pivots = pivots
         n = len(pivots)
         self.radius, self.rows = np.full(n, -1.0), np.zeros(n, np.int64)
-        self.near: list[list[tuple[float, int]]] = [[] for _ in range(n)]
+        self.near: list[list[tuple[float, list[int]]]] = [[] for _ in range(n)]
 
     def of(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The nearest pivot of each vector and the distance to it."""
@@ -82,19 +82,22 @@ class Cells:
         cell = d.argmin(axis=1)
         return cell, d[np.arange(len(v)), cell]
 
-    def wanted(self, q: np.ndarray, k: int) -> np.ndarray:
-        """queries x cells: whether a cell can hold one of the k best of a query, itself not counted."""
+    def wanted(self, q: np.ndarray, own: np.ndarray, k: int) -> np.ndarray:
+        """queries x cells: whether a cell can hold one of the k best of a query, rows of its own id not counted."""
         with np.errstate(all="ignore"):   # components near the largest double: bounds without a value bound nothing
             base, norm = q @ self.pivots.T, np.sqrt(np.square(q).sum(axis=1))[:, None]
             room = SLACK * (np.abs(base).max(initial=0) + norm.max(initial=0) * (1 + self.radius.max(initial=0)))
             which = [c for c, near in enumerate(self.near) for _ in near]
             far = np.array([d for near in self.near for d, _ in near])
-            count = np.array([m for near in self.near for _, m in near])
+            count = np.array([len(ids) for near in self.near for _, ids in near])
+            ids = np.array([i for near in self.near for _, of in near for i in of], np.int64)
             # scores end at the ends of a long, and so do the bounds
             low = np.nan_to_num(np.minimum(base[:, which] - norm * far, float(LONG)), nan=-np.inf, neginf=-np.inf)
             high = np.nan_to_num(np.maximum(base + norm * self.radius, float(-LONG - 1)) + room, nan=np.inf, posinf=np.inf)
         order = np.argsort(-low, axis=1, kind="stable")
-        reached = np.cumsum(count[order], axis=1) > k   # one row more than k, as the query itself may be among them
+        # rows of other ids alone: any number of rows may have the query's id
+        foreign = count - np.add.reduceat(ids == own[:, None], np.cumsum(count) - count, axis=1, dtype=np.int64)
+        reached = np.cumsum(np.take_along_axis(foreign, order, axis=1), axis=1) >= k
         at = np.where(reached.any(axis=1), reached.argmax(axis=1), 0)
         least = np.where(reached.any(axis=1), low[np.arange(len(q)), order[np.arange(len(q)), at]], -np.inf)
         return (high >= least[:, None]) & (self.radius >= 0)
@@ -129,11 +132,12 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
     """
     spark = importable(vectors.sparkSession)
     rows = quantised(vectors, scale)
-    # k + 1 ids of each distinct vector suffice: one of them may be the query's own
+    # k + 1 distinct ids of each distinct vector suffice, as one of them may be the query's own, and k rows of each id
     kept = Window.partitionBy("h", "v").orderBy("vec_id")
-    distinct = stored(rows.withColumn("h", F.xxhash64("v")).withColumn("r", F.row_number().over(kept))
-                      .where(F.col("r") <= k + 1)
-                      .groupBy("h", "v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).select("v", "ids"), "vectors")
+    distinct = stored(rows.groupBy(F.xxhash64("v").alias("h"), "v", "vec_id").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("n"))
+                      .withColumn("r", F.row_number().over(kept)).where(F.col("r") <= k + 1)
+                      .groupBy("h", "v").agg(F.sort_array(F.flatten(F.collect_list(F.array_repeat("vec_id", F.col("n"))))).alias("ids"))
+                      .select("v", "ids"), "vectors")
     cells = spark.sparkContext.broadcast(_cells(distinct, k, n_pivots))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,9 +153,9 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
     known = {dim: c for dim, c in cells.value.items()}
     for r in placed.groupBy("dim", "cell").agg(F.max("d").alias("radius"), F.count("*").alias("n")).collect():
         known[r["dim"]].radius[r["cell"]], known[r["dim"]].rows[r["cell"]] = r["radius"], r["n"]
-    for r in (placed.select("dim", "cell", "d", F.size("ids").alias("m")).withColumn("r", F.row_number().over(near))
+    for r in (placed.select("dim", "cell", "d", "ids").withColumn("r", F.row_number().over(near))
               .where(F.col("r") <= k + 1).collect()):
-        known[r["dim"]].near[r["cell"]].append((r["d"], r["m"]))
+        known[r["dim"]].near[r["cell"]].append((r["d"], r["ids"]))
     summaries = spark.sparkContext.broadcast(known)
 
     def blocks_of(dim: int, cell: int) -> int:
@@ -175,7 +179,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
                     continue
                 for s in range(0, part.num_rows, 256):
                     some = part.slice(s, 256)
-                    row, cell = np.nonzero(summaries.value[dim].wanted(_matrix(some.column("v"), dim), k))
+                    row, cell = np.nonzero(summaries.value[dim].wanted(_matrix(some.column("v"), dim), np.asarray(some.column("vec_id")), k))
                     n = np.array([blocks_of(dim, c) for c in cell], np.int64)
                     row, cell = np.repeat(row, n), np.repeat(cell, n)
                     b = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
@@ -217,14 +221,15 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
         scores = products(q, x)
         out: list[tuple[int, int, int]] = []
         for i, own in enumerate(query_ids.tolist()):
-            s = scores[i][of]
-            if len(s) > k + 1:   # all that reach the (k + 1)-th best, ties too
-                some = np.flatnonzero(s >= np.partition(s, len(s) - k - 1)[len(s) - k - 1])
+            foreign = np.flatnonzero(ids != own)
+            s = scores[i][of[foreign]]
+            if len(s) > k:   # all that reach the k-th best, ties too
+                some = np.flatnonzero(s >= np.partition(s, len(s) - k)[len(s) - k])
             else:
                 some = np.arange(len(s))
-            some = some[ids[some] != own]
-            some = some[np.lexsort((ids[some], -s[some].astype(object) if s.min(initial=0) == -LONG - 1 else -s[some]))][:k]
-            out += [(i, int(ids[j]), int(s[j])) for j in some]
+            theirs = ids[foreign[some]]
+            some = some[np.lexsort((theirs, -s[some].astype(object) if s.min(initial=0) == -LONG - 1 else -s[some]))][:k]
+            out += [(i, int(ids[foreign[j]]), int(s[j])) for j in some]
         take = pa.array([r[0] for r in out], pa.int64())
         return pa.RecordBatch.from_arrays(
             [pa.array(query_ids).take(take), q_v.take(take), pa.array([r[1] for r in out], pa.int64()), pa.array([r[2] for r in out], pa.int64())],

@@ -49,6 +49,22 @@ def test_top_k_odd_cases(spark):
     assert o4.top_k(vectors(spark, [(50, [1.0])])).count() == 0
 
 
+@pytest.mark.parametrize("times", [2, 8])
+@pytest.mark.parametrize(("pivots", "block"), [(1, 10_000), (64, 16)])
+def test_top_k_of_a_repeated_query_id(spark, times, pivots, block):
+    """Rows under a query's id, equal ones and others, take no place from rows of other ids."""
+    rng = np.random.default_rng(times)
+    centres = rng.normal(size=(6, 8))
+    rows = [(i, (centres[i % 6] * 2 + rng.normal(size=8) * 0.1).tolist()) for i in range(700)]
+    for i in (50, 100, 150):   # long vectors: their own copies score best
+        rows[i] = (i, (np.array(rows[i][1]) * 3).tolist())
+    rows += [(50, rows[50][1])] * (times - 1) + [(i, rows[50][1]) for i in (1051, 1052, 1053, 1054, 1055)]   # equal rows of the id
+    rows += [(100, (np.array(rows[100][1]) * (1 + j / 50)).tolist()) for j in range(1, times)]               # other vectors under the id
+    rows += [(250, rows[150][1])] * (times - 1) + [(1151, rows[150][1])] * 7                                 # two query ids and a repeated candidate
+    got = sorted(tuple(r) for r in o4.top_k(vectors(spark, rows), n_pivots=pivots, block=block).collect())
+    assert got == best(rows)
+
+
 def words(t):
     return len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
 
