@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from raw2clean.llm import op03_byte_bpe, op05_quality, op06_mixing, op07_line_dedup, op10_ngram_jaccard
-from raw2clean.llm.common import as_struct, importable, read, stored
+from raw2clean.llm.common import as_struct, importable, read, stored, text_key
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -38,24 +38,42 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each component of the n-gram Jaccard join (10): that of the smallest id.
+    """One row of each component of the n-gram Jaccard join (10): that of the smallest id, a null one last, and of its smallest text.
 
-    Rows without words are no one's duplicates and stay. Rows that repeat an
-    id that stays are one row: the smallest text.
+    Rows without words are no one's duplicates and stay. Rows alike in id and
+    text are one row. Rows that share an id and nothing else are documents of their own.
     """
-    linked = stored(op10_ngram_jaccard.link_documents(docs), "linked")
-    # what goes is less than what stays: ids of which no row stays, rarely too many for Spark to send them to the texts
-    stays = F.bool_or(F.col("component_id").eqNullSafe(F.col("doc_id")))
-    gone = stored(linked.groupBy(F.col("doc_id").alias("_gone")).agg(stays.alias("stays")).where("not stays").select("_gone"), "gone")
-    kept = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_gone"]), "left_anti")
-    repeated = linked.where("n_shingles > 0").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    if repeated.isEmpty():
+    row_id, row_text = docs["doc_id"].cast("long"), docs["text"].cast("string")
+    of_row = [row_id.alias("_id"), text_key(row_text).alias("_key")]
+    same = lambda other: row_id.eqNullSafe(other["_id"]) & (text_key(row_text) == other["_key"])
+    # a row for each text of an id: all rows of a text are in one component
+    leads = F.col("component_id").eqNullSafe(F.col("doc_id"))
+    each = stored(op10_ngram_jaccard.link_rows(docs).groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+                  .agg(F.min("component").alias("component"), F.bool_or(leads).alias("stays"), F.count("*").alias("n")), "linked")
+    first = each.where("stays and component is not null")
+    several = first.groupBy("component").agg(F.count("*").alias("m")).where("m > 1").select("component")
+    if not several.isEmpty():   # texts that share the smallest id of their component: only these are compared
+        tied = stored(first.join(several, "component", "left_semi").select("_id", "_key", "component"), "tied")
+        least = (docs.select(row_text.alias("text"), *of_row).join(tied.select(F.col("_id").alias("id"), F.col("_key").alias("key"), "component"),
+                                                                   F.col("_id").eqNullSafe(F.col("id")) & (F.col("_key") == F.col("key")))
+                 .groupBy("component").agg(F.min("text").alias("text")).select("component", text_key("text").alias("least")))
+        each = stored(each.join(least, "component", "left")
+                      .withColumn("stays", F.col("stays") & F.coalesce(F.col("least") == F.col("_key"), F.lit(True))).drop("least"), "linked")
+    # what goes is less than what stays: ids of which no row stays, rarely too many for Spark to send them to the texts;
+    # of the other ids single texts
+    ids = each.groupBy("_id").agg(F.bool_or("stays").alias("some"), F.bool_and("stays").alias("all"))
+    gone = stored(ids.where("not some").select("_id"), "gone")
+    kept = docs.join(gone, row_id.eqNullSafe(gone["_id"]), "left_anti")
+    mixed = ids.where("some and not all").select(F.col("_id").alias("_mixed"))
+    lost = stored(each.where("not stays").join(mixed, F.col("_id").eqNullSafe(F.col("_mixed")), "left_semi").select("_id", "_key"), "lost")
+    if not lost.isEmpty():
+        kept = kept.join(lost, same(lost), "left_anti")
+    again = each.where("stays and component is not null and n > 1").select("_id", "_key")
+    if again.isEmpty():
         return kept
-    row = F.struct("text", as_struct(docs).alias("whole")).alias("_row")
-    again = repeated.select(F.col("doc_id").alias("_again"))
-    many = kept["doc_id"].cast("long").eqNullSafe(again["_again"])
-    one = kept.join(again, many, "left_semi").select(row).groupBy("_row.whole.doc_id").agg(F.min("_row").alias("_row"))
-    return kept.join(again, many, "left_anti").unionByName(one.select("_row.whole.*"))
+    one = (kept.join(again, same(again), "left_semi").select(*of_row, as_struct(docs).alias("_row"))
+           .groupBy("_id", "_key").agg(F.min("_row").alias("_row")))
+    return kept.join(again, same(again), "left_anti").unionByName(one.select("_row.*"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

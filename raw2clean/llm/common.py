@@ -48,6 +48,11 @@ def texts(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def text_key(text: str | Column) -> Column:
+    """128 bits that stand for a text; a null one is the empty one."""
+    return F.unhex(F.md5(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("binary")))
+
+
 def as_struct(docs: DataFrame) -> Column:
     """All columns of ``docs`` in one struct, out of the way of the names that an operator adds."""
     return F.struct(*[docs["`" + c.replace("`", "``") + "`"].alias(c) for c in docs.columns])

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raw2clean.llm.common import LOWER, SPACE, chunks, importable, mix, read, span_hashes, stored, text_buffer, texts, trim, word_spans
+from raw2clean.llm.common import LOWER, SPACE, chunks, importable, mix, read, span_hashes, stored, text_buffer, text_key, texts, trim, word_spans
 from raw2clean.llm.components import connected_components
 
 WIDTH, PERCENT = 4, 85
@@ -208,11 +208,11 @@ def forest_of(ties: np.ndarray) -> np.ndarray:
         label = new
 
 
-_TABLE = "uid long, doc_id long, n long, key binary, bucket int, signatures binary, sets binary, ties array<long>"
+_TABLE = "uid long, doc_id long, text_key binary, n long, key binary, bucket int, signatures binary, sets binary, ties array<long>"
 
 
 def _part_table(docs: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
-    """Rows of documents (uid, doc_id, n, key), of signatures by bucket with their sets' uids, and of ties found in a task."""
+    """Rows of documents (uid, doc_id, text_key, n, key), of signatures by bucket with their sets' uids, and of ties found in a task."""
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_ngrams(docs, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +221,7 @@ def _part_table(docs: DataFrame, width: int, percent: int, buckets: int) -> Data
         found, of, held = [], [], 0
 
         def record(many_rows: int, /, **columns: pa.Array) -> pa.RecordBatch:
-            kinds = {"uid": pa.int64(), "doc_id": pa.int64(), "n": pa.int64(), "key": pa.binary(), "bucket": pa.int32(),
+            kinds = {"uid": pa.int64(), "doc_id": pa.int64(), "text_key": pa.binary(), "n": pa.int64(), "key": pa.binary(), "bucket": pa.int32(),
                      "signatures": pa.binary(), "sets": pa.binary(), "ties": pa.list_(pa.int64())}
             return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(many_rows, k) for c, k in kinds.items()], list(kinds))
 
@@ -243,8 +243,8 @@ def _part_table(docs: DataFrame, width: int, percent: int, buckets: int) -> Data
         for batch, sets in _sets(batches, width):
             rows = np.arange(uid, uid + len(sets))
             uid += len(sets)
-            yield record(len(sets), uid=pa.array(rows), doc_id=batch.column("doc_id"), n=pa.array([len(s) for s in sets], pa.int64()),
-                         key=pa.array([set_key(s) for s in sets], pa.binary()))
+            yield record(len(sets), uid=pa.array(rows), doc_id=batch.column("doc_id"), text_key=batch.column("text_key"),
+                         n=pa.array([len(s) for s in sets], pa.int64()), key=pa.array([set_key(s) for s in sets], pa.binary()))
             signatures, owner = parts.signatures(sets)
             found.append(signatures)
             of.append(rows[owner])
@@ -254,7 +254,7 @@ def _part_table(docs: DataFrame, width: int, percent: int, buckets: int) -> Data
                 found, of, held = [], [], 0
         yield from sent()
 
-    return texts(docs).mapInArrow(run, _TABLE)
+    return texts(docs).withColumn("text_key", text_key("text")).mapInArrow(run, _TABLE)
 
 
 def _tied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -346,10 +346,16 @@ def link_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     component unless all its ids are null. Other columns are not read; an
     empty table gives no rows.
     """
+    return link_rows(docs, width, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def link_rows(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``link_documents`` with text_key, and component: the key of a set of the row's
+    component, the same for all its rows whatever their ids; null for a row without words."""
     spark = importable(docs.sparkSession)
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     stored_parts = stored(_part_table(docs, width, percent, buckets), "parts-of-sets")
-    table = stored_parts.where("uid is not null").select("uid", "doc_id", "n", "key")
+    table = stored_parts.where("uid is not null").select("uid", "doc_id", "text_key", "n", "key")
     sets = table.where("key is not null")
 
     # candidates: sets that share a part. Only the first set of each star found in a task takes part in the
@@ -396,9 +402,10 @@ def link_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     first = sets.groupBy("key").agg(F.min("doc_id").alias("first"))
     named = first.join(of, "key", "left")
     smallest = named.where("label is not null").groupBy("label").agg(F.min("first").alias("smallest"))
-    ids = stored(named.join(smallest, "label", "left").select("key", F.coalesce("smallest", "first").alias("component_id")), "components")
-    return (table.select("doc_id", "n", "key").join(ids, "key", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+    ids = stored(named.join(smallest, "label", "left").select("key", F.coalesce("label", "key").alias("component"),
+                                                                     F.coalesce("smallest", "first").alias("component_id")), "components")
+    return (table.select("doc_id", "text_key", "n", "key").join(ids, "key", "left")
+            .select("doc_id", "text_key", F.col("n").alias("n_shingles"), "component", F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

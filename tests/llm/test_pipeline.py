@@ -60,6 +60,23 @@ def test_near_duplicate_stage(spark):
     assert got == [i for i, _, c in sorted(brute_components(list(enumerate(texts)))) if i == c]
 
 
+def test_near_duplicate_stage_goes_by_text(spark):
+    """Null and repeated ids: one row of each component, by content, and all rows without words."""
+    base = " ".join(f"w{k}" for k in range(40))
+    other = " ".join(f"v{k}" for k in range(40))
+    third = " ".join(f"u{k}" for k in range(40))
+    rows = [(None, base), (None, base + " end"), (None, "a text of no id"), (None, "another one"), (None, "another one"), (None, ""), (None, None), (None, ""),
+            (8, "x"), (8, "x"), (8, "another text for the same id"),
+            (3, other), (5, other + " end"), (5, "a distinct text of five"), (3, other + " and"), (None, other + " or"),   # near copies under 3, 5 and none
+            (7, third), (6, "six"), (7, third + " end"), (7, "")]
+    docs = spark.createDataFrame([(i, t, "en", str(k), 0) for k, (i, t) in enumerate(rows)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id, r.text) for r in P.near_duplicates(spark, docs, SF).collect()), key=repr)
+    want = [(None, base), (None, "a text of no id"), (None, "another one"), (None, ""), (None, None), (None, ""), (8, "x"), (8, "another text for the same id"),
+            (3, other), (5, "a distinct text of five"), (7, third), (6, "six"), (7, "")]
+    assert got == sorted(want, key=repr)
+
+
 def test_quality_stage_is_the_classifier(spark):
     """The rows that the operator accepts, whatever other columns they have; the last statistics' bits depend on nothing else."""
     from raw2clean.llm import op05_quality
