@@ -29,7 +29,8 @@ LETTERS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01
 WINDOW = 7           # bytes of the rolling hash
 LEAST_BLOCK = 4      # the smallest block size
 LENGTH = 32          # borders that a block size leaves at least, unless it is the smallest
-RUN = 7              # letters: signatures without a common run this long are unlike (a quarter of short ones, 3 at least)
+SHORT = 16           # letters: signatures below go straight to the edit distance
+RUN = 7              # letters: longer signatures without a common run this long (or of a quarter of the shorter one) are unlike
 
 
 def rolling(data: np.ndarray) -> np.ndarray:
@@ -87,8 +88,8 @@ def _alike(a: str, b: str) -> float:
     if a == b:
         return 1.0
     short = min(len(a), len(b))
-    run = min(RUN, max(3, short // 4), short)
-    if run == 0 or not {a[i:i + run] for i in range(len(a) - run + 1)} & {b[i:i + run] for i in range(len(b) - run + 1)}:
+    run = min(RUN, short // 4)
+    if short >= SHORT and not {a[i:i + run] for i in range(len(a) - run + 1)} & {b[i:i + run] for i in range(len(b) - run + 1)}:
         return 0.0
     return 1.0 - edit_distance(a, b) / max(len(a), len(b))
 

@@ -109,6 +109,19 @@ def test_likeness_of_edits():
     assert o8.likeness(o8.fingerprint(""), o8.fingerprint("")) == 1.0 and o8.likeness(o8.fingerprint(""), o8.fingerprint(one)) == 0.0
 
 
+def test_likeness_of_edits_of_short_texts():
+    """Texts of 8 to 30 characters: any chunk that the edit leaves counts."""
+    rnd, edits, unlike = random.Random(5), [], []
+    for _ in range(600):
+        one, other = ("".join(rnd.choice("abcdefghij ") for _ in range(n)) for n in (rnd.randint(8, 30), 30))
+        a, b = o8.fingerprint(one), o8.fingerprint(o8.edited(one, other))
+        (x, _), (y, _) = a.split(":")[1:], b.split(":")[1:]
+        edits.append(o8.likeness(a, b))
+        unlike.append(o8.likeness(a, o8.fingerprint(other)))
+        assert x[0] != y[0] or edits[-1] > 0, (one, other)
+    assert sum(edits) / len(edits) > 0.4 > 4 * sum(unlike) / len(unlike)
+
+
 @pytest.mark.parametrize("partitions", [1, 3, 40])
 def test_fingerprints_meet_the_next_document(spark, partitions):
     rows = sorted(((i, t or "") for i, t, _ in TEXTS), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
