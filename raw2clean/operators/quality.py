@@ -168,7 +168,7 @@ COLUMNS_AT_ONCE = 100
 
 
 def profile(df: DataFrame, columns: Iterable[str] | None = None,
-            distinct: str | Iterable[str] = "auto", small: int = SMALL) -> DataFrame:
+            distinct: str | Iterable[str] = "auto", small: int = SMALL, say_exact: bool = False) -> DataFrame:
     """D3: statistics of every column, one row each (``AllStatistics of AllColumns``).
 
     ``distinct="approx"``: one pass without a value shuffle. Rows unpivot into
@@ -184,13 +184,19 @@ def profile(df: DataFrame, columns: Iterable[str] | None = None,
 
     ``distinct="exact"``: exact for all columns, in ONE scan: every statistic comes
     from the frequencies of (column, value) pairs, which are shuffled.
+
+    ``say_exact`` adds ``distinct_is_exact``: whether a row's distinct count is exact or an estimate.
     """
-    columns = list(columns) if columns is not None else df.columns
+    out = _profile(df, list(columns) if columns is not None else df.columns, distinct, small)
+    return out if say_exact else out.drop("distinct_is_exact")
+
+
+def _profile(df: DataFrame, columns: list[str], distinct: str | Iterable[str], small: int) -> DataFrame:
     if distinct == "exact":
         return _profile_exact(df, columns)
     summary = _summaries(df, columns)
     if distinct == "approx":
-        return _profile_rows(df, columns, summary.withColumn("singles", F.lit(None).cast("bigint")))
+        return _profile_rows(df, columns, summary.withColumn("singles", F.lit(None).cast("bigint")), F.lit(False))
     if distinct != "auto" and isinstance(distinct, str):
         raise ValueError(f"unknown distinct={distinct!r}")
     # one row per column: what the second scan reads is decided here
@@ -198,7 +204,7 @@ def profile(df: DataFrame, columns: Iterable[str] | None = None,
     asked = set() if distinct == "auto" else set(distinct)
     counted = [i for i, n in ((r["i"], r["distinct"]) for r in known.collect()) if n <= small or columns[i] in asked]
     if not counted:
-        return _profile_rows(df, columns, known.withColumn("singles", F.lit(None).cast("bigint")))
+        return _profile_rows(df, columns, known.withColumn("singles", F.lit(None).cast("bigint")), F.lit(False))
     number_of = F.element_at(F.array(*[F.lit(i) for i in counted]), F.col("i") + 1)
     exact = (value_pairs(df, [columns[i] for i in counted]).groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
              .groupBy(number_of.alias("i")).agg(F.count(F.lit(1)).alias("counted"), F.count_if(F.col("n") == 1).alias("singles")))
@@ -206,7 +212,7 @@ def profile(df: DataFrame, columns: Iterable[str] | None = None,
     is_counted = F.col("i").isin(counted)
     return _profile_rows(df, columns, found.select(
         *[c for c in known.columns if c != "distinct"],
-        F.when(is_counted, F.coalesce("counted", F.lit(0))).otherwise(F.col("distinct")).alias("distinct"), "singles"))
+        F.when(is_counted, F.coalesce("counted", F.lit(0))).otherwise(F.col("distinct")).alias("distinct"), "singles"), is_counted)
 
 
 def _summaries(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -260,10 +266,10 @@ def _profile_exact(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     m2 = (freq.join(F.broadcast(means), "i")
           .groupBy("i").agg(F.sum(n * (d - F.col("mean")) * (d - F.col("mean"))).alias("m2")))
     spread = F.when(F.col("num_n") > 1, F.sqrt(F.col("m2") / (F.col("num_n") - 1)))
-    return _profile_rows(df, columns, per.join(F.broadcast(m2), "i", "left").withColumn("stddev", spread))
+    return _profile_rows(df, columns, per.join(F.broadcast(m2), "i", "left").withColumn("stddev", spread), F.lit(True))
 
 
-def _profile_rows(df: DataFrame, columns: Sequence[str], per: DataFrame) -> DataFrame:
+def _profile_rows(df: DataFrame, columns: Sequence[str], per: DataFrame, exact: Column) -> DataFrame:
     """One row per column, also for a table without rows (bounded by the column count)."""
     ids = df.sparkSession.range(len(columns)).select(F.col("id").cast("int").alias("i"))
     out = ids.join(F.broadcast(per), "i", "left")
@@ -281,6 +287,7 @@ def _profile_rows(df: DataFrame, columns: Sequence[str], per: DataFrame) -> Data
         F.col("sum").cast("double").alias("sum"),
         F.col("min_length").cast("int").alias("min_length"),
         F.col("max_length").cast("int").alias("max_length"),
+        exact.alias("distinct_is_exact"),
     )
 
 
@@ -293,5 +300,5 @@ def run_checks(df: DataFrame, rules: Sequence[QualityRule] = (),
     """
     out = {"rule_outcomes": evaluate(df, rules)}
     if statistics:
-        out["statistics"] = profile(df, distinct=distinct)
+        out["statistics"] = profile(df, distinct=distinct, say_exact=True)
     return out

@@ -103,3 +103,17 @@ def test_profile_modes_agree(spark, monkeypatch):
                 assert auto[c][k] == v or math.isclose(auto[c][k], v, rel_tol=1e-9), (c, k)
     assert abs(auto["id"]["distinct"] - 20_000) < 2_000 and auto["id"]["uniqueness"] is None
     assert named["n"]["distinct"] == 20_000 and named["n"]["uniqueness"] == 1.0
+
+
+def test_profile_says_which_counts_are_exact(spark):
+    """Estimates lie within three times the sketch's error of 1.6 % of the exact counts."""
+    df = spark.range(40_000).selectExpr("cast(id as string) AS many", "cast(id % 9000 as string) AS some", "cast(id % 7 as string) AS few")
+    exact, auto, named, approx = ({r["column"]: r for r in Q.run_checks(df, statistics=True, distinct=d)["statistics"].collect()} for d in ("exact", "auto", ["some"], "approx"))
+    flags = lambda p: [p[c].distinct_is_exact for c in df.columns]
+    assert flags(exact) == [True] * 3 and flags(auto) == [False, False, True]
+    assert flags(named) == [False, True, True] and flags(approx) == [False] * 3
+    assert [exact[c]["distinct"] for c in df.columns] == [40_000, 9000, 7]
+    for p in (auto, named, approx):
+        for c in df.columns:
+            n = exact[c]["distinct"]
+            assert p[c]["distinct"] == n if p[c].distinct_is_exact else abs(p[c]["distinct"] - n) <= 0.048 * n
