@@ -27,12 +27,3 @@ def ansi_spark(spark, request):
 @pytest.fixture
 def tmp_dir():
     return tempfile.mkdtemp(prefix="raw2clean-test-", dir="/tmp")
-
-
-def one_col(spark, values, name="c"):
-    return spark.createDataFrame([(v,) for v in values], f"`{name}` string")
-
-
-def apply_rule(spark, rule, values):
-    df = one_col(spark, values)
-    return [r[0] for r in df.select(rule.column("c")).collect()]

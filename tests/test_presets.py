@@ -1,7 +1,6 @@
 """Presets: names, order and counts of each era's rule table."""
 
 import pytest
-from conftest import one_col  # noqa: F401
 
 from raw2clean.plans.presets import DEDUP_KEYS_2007, YEAR_TO_ERA, preset, preset_for_year
 from raw2clean.plans.ruleset import MissingColumnsError

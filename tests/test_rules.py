@@ -1,6 +1,6 @@
 """Each rule on small inputs: kept, nulled, NULL, empty, sentinel; ANSI on and off."""
 
-from conftest import apply_rule, one_col
+from helpers import apply_rule, one_col
 
 import pytest
 
