@@ -16,6 +16,9 @@ from raw2clean.llm.op07_line_dedup import OP7_SQL, op7_line_dedup
 from raw2clean.llm.op08_fingerprints import op8_fingerprints
 from raw2clean.llm.op09_url_filter import OP9_SQL, op9_url_filter
 from raw2clean.llm.op10_ngram_jaccard import OP10_SQL, op10_ngram_jaccard
+from raw2clean.llm.op11_ranked_search import OP11_SQL, op11_ranked_search
+from raw2clean.llm.op12_simhash import op12_simhash
+from raw2clean.llm.op13_runs import op13_periodic_runs
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
@@ -28,7 +31,10 @@ Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_url_filter": op9_url_filter,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_simhash": op12_simhash,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {"op4_topk": OP4_SQL, "op7_line_dedup": OP7_SQL, "op9_url_filter": OP9_SQL,
-                              "op10_ngram_jaccard": OP10_SQL}
+                              "op10_ngram_jaccard": OP10_SQL, "op11_ranked_search": OP11_SQL}

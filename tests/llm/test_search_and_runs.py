@@ -1,0 +1,302 @@
+"""Operators 11, 12 and 13 against plain brute force."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from compare import digest, duck
+from edge import TEXTS, documents, edge_docs, empty_docs
+
+from raw2clean.llm import op11_ranked_search as o11
+from raw2clean.llm import op12_simhash as o12
+from raw2clean.llm import op13_runs as o13
+
+ASCII = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+SF = "/root/testdata/sf0.001"
+
+
+# -- 11: ranked search ---------------------------------------------------------
+
+def ranked(docs, items, k=50):
+    terms = lambda t: re.findall(o11.TERM, (t or "").translate(ASCII))
+    bags = [(i, Counter(terms(t))) for i, t in docs]
+    n_docs, n_terms = sum(bool(b) for _, b in bags), sum(sum(b.values()) for _, b in bags)
+    df = Counter(t for _, b in bags for t in b)
+    out = []
+    for item, text in set(items):
+        found = []
+        for doc, b in bags:
+            if b:
+                m = 100 - 50 + (50 * sum(b.values()) * n_docs) // n_terms
+                s = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (1000000000 * b[t] // (1000 * b[t] + 20 * m))
+                        for t in set(terms(text)) if t in b)
+                if s > 0:
+                    found.append((-s, doc is None, doc or 0, doc))
+        found.sort(key=lambda x: x[:3])
+        out += [(item, r, x[3], -x[0]) for r, x in enumerate(found[:k], 1)]
+    return sorted(out, key=repr)
+
+
+def items_of(spark, rows):
+    return spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "item_id long, text string, doc_id string, rank int")
+
+
+def searched(df):
+    return sorted((tuple(r) for r in df.select("item_id", "rank", "doc_id", "score").collect()), key=repr)
+
+
+@pytest.mark.parametrize("rows", [20_000, 3])
+def test_ranked_search(spark, monkeypatch, rows):
+    monkeypatch.setattr(o11, "ITEM_ROWS", rows)       # in blocks of items, too
+    rnd = random.Random(rows)
+    words = [f"w{i}" for i in range(40)] + ["É", "naïve", "X9", "日本"]
+    texts = [" ".join(rnd.choices(words, k=rnd.randint(0, 30))) for _ in range(150)]
+    texts += [texts[3]] * 70 + [None, "", "?!", "w1, W1;w2"] + ["w5 w6"] * 60      # classes of more than k documents
+    items = [(i, " ".join(rnd.choices([*words, "nowhere"], k=rnd.randint(1, 12)))) for i in range(9)]
+    items += [(20, None), (21, ""), (22, "nowhere"), (23, "w5"), (23, "w6 w6"), (24, "w5 w6"), (24, "w5 w6"), (None, "w1")]
+    assert searched(o11.ranked_search(documents(spark, texts), items_of(spark, items))) == ranked(list(enumerate(texts)), items)
+    assert searched(o11.ranked_search(documents(spark, texts), items_of(spark, items), k=3)) == ranked(list(enumerate(texts)), items, 3)
+
+
+def test_ranked_search_odd_cases(spark, monkeypatch):
+    items = [(1, "one TWO id"), (2, "word xxxx here"), (3, "naïve 日本語"), (None, "no"), (4, "x")]
+    docs = [(i, t) for i, t, _ in TEXTS]
+    assert searched(o11.ranked_search(edge_docs(spark), items_of(spark, items))) == ranked(docs, items)
+    monkeypatch.setattr(o11, "PENDING", 1)            # scores kept a few at a time
+    monkeypatch.setattr(o11, "POSTINGS", 1)
+    assert searched(o11.ranked_search(edge_docs(spark), items_of(spark, items), k=2)) == ranked(docs, items, 2)
+    empty = items_of(spark, items).limit(0)
+    for df in (o11.ranked_search(empty_docs(spark), items_of(spark, items)), o11.ranked_search(edge_docs(spark), empty), o11.ranked_search(empty_docs(spark), empty)):
+        assert df.columns == ["item_id", "rank", "doc_id", "score"] and df.count() == 0
+
+
+def test_scores_that_doubles_cannot_hold():
+    words = o11.Vocabulary.of([(1, "a b"), (2, "b")])
+    term = {t: int(words.find(np.frombuffer(t, np.uint8), np.array([0]), np.array([1]))[1][0]) for t in (b"a", b"b")}
+    pairs, row, m = np.array([[term[b"a"], 1], [term[b"b"], 2]]), np.zeros(2, np.int64), np.array([50])
+    weight = np.array([(1 << 41) + 1, (1 << 41) + 3])
+    exact = {t: int(weight[term[t]]) * (10 ** 9 * tf // (1000 * tf + 1000)) for t, tf in ((b"a", 1), (b"b", 2))}
+    assert o11.scores(pairs, row, m, weight, words).tolist() == [[exact[b"a"] + exact[b"b"], exact[b"b"]]]
+
+
+def test_ranked_search_sql(spark):
+    df, res = o11.op11_ranked_search(spark, SF), duck(SF).sql(o11.OP11_SQL)
+    assert digest(df.columns, [tuple(r) for r in df.collect()])[0] == digest(res.columns, res.fetchall())[0]
+
+
+# -- 12: fingerprints and their links ------------------------------------------
+
+def plain_simhash(text, width=4):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(ASCII))
+    grams = [" ".join(words[k:k + width]) for k in range(max(len(words) - width + 1, 1))] if words else []
+    h = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def components(ids, prints, distance=4):
+    leader = {p: p for p in prints}
+
+    def find(p):
+        while leader[p] != p:
+            p = leader[p]
+        return p
+
+    distinct = list(leader)
+    for k, x in enumerate(distinct):
+        for y in distinct[k + 1:]:
+            if (x ^ y).bit_count() <= distance:
+                leader[find(x)] = find(y)
+    least = defaultdict(list)
+    for i, p in zip(ids, prints, strict=True):
+        least[find(p)].append(i)
+    first = {p: min((i for i in v if i is not None), default=None) for p, v in least.items()}
+    return [first[find(p)] for p in prints]
+
+
+def test_simhash_of_texts(spark, monkeypatch):
+    monkeypatch.setattr(o12, "SHINGLES", 7)
+    for text in ("", "a", "A b", "one two three four", "One  two\tthree\nfour FIVE " * 9, "naïve É 日本 x\x00y z", "  "):
+        assert o12.simhash(text.encode()) == plain_simhash(text)
+    rows = [(i, t) for i, t, _ in TEXTS]
+    prints = [plain_simhash(t) for _, t in rows]
+    out = o12.near_duplicates(edge_docs(spark))
+    exp = zip([i for i, _ in rows], prints, components([i for i, _ in rows], prints), strict=True)
+    got = [(r.doc_id, r.print & (1 << 64) - 1, r.component_id) for r in out.collect()]
+    assert sorted(got, key=repr) == sorted(exp, key=repr)
+    assert o12.near_duplicates(empty_docs(spark)).count() == 0
+
+
+def clustered(rnd, n):
+    """Fingerprints alone, chains of small steps, dense balls."""
+    out = [rnd.getrandbits(64) for _ in range(n // 3)]
+    for spread in (1, 2, 3, 5):
+        x = rnd.getrandbits(64)
+        for _ in range(n // 12):
+            x ^= sum(1 << b for b in rnd.sample(range(64), spread))
+            out.append(x)
+    centre = rnd.getrandbits(64)
+    out += [centre ^ sum(1 << b for b in rnd.sample(range(64), rnd.randint(0, 6))) for _ in range(n // 3)]
+    return out
+
+
+@pytest.mark.parametrize(("shard", "part", "rest", "dense"), [(32_768, 1 << 21, 1 << 16, 1 << 22), (40, 1 << 21, 50, 200), (40, 60, 50, 1 << 22), (2000, 100, 1, 1)])
+@pytest.mark.parametrize("distance", [0, 1, 4, 6])
+def test_links_of_fingerprints(spark, monkeypatch, shard, part, rest, dense, distance):
+    for name, value in (("SHARD", shard), ("PART", part), ("REST", rest), ("DENSE", dense)):
+        monkeypatch.setattr(o12, name, value)
+    rnd = random.Random(shard + distance)
+    prints = list(dict.fromkeys(clustered(rnd, 900)))
+    table = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in prints], "print long")
+    edges = [(r.u & (1 << 64) - 1, r.v & (1 << 64) - 1) for r in o12._links(table, len(prints), distance).collect()]
+    ids = list(range(len(prints)))
+    expected = components(ids, prints, distance)
+    leader = {p: i for i, p in enumerate(prints)}
+    for _ in ids:
+        before = dict(leader)
+        for u, v in edges:
+            leader[u] = leader[v] = min(leader[u], leader[v])
+        if leader == before:
+            break
+    assert [leader[p] for p in prints] == expected
+
+
+def test_shards_prune(spark):
+    """A fingerprint has one home a tree, and visits far fewer shards than there are."""
+    rnd = np.random.default_rng(5)
+    prints = rnd.integers(0, 1 << 63, 20_000, dtype=np.uint64) * np.uint64(2) + rnd.integers(0, 2, 20_000, dtype=np.uint64)
+    tree = o12.Shards.fit(prints[:8192], o12.TREES[0], 7)
+    row, shard, home = tree.places(prints, 1)
+    assert np.bincount(row[home]).tolist() == [1] * 20_000
+    assert len(np.unique(shard[home])) > 100 and (~home).sum() < 0.1 * 20_000 * 128
+
+
+# -- 13: runs ------------------------------------------------------------------
+
+def plain_runs(words, least=12):
+    found = {}
+    for p in range(1, len(words) // 2 + 1):
+        at = 0
+        while at < len(words) - p:
+            end = at
+            while end < len(words) - p and words[end] == words[end + p]:
+                end += 1
+            if end + p - at >= max(least, 2 * p):
+                found.setdefault((at, end + p), p)
+            at = end + 1
+    return sorted((s, e - s, p) for (s, e), p in found.items())
+
+
+def collapsed(words, runs):
+    gone = {i for s, n, p in runs for i in range(s + p, s + n)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def sequences(rnd, n):
+    """Few letters, squares in squares, one word, an overlap-free sequence, repeats with an error."""
+    yield [rnd.choice("ab") for _ in range(n)]
+    yield (rnd.choices("abcdefgh", k=rnd.randint(1, 30)) * n)[:n]
+    yield ["x"] * n
+    morse = ["a"]
+    while len(morse) < n:
+        morse = morse + ["b" if c == "a" else "a" for c in morse]
+    yield morse[:n]
+    parts = [rnd.choices("abcdefghij", k=rnd.randint(1, 9)) for _ in range(3)]
+    yield [w for _ in range(15) for w in rnd.choice(parts)][:n]
+    broken = (rnd.choices("abcdefgh", k=rnd.randint(1, 30)) * n)[:n]
+    if broken:
+        broken[rnd.randrange(n)] = "z"
+    yield broken
+
+
+@pytest.mark.parametrize("least", [2, 3, 4, 5, 8, 12])
+def test_runs(least):
+    rnd = random.Random(least)
+    for _ in range(12):
+        docs = [w for _ in range(2) for w in sequences(rnd, rnd.randint(0, 130))]
+        raw = [" ".join(w).encode() for w in docs]
+        offsets = np.concatenate(([0], np.cumsum([len(x) for x in raw]))).astype(np.int64)
+        count, runs, stays = o13.runs_of_texts(np.frombuffer(b"".join(raw), np.uint8), offsets, least)
+        assert count.tolist() == [len(w) for w in docs]
+        expected = [plain_runs(w, least) for w in docs]
+        assert [tuple(r) for r in runs.tolist()] == [(d, *r) for d, found in enumerate(expected) for r in found]
+        kept = [" ".join(w for w, s in zip(d, part, strict=True) if s) for d, part in zip(docs, np.split(stays, np.cumsum(count)[:-1]), strict=True)]
+        assert kept == [collapsed(w, r) for w, r in zip(docs, expected, strict=True)]
+
+
+@pytest.mark.parametrize("least", [2, 6, 12])
+def test_runs_word_by_word(least):
+    """However the words are cut into calls, and at every moment: open comparisons end where the words end."""
+    rnd = random.Random(least)
+    for words in [w for _ in range(4) for w in sequences(rnd, rnd.randint(1, 90))]:
+        x = np.array([zlib.crc32(w.encode()) + 1 for w in words], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        catcher, at = o13.SquareCatcher(least), 0
+        while at < len(x):
+            step = rnd.choice([1, 1, 1, 2, 9])
+            catcher.append(x[at:at + step], np.zeros(len(x[at:at + step]), np.int64))
+            at += step
+        catcher.finish()
+        assert [(s, e - s, p) for s, e, p in catcher.runs().tolist()] == plain_runs(words, least)
+
+
+def test_long_texts(monkeypatch):
+    monkeypatch.setattr(o13, "SLICE", 1000)
+    rnd = random.Random(1)
+    base = [f"w{rnd.randrange(5000)}" for _ in range(2700)]
+    words = [*base, *base, *base[:1000], "end", *["one", "two"] * 4000]
+    raw = " ".join(words).encode()
+    _, runs, _ = o13.runs_of_texts(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    assert [tuple(r[1:]) for r in runs.tolist()] == [(0, 6400, 2700), (6401, 8000, 2)]
+
+
+def test_hashes_that_collide(monkeypatch):
+    """Sums of spans that say all is alike are overruled by the words."""
+    monkeypatch.setattr(o13.SquareCatcher, "_span", lambda self, at, length: np.zeros(np.broadcast(at, length).shape, np.uint64))
+    catcher = o13.SquareCatcher(4)
+    x = np.array([1, 2, 3, 9, 9, 9, 9, 9, 4, 5, 6, 7], np.uint64)
+    catcher.append(x, np.zeros(len(x), np.int64))
+    catcher.finish()
+    assert (3, 8, 1) in [tuple(r) for r in catcher.runs().tolist()]
+
+
+def test_periodic_runs_odd_cases(spark):
+    out = o13.periodic_runs(edge_docs(spark), 4)
+    expected = []
+    for i, t, _ in TEXTS:
+        words = re.findall(o13.WORD, t or "")
+        found = plain_runs(words, 4) if len(words) < 1000 else [(0, len(words) - 1, 6)]
+        expected.append((i, len(words), found, collapsed(words, found)))
+    got = [(r.doc_id, r.n_words, [tuple(x) for x in r.runs], r.collapsed) for r in out.collect()]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+    assert o13.periodic_runs(empty_docs(spark)).count() == 0
+
+
+def test_periodic_runs_query(spark):
+    expected = []
+    for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        words, h = re.findall(o13.WORD, r.text or ""), zlib.crc32(str(r.doc_id).encode())
+        g, n = h // 10, len(words)
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+        runs = plain_runs(words)
+        best = min(runs, key=lambda x: (-x[1], x[0], x[2]), default=None)
+        sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+        expected.append((r.doc_id, len(runs), *(best or (None,) * 3), 1000 * best[1] // best[2] if best else None,
+                         sha("".join(f"{s},{k},{p}\n" for s, k, p in runs)), sha(collapsed(words, runs))))
+    out = o13.op13_periodic_runs(spark, SF)
+    assert out.columns == ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+    assert sorted(tuple(r) for r in out.collect()) == sorted(expected)
+
+
+def test_simhash_query(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    prints = [plain_simhash(r.text) for r in rows]
+    expected = zip([r.doc_id for r in rows], [f"{p:016x}" for p in prints], components([r.doc_id for r in rows], prints), strict=True)
+    assert sorted(tuple(r) for r in o12.op12_simhash(spark, SF).collect()) == sorted(expected)
