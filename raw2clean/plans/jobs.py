@@ -16,19 +16,24 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from raw2clean.functions.rules import as_column
 from raw2clean.operators.dedup import dedup_by_key, distinct_rows
 from raw2clean.operators.quality import QualityRule, run_checks
 from raw2clean.operators.shape import (
     SURVEY_SENTINELS,
-    drop_empty_columns,
     drop_empty_rows,
     merge_by_name,
     null_sentinels,
+    value_counts,
 )
 from raw2clean.plans.presets import DEDUP_KEYS_2007, YEAR_TO_ERA, preset
 from raw2clean.plans.ruleset import RuleSet
-from raw2clean.sources.io import group_by_header, list_files, read_group, read_table, year_of_file, write_table
+from raw2clean.sources.io import files_by_year, group_by_header, read_group, read_table, year_of_file, write_table
+
+#: Scans of one header and year each that a folder is read by.
+YEAR_SCANS = 100
 
 
 def clean(df: DataFrame, rules: RuleSet, dedup_keys: Sequence[str] | None = None,
@@ -80,25 +85,31 @@ def merge_folder(spark: SparkSession, in_path: str, pattern: str = "*.csv",
     """U1/U2 with S3, S11, R15 and C2: all matching files below ``in_path``
     as one table.
 
-    Files are grouped by their header (read alone, a line of each file); each
-    group is one parallel CSV scan in which Spark checks every header; the
-    groups are united by column name. Columns with no value in any file are
-    dropped with one joint aggregate, so the data is read twice. A column
+    One listing tells the files and the year of each; one job reads their first lines and groups
+    them by header. Files of one header and year are one parallel CSV scan, in which Spark checks
+    every header and the year is a constant (beyond ``YEAR_SCANS`` of them: one scan a
+    header, the year worked out from each row's file). The scans are united by column name. Columns with no
+    value in any file are dropped with one joint aggregate, so the data is read twice. A column
     dropped from some files only would be NULL for those files' rows after a
     by-name union anyway, so one aggregate over the united table gives the
     legacy per-file result without a job per file and column. With
     ``by="position"`` the columns of the first file name those of all. Returns ``None`` when
     no file matches.
     """
-    files = list_files(spark, in_path, pattern)
-    if not files:
-        return None
-    groups = group_by_header(spark, files)
-    if not groups:   # files without any line
+    years = files_by_year(spark, in_path, pattern)
+    groups = group_by_header(spark, list(years))
+    if not groups:   # no files, or none with any line
         return None
-    frames = [null_sentinels(read_group(spark, columns, of), sentinels, extra={year_column: year_of_file(in_path)}) for columns, of in groups]
-    merged = merge_by_name(frames, by=by)
-    return drop_empty_columns(merged) if drop_empty else merged
+    keep = None
+    if drop_empty:
+        plain = [null_sentinels(read_group(spark, columns, of), sentinels) for columns, of in groups]
+        rows, values = value_counts(merge_by_name(plain, by=by))
+        keep = [c for c, n in values.items() if n or not rows]
+    by_year = [(columns, F.lit(y), [f for f in of if years[f] == y]) for columns, of in groups for y in dict.fromkeys(years[f] for f in of)]
+    if len(by_year) > YEAR_SCANS:
+        by_year = [(columns, year_of_file(in_path), of) for columns, of in groups]
+    merged = merge_by_name([null_sentinels(read_group(spark, columns, of), sentinels, extra={year_column: y}) for columns, y, of in by_year], by=by)
+    return merged if keep is None else merged.select(*[as_column(c) for c in (*keep, year_column)])
 
 
 def run_merge(spark: SparkSession, in_path: str, out_path: str | None = None,

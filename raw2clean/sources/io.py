@@ -15,17 +15,18 @@ import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from raw2clean.functions.rules import as_column
+from raw2clean.sources.first_lines import first_lines
 
 # How a year is found in a file path, and the text used when none is.
 YEAR_PATTERN = r"_(\d{4})"
 YEAR_UNKNOWN = "Unknown"
 
-#: Small jobs (one line of one file each) that run at a time.
+#: Spark's header reads (one for each different header line) that run at a time.
 HEADER_JOBS = 16
 
 
@@ -80,7 +81,7 @@ def read_table(spark: SparkSession, path: str | list[str], types: str = "string"
     reader = _csv_reader(spark, types, schema, header, sep, quote, escape, recursive, pattern, multiline, check_headers)
     df = reader.csv(path)
     if promote_first_row:
-        df = promote_header(df, header=first_row(reader, spark, path, pattern, recursive))
+        df = promote_header(df, header=first_row(reader, spark, path, pattern, recursive, header))
     if year_column:
         df = df.withColumn(year_column, year_of_file(path, year_pattern, year_source))
     return df
@@ -122,9 +123,20 @@ def escape_glob(path: str) -> str:
     return re.sub(r"([*?\[\]{}\\])", r"\\\1", path)
 
 
-def first_row(reader, spark: SparkSession, path: str | list[str], pattern: str | None = None, recursive: bool = False) -> list:
-    """The first data row in file order: of the first file by path that has one. Each file asked is read up to its first row."""
-    for file in list_files(spark, path, pattern or "*", recursive, empty=False):
+def first_row(reader, spark: SparkSession, path: str | list[str], pattern: str | None = None, recursive: bool = False,
+              header: bool = True) -> list:
+    """The first data row in file order: of the first file by path that has one.
+
+    One job asks all files whether they have a row, and takes the first of those that have; Spark's reader
+    then reads that file's row. Only where files can't be asked, or where a
+    quoted cell of a header line runs over several lines, files are read one after another from there on.
+    """
+    files = list_files(spark, path, pattern or "*", recursive, empty=False)
+    if not files:
+        return []
+    has_row = F.col("more") if header else F.col("line").isNotNull()
+    start = first_lines(spark, files).where(~F.col("opened") | has_row).agg(F.min("file")).first()[0]
+    for file in files[files.index(start):] if start is not None else []:
         if row := reader.csv(escape_glob(file)).head(1):
             return list(row[0])
     return []
@@ -160,33 +172,48 @@ def list_files(spark: SparkSession, path: str | list[str], pattern: str = "*.csv
     are not read, since only path and length are selected. The driver holds
     the paths, as it does for any file scan.
     """
+    return [r["path"] for r in _listed(spark, path, pattern, recursive, empty)]
+
+
+def files_by_year(spark: SparkSession, path: str, pattern: str = "*.csv", recursive: bool = True,
+                  year_pattern: str = YEAR_PATTERN, source: str = "below") -> dict[str, str]:
+    """S3 + S11: every file as ``list_files`` finds it, and its year as ``year_of_file`` has it, from the listing alone."""
+    return {r["path"]: r["year"] for r in _listed(spark, path, pattern, recursive, True, year_of_file(path, year_pattern, source).alias("year"))}
+
+
+def _listed(spark: SparkSession, path: str | list[str], pattern: str, recursive: bool, empty: bool, *more: Column) -> list[Row]:
     r = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     if recursive:
         r = r.option("recursiveFileLookup", True)
     try:
-        found = r.load(path).where(F.lit(empty) | (F.col("length") > 0)).select("path")
-        rows = found.collect()
+        rows = r.load(path).where(F.lit(empty) | (F.col("length") > 0)).select("path", *more).collect()
     except Exception as e:  # an empty or absent folder
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return []
         raise
-    return sorted(r["path"] for r in rows)
+    return sorted(rows, key=lambda r: r["path"])
 
 
 def group_by_header(spark: SparkSession, files: list[str]) -> list[tuple[list[str], list[str]]]:
     """(columns, files) for each different header, in order of the first file.
 
-    A file's header comes from Spark's own header read, which reads the first
-    line that isn't blank and nothing else; ``HEADER_JOBS`` files at a time. A
-    file without any such line has no rows and is left out. Equal headers are held once.
+    One job reads the first line of every file on the executors and groups the files by it;
+    Spark's own header read then tells the columns of each different line, from
+    one of its files. Only files that the workers can't open are asked one by one.
+    A file without any line has no rows and is left out.
     """
-    read = lambda f: tuple(_csv_reader(spark).csv(escape_glob(f)).columns)
+    if not files:
+        return []
+    found = (first_lines(spark, files).where(~F.col("opened") | F.col("line").isNotNull())
+             .groupBy("opened", "line").agg(F.array_sort(F.collect_list("file")).alias("files")).select("opened", "files").collect())
+    alike = [r["files"] for r in found if r["opened"]] + [[f] for r in found if not r["opened"] for f in r["files"]]
+    read = lambda of: tuple(_csv_reader(spark).csv(escape_glob(of[0])).columns)
     groups: dict[tuple[str, ...], list[str]] = {}
     with ThreadPoolExecutor(HEADER_JOBS) as pool:
-        for f, head in zip(files, pool.map(read, files), strict=True):
+        for of, head in zip(alike, pool.map(read, alike), strict=True):
             if head:
-                groups.setdefault(head, []).append(f)
-    return [(list(head), of) for head, of in groups.items()]
+                groups.setdefault(head, []).extend(of)
+    return sorted(((list(head), sorted(of)) for head, of in groups.items()), key=lambda g: g[1][0])
 
 
 def read_group(spark: SparkSession, columns: list[str], files: list[str], **kw) -> DataFrame:

@@ -173,7 +173,7 @@ def test_another_header_in_a_group_is_an_error(spark, tmp_dir):
 
 def test_header_reads_touch_one_line(tmp_dir):
     """Records read, from the event log: of a file in many splits, the header alone and the first row alone."""
-    _write(f"{tmp_dir}/in/h_2015.csv", "junk1,junk2\nid,name\n" + "".join(f"{i},some text here to fill the line\n" for i in range(40_000)))
+    _write(f"{tmp_dir}/in/h_2015.csv", "junk1,junk2\nid,name\n" + "".join(f"{i},some text here to fill the line\n" for i in range(15_000)))
     os.makedirs(f"{tmp_dir}/log")
     code = f"""
 import sys; sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
@@ -196,3 +196,85 @@ spark.stop()
                 n = e["Task Metrics"]["Input Metrics"]["Records Read"]
                 read, longest = read + n, max(longest, n)
     assert 0 < longest < 3000 and read < 9000   # a buffer of lines of one split of 64 KB each time, not 40,000
+
+
+def _jobs(spark, run):
+    """What ``run`` returns, and the number of Spark jobs it starts."""
+    group = f"jobs-{id(run)}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_headers_of_many_files_in_one_job(spark, tmp_dir):
+    for i in range(400):
+        _write(f"{tmp_dir}/{i % 7}/f{i:03}.csv", "\n \r\na,b\n1,2\n" if i % 3 == 0 else "b,a\r\n" if i % 3 == 1 else "")
+    files = io.list_files(spark, tmp_dir)
+    few, jobs_few = _jobs(spark, lambda: io.group_by_header(spark, files[:40]))
+    groups, jobs = _jobs(spark, lambda: io.group_by_header(spark, files))
+    assert jobs_few <= jobs <= 6     # the grouping, as Spark splits it, and a read for each of two headers
+    assert [(c, len(of)) for c, of in sorted(groups)] == [(["a", "b"], 134), (["b", "a"], 133)]
+    assert [g[1][0] for g in groups] == sorted(g[1][0] for g in groups) and {f for _, of in few for f in of} <= set(files[:40])
+    assert io.group_by_header(spark, []) == []
+
+
+def test_first_lines_end_as_in_spark(spark, tmp_dir):
+    import bz2
+    import gzip
+    long = ",".join(f"c{i}" for i in range(15_000))
+    texts = {"unix": "a,b\n1,2", "dos": "\r\n\r\na,b\r\n1,2\r\n", "mac": "a,b\r1,2\r", "blank": " \n\t\n", "end": "a,b\r", "long": long + "\n1\n",
+             "split": "x" * 65535 + "\r\ny\n", "one": "a,b"}
+    for name, text in texts.items():
+        with open(f"{tmp_dir}/{name}.csv", "w", newline="") as f:
+            f.write(text)
+    with gzip.open(f"{tmp_dir}/packed.csv.gz", "wt") as f:
+        f.write("a,b\n1,2\n")
+    with bz2.open(f"{tmp_dir}/packed.csv.bz2", "wt") as f:
+        f.write("a,b\n1,2\n")
+    files = io.list_files(spark, tmp_dir, "*")
+    got = {os.path.basename(r["file"]): (None if r["line"] is None else bytes(r["line"]).decode(), r["more"], r["opened"])
+           for r in io.first_lines(spark, files).collect()}
+    assert got == {"unix.csv": ("a,b", True, True), "dos.csv": ("a,b", True, True), "mac.csv": ("a,b", True, True), "blank.csv": (None, False, True),
+                   "end.csv": ("a,b", False, True), "long.csv": (long, True, True), "one.csv": ("a,b", False, True),
+                   "split.csv": ("x" * 65535, True, True), "packed.csv.gz": ("a,b", True, True), "packed.csv.bz2": (None, None, False)}
+    groups = io.group_by_header(spark, files)      # what Python can't open is asked of Spark
+    assert {tuple(c): len(of) for c, of in groups}[("a", "b")] == 7
+
+
+def test_files_that_only_spark_reads(spark, tmp_dir):
+    _write(f"{tmp_dir}/a.csv", "k,v\n1,2\n")
+    _write(f"{tmp_dir}/b.csv", "v,k\n3,4\n")
+    _write(f"{tmp_dir}/.hidden.csv", "z\n")
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.first.link./in", f"file://{tmp_dir}")
+    files = io.list_files(spark, "viewfs://first/in")
+    assert len(files) == 2 and not any(r["opened"] for r in io.first_lines(spark, files).collect())
+    assert sorted(c for c, _ in io.group_by_header(spark, files)) == [["k", "v"], ["v", "k"]]
+    assert io.first_row(io._csv_reader(spark), spark, "viewfs://first/in") == ["1", "2"]
+
+
+def test_first_row_after_files_without_rows(spark, tmp_dir):
+    for i in range(200):
+        _write(f"{tmp_dir}/a{i:03}.csv", "x,y\n" if i % 2 else "")
+    _write(f"{tmp_dir}/b.csv", "x,y\n\nk,v\n1,2\n")
+    _write(f"{tmp_dir}/c.csv", "x,y\nno,header\n3,4\n")
+    reader = io._csv_reader(spark)
+    row, jobs = _jobs(spark, lambda: io.first_row(reader, spark, tmp_dir))
+    _write(f"{tmp_dir}/other/b.csv", "x,y\nk,v\n")
+    assert row == ["k", "v"] and jobs <= _jobs(spark, lambda: io.first_row(reader, spark, f"{tmp_dir}/other"))[1] + 1
+    df = io.read_table(spark, tmp_dir, pattern="?*.csv", promote_first_row=True, schema=io.string_schema(["x", "y"]))
+    assert df.columns == ["k", "v"] and sorted(tuple(r) for r in df.collect()) == [("1", "2"), ("3", "4"), ("no", "header")]
+    assert io.first_row(io._csv_reader(spark, header=False), spark, f"{tmp_dir}/b.csv", header=False) == ["x", "y"]
+    _write(f"{tmp_dir}/wide/a.csv", '"x\n1",y\n')          # a header over two lines, and no row
+    _write(f"{tmp_dir}/wide/b.csv", "x,y\nk,v\n")
+    assert io.first_row(io._csv_reader(spark, multiline=True), spark, f"{tmp_dir}/wide") == ["k", "v"]
+
+
+def test_merge_with_and_without_a_scan_a_year(spark, tmp_dir, monkeypatch):
+    from raw2clean.plans import jobs
+    _survey(tmp_dir)
+    each = sorted(map(str, merge_folder(spark, tmp_dir).collect()))
+    monkeypatch.setattr(jobs, "YEAR_SCANS", 1)
+    assert sorted(map(str, merge_folder(spark, tmp_dir).collect())) == each
