@@ -16,20 +16,24 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ColumnLike = str | Column
+from raw2clean.functions import sqltext as S
+from raw2clean.functions.sqltext import Expression, Sql, quoted
 
+ColumnLike = str | Column | Sql
 
-def as_column(c: ColumnLike) -> Column:
-    """A column by its plain name, whatever signs it holds, or a Column."""
-    if isinstance(c, Column):
+
+def as_column(c: ColumnLike) -> Expression:
+    """A column by its plain name, whatever signs it holds, or the expression itself."""
+    if isinstance(c, (Column, Sql)):
         return c
-    return F.col("`" + c.replace("`", "``") + "`")
+    return F.col(quoted(c))
 
 
-def text(c: ColumnLike) -> Column:
+def text(c: ColumnLike) -> Expression:
     """The column as text; a no-op on string columns."""
     return as_column(c).cast("string")
 
@@ -41,10 +45,10 @@ def text(c: ColumnLike) -> Column:
 MAYBE_NUMBER = r"^[\x00-\x20]*[+-]?([0-9.]|[Ii][Nn][Ff]|[Nn][Aa][Nn])"
 
 
-def number(c: ColumnLike) -> Column:
+def number(c: ColumnLike) -> Expression:
     """The column parsed as a double, NULL where it is not a number."""
     s = text(c)
-    return F.when(s.rlike(MAYBE_NUMBER), s.try_cast("double"))
+    return S.when(s.rlike(MAYBE_NUMBER), s.try_cast("double"))
 
 
 @dataclass(frozen=True)
@@ -56,29 +60,42 @@ class Rule:
     """
 
     kind: str
-    build: Callable[..., Column] = field(compare=False, repr=False)
+    build: Callable[..., Expression] = field(compare=False, repr=False)
     inputs: tuple[str, ...] = ()
     args: tuple = ()
 
     def __call__(self, *columns: ColumnLike) -> Column:
+        if all(isinstance(c, str) for c in columns) and (rendered := self._render(columns)) is not None:
+            return F.expr(rendered)
         return self.build(*columns)
 
     def input_columns(self, output: str) -> tuple[str, ...]:
         return self.inputs or (output,)
 
+    def _render(self, columns: Iterable[str]) -> str | None:
+        try:
+            out = self.build(*[Sql.name(c) for c in columns])
+        except (TypeError, AttributeError, PySparkException):   # a rule of one's own that only knows Columns
+            return None
+        return out.text if isinstance(out, Sql) else None
+
+    def sql(self, output: str) -> str | None:
+        """The expression for output column ``output`` as SQL text; None where the rule is a ``Column`` only."""
+        return self._render(self.input_columns(output))
+
     def column(self, output: str) -> Column:
         """The expression for output column ``output``, aliased to it."""
-        return self.build(*self.input_columns(output)).alias(output)
+        return self(*self.input_columns(output)).alias(output)
 
 
-def _keep_if(cond: Column, value: Column) -> Column:
+def _keep_if(cond: Expression, value: Expression) -> Expression:
     # CASE WHEN cond THEN value ELSE NULL END: a NULL condition gives NULL.
-    return F.when(cond, value)
+    return S.when(cond, value)
 
 
-def _in(s: Column, values: Iterable[str]) -> Column:
+def _in(s: Expression, values: Iterable[str]) -> Expression:
     values = [str(v) for v in values]
-    return s.isin(values) if values else F.lit(False)
+    return s.isin(values) if values else S.same(s, False)
 
 
 # R1 ---------------------------------------------------------------------
@@ -94,10 +111,10 @@ def keep_codes(values: Iterable[str], ignore_case: bool = False) -> Rule:
     """R2: keep values found in a list of codes or labels."""
     values = tuple(str(v) for v in values)
 
-    def build(c: ColumnLike) -> Column:
+    def build(c: ColumnLike) -> Expression:
         s = text(c)
         if ignore_case:
-            return _keep_if(F.lower(s).isin([v.lower() for v in values]), as_column(c))
+            return _keep_if(S.lower(s).isin([v.lower() for v in values]), as_column(c))
         return _keep_if(_in(s, values), as_column(c))
 
     return Rule("keep_codes", build, args=(values, ignore_case))
@@ -110,11 +127,11 @@ def keep_and_relabel(values: Iterable[str], relabel: Mapping[str, str]) -> Rule:
     values = tuple(str(v) for v in values)
     relabel = dict(relabel)
 
-    def build(c: ColumnLike) -> Column:
+    def build(c: ColumnLike) -> Expression:
         s = text(c)
-        out = F.when(_in(s, values), s)
+        out = S.when(_in(s, values), s)
         for old, new in relabel.items():
-            out = out.when(s == F.lit(old), F.lit(new))
+            out = out.when(s == S.same(s, old), S.same(s, new))
         return out
 
     return Rule("keep_and_relabel", build, args=(values, tuple(relabel.items())))
@@ -136,7 +153,7 @@ def digits(sentinels: Iterable[str] = ()) -> Rule:
     """Keep text of digits only, or one of the sentinel values."""
     sentinels = tuple(sentinels)
 
-    def build(c: ColumnLike) -> Column:
+    def build(c: ColumnLike) -> Expression:
         s = text(c)
         return _keep_if(s.rlike(DIGITS) | _in(s, sentinels), as_column(c))
 
@@ -154,13 +171,13 @@ def numeric(low: float | None = None, high: float | None = None,
     """
     sentinels = tuple(sentinels)
 
-    def build(c: ColumnLike) -> Column:
+    def build(c: ColumnLike) -> Expression:
         d = number(c)
         cond = d.isNotNull()
         if low is not None:
-            cond = cond & (d >= F.lit(float(low)))
+            cond = cond & (d >= S.same(d, float(low)))
         if high is not None:
-            cond = cond & (d <= F.lit(float(high)))
+            cond = cond & (d <= S.same(d, float(high)))
         if sentinels:
             cond = cond | _in(text(c), sentinels)
         return _keep_if(cond, as_column(c))
@@ -182,11 +199,11 @@ def integer_text(lengths: Iterable[int]) -> Rule:
     """
     lengths = tuple(int(n) for n in lengths)
 
-    def build(c: ColumnLike) -> Column:
+    def build(c: ColumnLike) -> Expression:
         s = text(c)
-        t = F.trim(s)
-        whole = t.rlike(WHOLE_NUMBER) & F.substring_index(t, ".", 1).try_cast("bigint").isNotNull()
-        return _keep_if(F.length(s).isin(list(lengths)) & whole, as_column(c))
+        t = S.trim(s)
+        whole = t.rlike(WHOLE_NUMBER) & S.part_before(t, ".", 1).try_cast("bigint").isNotNull()
+        return _keep_if(S.length(s).isin(list(lengths)) & whole, as_column(c))
 
     return Rule("integer_text", build, args=(lengths,))
 
@@ -204,10 +221,10 @@ def text_length(min_length: int | None = None, exact: int | None = None,
     """
     sentinels = tuple(sentinels)
 
-    def build(c: ColumnLike) -> Column:
+    def build(c: ColumnLike) -> Expression:
         s = text(c)
-        n = F.length(s)
-        cond = F.lit(True)
+        n = S.length(s)
+        cond = S.same(s, True)
         if min_length is not None:
             cond = cond & (n >= min_length)
         if exact is not None:
@@ -234,7 +251,7 @@ def range_or_number(sentinels: Iterable[str] = (), exclude: Iterable[str] = ())
     """Keep a range ``n-m``, a number or a sentinel, unless excluded."""
     sentinels, exclude = tuple(sentinels), tuple(exclude)
 
-    def build(c: ColumnLike) -> Column:
+    def build(c: ColumnLike) -> Expression:
         s = text(c)
         cond = s.rlike(RANGE) | number(c).isNotNull()
         if sentinels:
@@ -251,9 +268,9 @@ def range_or_number(sentinels: Iterable[str] = (), exclude: Iterable[str] = ())
 DECIMAL = "^[0-9]+([.][0-9]*)?$"
 
 
-def _padded(s: Column, width: int) -> Column:
+def _padded(s: Expression, width: int) -> Expression:
     """Zeros before text up to ``width``; longer text gives NULL instead of losing its end."""
-    return F.when(F.length(s) <= width, F.lpad(s, width, "0"))
+    return S.when(S.length(s) <= width, S.pad_left(s, width, "0"))
 
 
 def tract_code(state: str, county: str, tract: str, style: str = "fixed2") -> Rule:
@@ -277,17 +294,17 @@ def tract_code(state: str, county: str, tract: str, style: str = "fixed2") -> Ru
     if style not in ("fixed2", "truncate"):
         raise ValueError(f"unknown tract style {style!r}")
 
-    def build(st: ColumnLike, co: ColumnLike, tr: ColumnLike) -> Column:
+    def build(st: ColumnLike, co: ColumnLike, tr: ColumnLike) -> Expression:
         s, c, t = text(st), text(co), text(tr)
         has_point = t.contains(".")
         if style == "truncate":
-            part = F.when(has_point, number(t).try_cast("bigint").cast("string")).otherwise(t)
-            code = F.concat(F.lpad(s, 2, "0"), F.lpad(c, 3, "0"), F.lpad(part, 6, "0"))
-            return F.when(s.isNull() | c.isNull() | t.isNull(), F.lit(None).cast("string")).otherwise(code)
-        whole = F.ltrim(F.substring_index(t, ".", 1), F.lit("0"))
-        decimals = F.when(has_point, F.rtrim(F.substring_index(t, ".", -1), F.lit("0"))).otherwise(F.lit(""))
-        number_code = F.when(F.length(decimals) <= 2, F.concat(_padded(whole, 4), F.rpad(decimals, 2, "0")))
-        part = F.when(t.rlike(DECIMAL), F.when(has_point | (F.length(t) <= 4), number_code).otherwise(_padded(t, 6)))
-        return F.concat(_padded(s, 2), _padded(c, 3), part)
+            part = S.when(has_point, number(t).try_cast("bigint").cast("string")).otherwise(t)
+            code = S.concat(S.pad_left(s, 2, "0"), S.pad_left(c, 3, "0"), S.pad_left(part, 6, "0"))
+            return S.when(~(s.isNull() | c.isNull() | t.isNull()), code)
+        whole = S.strip_left(S.part_before(t, ".", 1), "0")
+        decimals = S.when(has_point, S.strip_right(S.part_before(t, ".", -1), "0")).otherwise(S.same(t, ""))
+        number_code = S.when(S.length(decimals) <= 2, S.concat(_padded(whole, 4), S.pad_right(decimals, 2, "0")))
+        part = S.when(t.rlike(DECIMAL), S.when(has_point | (S.length(t) <= 4), number_code).otherwise(_padded(t, 6)))
+        return S.concat(_padded(s, 2), _padded(c, 3), part)
 
     return Rule("tract_code", build, inputs=(state, county, tract), args=(style,))

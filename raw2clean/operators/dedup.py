@@ -11,12 +11,12 @@ per map partition across the network, not a third of the table.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from raw2clean.functions.rules import as_column
+from raw2clean.functions.sqltext import quoted
 
 _SURVIVOR = "__survivor"
 _KEY = "__key"
@@ -36,10 +36,9 @@ def distinct_rows(df: DataFrame, drop_all_null: bool = False) -> DataFrame:
     """
     if not drop_all_null:
         return df.distinct()
-    cols = [as_column(c) for c in df.columns]
-    all_null = reduce(lambda a, b: a & b, [c.isNull() for c in cols])
+    cols = [quoted(c) for c in df.columns]
     groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(_COUNT))
-    return groups.where(~all_null | (F.col(_COUNT) < 0)).drop(_COUNT)
+    return groups.where(" OR ".join([f"{c} IS NOT NULL" for c in cols] + [f"{_COUNT} < 0"])).selectExpr(*cols)
 
 
 def dedup_by_key(df: DataFrame, keys: Iterable[str], order: Iterable[str] | None = None,
@@ -71,11 +70,11 @@ def dedup_by_key(df: DataFrame, keys: Iterable[str], order: Iterable[str] | None
         return df.select(*[as_column(k) for k in keys]).distinct()
     if method == "min_struct":
         # struct field names are positional to stay clear of odd column names
-        pack = lambda names: F.struct(*[as_column(c).alias(f"f{i}") for i, c in enumerate(names)])
-        agg = (df.select(F.xxhash64(*[as_column(k) for k in keys]).alias(_HASH), pack(keys).alias(_KEY), pack(rest).alias(_SURVIVOR))
+        pack = lambda names: "named_struct(" + ", ".join(f"'f{i}', {quoted(c)}" for i, c in enumerate(names)) + ")"
+        agg = (df.selectExpr(f"xxhash64({', '.join(quoted(k) for k in keys)}) AS {_HASH}", f"{pack(keys)} AS {_KEY}", f"{pack(rest)} AS {_SURVIVOR}")
                .groupBy(_HASH, _KEY).agg(F.min(_SURVIVOR).alias(_SURVIVOR)))
-        at = {c: F.col(f"{_KEY}.f{i}") for i, c in enumerate(keys)} | {c: F.col(f"{_SURVIVOR}.f{i}") for i, c in enumerate(rest)}
-        return agg.select(*[at[c].alias(c) for c in df.columns])
+        at = {c: f"{_KEY}.f{i}" for i, c in enumerate(keys)} | {c: f"{_SURVIVOR}.f{i}" for i, c in enumerate(rest)}
+        return agg.selectExpr(*[f"{at[c]} AS {quoted(c)}" for c in df.columns])
     if method == "row_number":
         w = Window.partitionBy(*[as_column(k) for k in keys]) \
             .orderBy(*[as_column(c).asc_nulls_first() for c in rest])

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType
 
 from raw2clean.functions.rules import as_column
+from raw2clean.functions.sqltext import literal, quoted
 
 # Sentinels the survey tables use for "no value".
 SURVEY_SENTINELS = ("-888888888", "(X)", "")
@@ -32,21 +33,22 @@ def null_sentinels(df: DataFrame, values: Iterable[str] = SURVEY_SENTINELS,
     """Listed values become NULL in string columns (as ``df.replace``); ``extra`` columns are added as they are."""
     values = [str(v) for v in values]
     subset = set(subset) if subset is not None else None
+    no_value = ", ".join(literal(v) for v in values)
     cols = []
     for f in df.schema.fields:
-        c = as_column(f.name)
+        c = quoted(f.name)
         if isinstance(f.dataType, StringType) and (subset is None or f.name in subset) and values:
-            c = F.when(c.isin(values), F.lit(None).cast("string")).otherwise(c)
-        cols.append(c.alias(f.name))
-    return df.select(*cols, *[c.alias(name) for name, c in (extra or {}).items()])
+            c = f"CASE WHEN {c} IN ({no_value}) THEN NULL ELSE {c} END AS {c}"
+        cols.append(c)
+    if not extra:
+        return df.selectExpr(*cols)
+    return df.select(*[F.expr(c) for c in cols], *[c.alias(name) for name, c in extra.items()])
 
 
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> tuple[int, dict[str, int]]:
     """G1 + G2/G3 in one pass: row count and non-NULL count per column."""
     columns = list(columns) if columns is not None else df.columns
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    aggs += [F.count(as_column(c)).alias(f"c{i}") for i, c in enumerate(columns)]
-    row = df.agg(*aggs).first()
+    row = df.selectExpr("count(1) AS __rows", *[f"count({quoted(c)}) AS c{i}" for i, c in enumerate(columns)]).first()
     return row["__rows"], {c: row[f"c{i}"] for i, c in enumerate(columns)}
 
 
@@ -78,11 +80,8 @@ def value_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Expand plan for several ``count(DISTINCT)``, which copies the whole row
     once per column.
     """
-    pairs = F.inline(F.array(*[
-        F.struct(F.lit(i).alias("i"), as_column(c).cast("string").alias("v"))
-        for i, c in enumerate(columns)
-    ]))
-    return df.select(pairs).where(F.col("v").isNotNull())
+    pairs = ", ".join(f"named_struct('i', {i}, 'v', CAST({quoted(c)} AS STRING))" for i, c in enumerate(columns))
+    return df.selectExpr(f"inline(array({pairs}))").where("v IS NOT NULL")
 
 
 def _distinct_exact(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:

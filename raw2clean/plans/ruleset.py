@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from raw2clean.functions.rules import Rule, as_column, numeric
+from raw2clean.functions.rules import Rule, numeric
+from raw2clean.functions.sqltext import quoted
 
 
 class MissingColumnsError(ValueError):
@@ -74,21 +75,33 @@ class RuleSet:
         missing = set(self.missing(df)) if df is not None else set()
         if missing and on_missing == "raise":
             raise MissingColumnsError(f"input columns missing: {sorted(missing)}")
-        out = []
+        return [F.expr(e) if isinstance(e, str) else e for e in self._expressions(missing, on_missing)]
+
+    def _expressions(self, missing: set[str], on_missing: str) -> list[str | Column]:
+        out: list[str | Column] = []
         for name, rule in self._rules.items():
             if missing and missing & set(rule.input_columns(name)):
                 if on_missing == "skip":
                     continue
-                out.append(F.lit(None).cast("string").alias(name))
+                out.append(f"CAST(NULL AS STRING) AS {quoted(name)}")
             else:
-                out.append(rule.column(name))
+                text = rule.sql(name)
+                out.append(rule.column(name) if text is None else f"{text} AS {quoted(name)}")
         return out
 
     def apply(self, df: DataFrame, on_missing: str = "raise", keep: Iterable[str] = ()) -> DataFrame:
         """The rule table as one projection; unlisted columns are dropped
-        unless named in ``keep`` (kept before the rule outputs)."""
-        kept = [as_column(c) for c in keep if c not in self._rules]
-        return df.select(*kept, *self.columns(df, on_missing))
+        unless named in ``keep`` (kept before the rule outputs).
+
+        Rules go to Spark as SQL text, all in one call; only rules of one's own that build a ``Column`` are built one by one.
+        """
+        missing = set(self.missing(df))
+        if missing and on_missing == "raise":
+            raise MissingColumnsError(f"input columns missing: {sorted(missing)}")
+        all_ = [quoted(c) for c in keep if c not in self._rules] + self._expressions(missing, on_missing)
+        if all(isinstance(e, str) for e in all_):
+            return df.selectExpr(*all_)
+        return df.select(*[F.expr(e) if isinstance(e, str) else e for e in all_])
 
     def __repr__(self) -> str:
         return f"RuleSet({self.name!r}, {len(self)} columns)"
@@ -98,14 +111,13 @@ class RuleSet:
 
 def cast_to_string(df: DataFrame) -> DataFrame:
     """Every column as text, in one projection."""
-    return df.select(*[as_column(c).cast("string").alias(c) for c in df.columns])
+    return df.selectExpr(*[f"CAST({quoted(c)} AS STRING) AS {quoted(c)}" for c in df.columns])
 
 
 def trim_strings(df: DataFrame) -> DataFrame:
     """Trim blanks of every string column; other columns unchanged."""
-    return df.select(*[
-        F.trim(as_column(f.name)).alias(f.name) if isinstance(f.dataType, StringType)
-        else as_column(f.name)
+    return df.selectExpr(*[
+        f"trim({quoted(f.name)}) AS {quoted(f.name)}" if isinstance(f.dataType, StringType) else quoted(f.name)
         for f in df.schema.fields
     ])
 
@@ -114,7 +126,7 @@ def numeric_except(df: DataFrame, exclude: Iterable[str] = ()) -> DataFrame:
     """Non-numbers become NULL in every column not in ``exclude``."""
     exclude = set(exclude)
     rule = numeric()
-    return df.select(*[as_column(c) if c in exclude else rule.column(c) for c in df.columns])
+    return df.selectExpr(*[quoted(c) if c in exclude else f"{rule.sql(c)} AS {quoted(c)}" for c in df.columns])
 
 
 def non_negative(df: DataFrame, columns: Iterable[str]) -> DataFrame:

@@ -174,3 +174,54 @@ def test_integer_text_edges(ansi_spark):
     got = apply_rule(ansi_spark, rule, ["12", " 12", "+12", "-12", "1.", ".5", "1.2.3", "1e3", "12ab",
                                         "123456789012345678901"])
     assert got == ["12", " 12", "+12", "-12", "1.", None, None, None, None, None]
+
+
+def _all_rules():
+    return {
+        "passthrough": R.passthrough(), "keep_codes": R.keep_codes(["1", "a'b", "x\\y", 'q"q', "É", "\n"]), "any_case": R.keep_codes(["NA"], ignore_case=True),
+        "no_codes": R.keep_codes([]), "relabel": R.keep_and_relabel(["1", "'"], {"NA": "it's \\none\\", "": "-"}), "letters": R.text_without_digits(),
+        "digits": R.digits(["NA", "it's"]), "numeric": R.numeric(), "bounds": R.numeric(low=-1.5, high=1e3, sentinels=["NA", "\\"]),
+        "integer": R.integer_text([1, 3, 4]), "length": R.text_length(min_length=1, exact=2, sentinels=["Exempt"]),
+        "charset": R.text_length(charset="A-Za-z'"), "like": R.text_length(like="%[^A-Za-z]%"), "unlike": R.text_length(min_length=1, not_like="%'%"),
+        "range": R.range_or_number(["NA"], ["8888", "it's"]), "tract": R.tract_code("s t", "c`o", "c"), "legacy": R.tract_code("s t", "c`o", "c", style="truncate"),
+    }
+
+
+@pytest.mark.parametrize("escaped", ["true", "false"])
+def test_text_and_columns_say_the_same(ansi_spark, escaped):
+    """Each rule as SQL text and as a Column, with either way of reading backslashes in SQL."""
+    values = [None, "", "1", "12", "NA", "na", "a'b", "x\\y", 'q"q', "É", "\n", "'", "it's", "\\", "1.5", "-2", "1e3", "1000.0", "12.7", " 12 ", "25-34", "8888",
+              "abc", "ab", "Exempt", "1234.01", "1234", "9.1", "12345", "1234567", "NaN", "inf", "1d", "[^A-Za-z]", "x\n"]
+    df = ansi_spark.createDataFrame([(v, a, b) for v in values for a, b in (("6", "37"), ("123", "1"), (None, "1"))], "c string, `s t` string, `c``o` string")
+    ansi_spark.conf.set("spark.sql.parser.escapedStringLiterals", escaped)
+    try:
+        for name, rule in _all_rules().items():
+            assert rule.sql("c") is not None
+            as_text = df.selectExpr(f"{rule.sql('c')} AS out")
+            as_columns = df.select(rule.build(*[R.as_column(c) for c in rule.input_columns("c")]).alias("out"))
+            assert [r[0] for r in as_text.collect()] == [r[0] for r in as_columns.collect()], name
+    finally:
+        ansi_spark.conf.unset("spark.sql.parser.escapedStringLiterals")
+
+
+def test_rules_of_ones_own(spark):
+    from pyspark.sql import functions as F
+
+    from raw2clean.plans.ruleset import RuleSet
+    own = R.Rule("upper", lambda c: F.upper(R.as_column(c)))
+    assert own.sql("a") is None
+    out = RuleSet({"a": own, "b": R.keep_codes(["x"])}).apply(spark.createDataFrame([("k", "x", "z"), ("l", "y", "z")], "a string, b string, `it's` string"), keep=["it's"])
+    assert out.columns == ["it's", "a", "b"] and [tuple(r) for r in out.collect()] == [("z", "K", "x"), ("z", "L", None)]
+
+
+def test_a_wide_table_is_built_fast(spark):
+    import time
+
+    from raw2clean.plans.jobs import clean
+    from raw2clean.plans.presets import preset
+    rules = preset("2018")
+    df = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in rules.inputs))
+    clean(df, rules)
+    begin = time.perf_counter()
+    clean(df, rules)
+    assert time.perf_counter() - begin < 1.5
