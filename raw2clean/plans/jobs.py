@@ -14,7 +14,9 @@ jobs named in each function).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +32,8 @@ from raw2clean.operators.shape import (
 )
 from raw2clean.plans.presets import DEDUP_KEYS_2007, YEAR_TO_ERA, preset
 from raw2clean.plans.ruleset import RuleSet
-from raw2clean.sources.io import files_by_year, group_by_header, read_group, read_table, year_of_file, write_table
+from raw2clean.sources.io import files_by_year, group_by_header, read_group, read_table, write_table, year_of_file
+from raw2clean.sources.runs import append_run
 
 #: Scans of one header and year each that a folder is read by.
 YEAR_SCANS = 100
@@ -52,31 +55,37 @@ def clean(df: DataFrame, rules: RuleSet, dedup_keys: Sequence[str] | None = None
 
 def run_clean(spark: SparkSession, year: str | int, in_path: str, out_path: str | None = None,
               types: str = "string", tract_style: str = "fixed2",
-              dedup_method: str = "min_struct") -> DataFrame:
+              dedup_method: str = "min_struct", append: bool = False) -> DataFrame:
     """Clean one year of loan records with its era's preset.
 
     The 2000 file has one line above its real header (promoted, S10). The
     2007-2017 layout dedups on its 43 key columns; the others on whole rows.
-    Written as CSV with header when ``out_path`` is given.
+    Written as CSV with header when ``out_path`` is given; with ``append``, added to the
+    runs at ``out_path`` as the run of its year, so that a second call replaces the first (``read_runs`` reads it).
     """
     era = YEAR_TO_ERA[str(year)]
     df = read_table(spark, in_path, types=types, promote_first_row=(str(year) == "2000"))
     keys = DEDUP_KEYS_2007 if era == "2007" else None
     out = clean(df, preset(era, tract_style), dedup_keys=keys, dedup_method=dedup_method)
-    if out_path:
+    if out_path and append:
+        append_run(out, out_path, str(year))
+    elif out_path:
         write_table(out, out_path, fmt="csv")
     return out
 
 
 def run_clean_years(spark: SparkSession, paths: dict[str, str], out_path: str | None = None,
-                    **kw) -> dict[str, DataFrame]:
-    """``run_clean`` for several years; with ``out_path`` each year is written
-    to ``out_path/year=YYYY`` (a layout Spark prunes on read)."""
-    out = {}
-    for year, path in paths.items():
-        dest = f"{out_path.rstrip('/')}/year={year}" if out_path else None
-        out[str(year)] = run_clean(spark, year, path, dest, **kw)
-    return out
+                    at_once: int = 4, append: bool = False, **kw) -> dict[str, DataFrame]:
+    """``run_clean`` for several years, ``at_once`` of them at a time, so that one year's last tasks
+    don't leave the cluster idle. With ``out_path`` each year is written to ``out_path/year=YYYY`` (a
+    layout Spark prunes on read), with ``append`` as a run of ``out_path``. A year that fails raises its error when the others are done."""
+    def one(year: str, path: str) -> DataFrame:
+        dest = out_path if append or not out_path else f"{out_path.rstrip('/')}/year={year}"
+        return run_clean(spark, year, path, dest, append=append, **kw)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        started = {str(year): pool.submit(inheritable_thread_target(spark)(one), year, path) for year, path in paths.items()}
+    return {year: f.result() for year, f in started.items()}
 
 
 def merge_folder(spark: SparkSession, in_path: str, pattern: str = "*.csv",

@@ -579,6 +579,24 @@ def q_round_trip_parquet(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+# --- S6 again: runs that can be repeated ------------------------------------------------
+
+_RUN_COLS = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in KEYS) + ", " + ", ".join(f"NULLIF({c}, '') AS {c}" for c in RAW_TEXT)
+
+
+@query("append_runs", _sql(f"SELECT {_RUN_COLS}, CAST(NULL AS VARCHAR) AS note, CAST(l_orderkey % 3 AS VARCHAR) AS run FROM raw WHERE l_orderkey % 3 <> 1\n"
+                           f"UNION ALL SELECT {_RUN_COLS}, 'again' AS note, '1' AS run FROM raw WHERE l_orderkey % 3 = 1 AND l_linenumber <> 2"))
+def q_append_runs(spark, sf_dir):
+    """Three runs, one of them twice with other rows and a column more, and an attempt that is never committed."""
+    from raw2clean.sources import runs
+    path, rows = io.work_dir(spark, "runs"), raw(spark, sf_dir)
+    for run in range(3):
+        runs.append_run(rows.where(F.col("l_orderkey") % 3 == run), path, str(run))
+    runs.append_run(rows.where("l_orderkey % 3 = 1 AND l_linenumber <> 2").withColumn("note", F.lit("again")), path, "1")
+    runs.write_attempt(rows.where("l_orderkey % 3 = 0"), path, "0")
+    return runs.read_runs(spark, path, run_column="run")
+
+
 # --- S10: header in the first data row -------------------------------------------------
 
 @query("promote_header", ORACLE_SQL["round_trip_csv"])
