@@ -18,7 +18,8 @@ Quality Verification", PVLDB 11(12), 2018: row count, completeness, distinct
 count, uniqueness, minimum, maximum, mean, standard deviation (sample) and
 sum, with shortest and longest text added. Numeric statistics are over the
 values that read as numbers; uniqueness is the share of non-NULL rows whose
-value occurs exactly once.
+value occurs exactly once. Statistics that are kept and merged from year to year
+are in ``raw2clean.operators.states``.
 """
 
 from __future__ import annotations
@@ -26,16 +27,16 @@ from __future__ import annotations
 import operator
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    DoubleType, IntegerType, LongType, StringType, StructField, StructType,
+    BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
 )
 
 from raw2clean.functions.rules import as_column, number, text
 from raw2clean.operators.shape import value_pairs
+from raw2clean.operators.states import column_states, is_numeric, quantile_columns
 
 OUTCOME_SCHEMA = StructType([
     StructField("position", IntegerType(), False),
@@ -60,6 +61,7 @@ PROFILE_SCHEMA = StructType([
     StructField("sum", DoubleType(), True),
     StructField("min_length", IntegerType(), True),
     StructField("max_length", IntegerType(), True),
+    StructField("distinct_is_exact", BooleanType(), False),
 ])
 
 _OPS: dict[str, Callable[[Column, Column], Column]] = {
@@ -158,77 +160,55 @@ def evaluate(df: DataFrame, rules: Sequence[QualityRule]) -> DataFrame:
     return metrics.select(F.inline(F.array(*rows)))
 
 
-_NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
-
-
-#: Columns of at most so many distinct values (by estimate) get exact counts by default.
-SMALL = 4096
-#: Columns summarised in one aggregate: Spark's object hash aggregate sorts from 128 groups on.
-COLUMNS_AT_ONCE = 100
-
-
-def profile(df: DataFrame, columns: Iterable[str] | None = None,
-            distinct: str | Iterable[str] = "auto", small: int = SMALL, say_exact: bool = False) -> DataFrame:
+def profile(df: DataFrame, columns: Iterable[str] | None = None, distinct: str | Iterable[str] = "approx") -> DataFrame:
     """D3: statistics of every column, one row each (``AllStatistics of AllColumns``).
 
-    ``distinct="approx"``: one pass without a value shuffle. Rows unpivot into
-    (column, value) pairs, a number is parsed once a pair, and the pairs are
-    summarised by column within each task, with a sketch of the distinct
-    values (about 1.6 % error); uniqueness is NULL.
+    How distinct values are counted is the caller's word, whatever the table holds, and
+    ``distinct_is_exact`` says it in each row:
 
-    ``distinct="auto"`` (default): the same, then columns whose estimate is at
-    most ``small`` get exact distinct counts and uniqueness from the
-    frequencies of their few values, a second scan of those columns. Columns
-    of many values are never shuffled value by value. A list of names asks for exact
-    counts of these columns as well.
+    ``distinct="approx"`` (default): one pass without a value shuffle, from the columns' states (see
+    ``states``); distinct counts are estimates (standard error 1.6 %), uniqueness is NULL.
+
+    A list of names: the same, and these columns get exact counts and uniqueness from the frequencies of their
+    values, a second scan that shuffles their distinct values.
 
     ``distinct="exact"``: exact for all columns, in ONE scan: every statistic comes
     from the frequencies of (column, value) pairs, which are shuffled.
-
-    ``say_exact`` adds ``distinct_is_exact``: whether a row's distinct count is exact or an estimate.
     """
-    out = _profile(df, list(columns) if columns is not None else df.columns, distinct, small)
-    return out if say_exact else out.drop("distinct_is_exact")
-
-
-def _profile(df: DataFrame, columns: list[str], distinct: str | Iterable[str], small: int) -> DataFrame:
+    columns = list(columns) if columns is not None else df.columns
     if distinct == "exact":
         return _profile_exact(df, columns)
-    summary = _summaries(df, columns)
-    if distinct == "approx":
-        return _profile_rows(df, columns, summary.withColumn("singles", F.lit(None).cast("bigint")), F.lit(False))
-    if distinct != "auto" and isinstance(distinct, str):
+    if isinstance(distinct, str) and distinct != "approx":
         raise ValueError(f"unknown distinct={distinct!r}")
-    # one row per column: what the second scan reads is decided here
-    known = df.sparkSession.createDataFrame(summary.collect(), summary.schema)
-    asked = set() if distinct == "auto" else set(distinct)
-    counted = [i for i, n in ((r["i"], r["distinct"]) for r in known.collect()) if n <= small or columns[i] in asked]
-    if not counted:
-        return _profile_rows(df, columns, known.withColumn("singles", F.lit(None).cast("bigint")), F.lit(False))
-    number_of = F.element_at(F.array(*[F.lit(i) for i in counted]), F.col("i") + 1)
-    exact = (value_pairs(df, [columns[i] for i in counted]).groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
-             .groupBy(number_of.alias("i")).agg(F.count(F.lit(1)).alias("counted"), F.count_if(F.col("n") == 1).alias("singles")))
-    found = known.join(exact, "i", "left")
-    is_counted = F.col("i").isin(counted)
-    return _profile_rows(df, columns, found.select(
-        *[c for c in known.columns if c != "distinct"],
-        F.when(is_counted, F.coalesce("counted", F.lit(0))).otherwise(F.col("distinct")).alias("distinct"), "singles"), is_counted)
-
-
-def _summaries(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(i, rows, nulls, distinct, smin, smax, nmin, nmax, mean, stddev, sum, min_length, max_length), a row per column."""
-    def some(first: int) -> DataFrame:
-        pairs = df.select(F.inline(F.array(*[
-            F.struct(F.lit(i).alias("i"), as_column(c).cast("string").alias("v"))
-            for i, c in enumerate(columns[first:first + COLUMNS_AT_ONCE], first)])))
-        v, d = F.col("v"), F.col("d")
-        return pairs.select("i", "v", number("v").alias("d")).groupBy("i").agg(
-            F.count(F.lit(1)).alias("rows"), F.count_if(v.isNull()).alias("nulls"),
-            F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg("v", F.lit(12))), F.lit(0)).alias("distinct"),
-            F.min(v).alias("smin"), F.max(v).alias("smax"), F.min_by(v, d).alias("nmin"), F.max_by(v, d).alias("nmax"),
-            F.avg(d).alias("mean"), F.stddev_samp(d).alias("stddev"), F.sum(d).alias("sum"),
-            F.min(F.length(v)).alias("min_length"), F.max(F.length(v)).alias("max_length"))
-    return reduce(lambda a, b: a.union(b), [some(k) for k in range(0, max(len(columns), 1), COLUMNS_AT_ONCE)])
+    asked = [] if distinct == "approx" else list(distinct)
+    if unknown := [c for c in asked if c not in columns]:
+        raise ValueError(f"no such columns: {unknown}")
+    summary = _from_states(column_states(df, columns)).withColumnRenamed("position", "i")
+    if not asked:
+        return _profile_rows(df, columns, summary.withColumn("singles", F.lit(None).cast("bigint")), F.lit(False))
+    at = F.element_at(F.array(*[F.lit(columns.index(c)) for c in asked]), F.col("i") + 1)
+    exact = (value_pairs(df, asked).groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+             .groupBy(at.alias("i")).agg(F.count(F.lit(1)).alias("counted"), F.count_if(F.col("n") == 1).alias("singles")))
+    is_asked = F.col("i").isin([columns.index(c) for c in asked])
+    found = summary.join(F.broadcast(exact), "i", "left").withColumn(      # a row for each column asked for
+        "distinct", F.when(is_asked, F.coalesce("counted", F.lit(0))).otherwise(F.col("distinct")))
+    return _profile_rows(df, columns, found, is_asked)
+
+
+def _from_states(states: DataFrame) -> DataFrame:
+    """The statistics that states hold, one row for each."""
+    return states.withColumns({
+        "distinct": F.coalesce(F.hll_sketch_estimate("distinct_sketch"), F.lit(0)), "smin": F.col("min"), "smax": F.col("max"), "nmin": F.col("min"), "nmax": F.col("max"),
+        "stddev": F.when(F.col("numbers") > 1, F.sqrt(F.col("m2") / (F.col("numbers") - 1)))})
+
+
+def profile_of_states(states: DataFrame, quantiles: Sequence[float] = ()) -> DataFrame:
+    """D3 from (merged) states: the rows of ``profile(distinct="approx")``, in the columns' order, and quantiles if asked for."""
+    rows, nulls = F.col("rows"), F.col("nulls")
+    return _from_states(states).orderBy("position").select(
+        "column", "type", "rows", "nulls", F.try_divide(rows - nulls, rows).alias("completeness"), "distinct", F.lit(None).cast("double").alias("uniqueness"),
+        "min", "max", "mean", "stddev", "sum", "min_length", "max_length", F.lit(False).alias("distinct_is_exact"),
+        *[F.expr(q) for q in quantile_columns(quantiles)])
 
 
 def _column_info(columns: Sequence[str], types: dict[str, str]) -> tuple[Column, Column, Column]:
@@ -236,7 +216,7 @@ def _column_info(columns: Sequence[str], types: dict[str, str]) -> tuple[Column,
     idx = F.col("i") + 1
     names = F.element_at(F.array(*[F.lit(c) for c in columns]), idx)
     tps = F.element_at(F.array(*[F.lit(types[c]) for c in columns]), idx)
-    numeric = F.element_at(F.array(*[F.lit(types[c].split("(")[0] in _NUMERIC_TYPES) for c in columns]), idx)
+    numeric = F.element_at(F.array(*[F.lit(is_numeric(types[c])) for c in columns]), idx)
     return names, tps, numeric
 
 
@@ -292,7 +272,7 @@ def _profile_rows(df: DataFrame, columns: Sequence[str], per: DataFrame, exact:
 
 
 def run_checks(df: DataFrame, rules: Sequence[QualityRule] = (),
-               statistics: bool = False, distinct: str | Sequence[str] = "auto") -> dict[str, DataFrame]:
+               statistics: bool = False, distinct: str | Sequence[str] = "approx") -> dict[str, DataFrame]:
     """D2 + D3 + D5: the named result tables of a check run (lazy DataFrames).
 
     ``results["rule_outcomes"]`` is the outcome table (the one the legacy jobs
@@ -300,5 +280,5 @@ def run_checks(df: DataFrame, rules: Sequence[QualityRule] = (),
     """
     out = {"rule_outcomes": evaluate(df, rules)}
     if statistics:
-        out["statistics"] = profile(df, distinct=distinct, say_exact=True)
+        out["statistics"] = profile(df, distinct=distinct)
     return out

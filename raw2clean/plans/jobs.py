@@ -135,7 +135,7 @@ def run_merge(spark: SparkSession, in_path: str, out_path: str | None = None,
 
 def run_quality(spark: SparkSession, in_path: str | DataFrame, rules: Sequence[QualityRule] = (),
                 statistics: bool = False, out_path: str | None = None, fmt: str = "json",
-                result: str = "rule_outcomes", distinct: str | Sequence[str] = "auto", **read) -> DataFrame:
+                result: str = "rule_outcomes", distinct: str | Sequence[str] = "approx", **read) -> DataFrame:
     """A quality job: all-string CSV scan, rules and/or statistics, one result
     table picked by name (D5) and written as JSON (no compression) or
     Parquet (snappy) when ``out_path`` is given. Further arguments go to

@@ -516,7 +516,7 @@ def _profile_sql(i: int, c: str, typ: str) -> str:
             f"(SELECT count(*) AS n FROM raw WHERE {c} IS NOT NULL GROUP BY {c})) AS uniqueness, "
             f"CAST(min({c}) AS VARCHAR) AS min, CAST(max({c}) AS VARCHAR) AS max, "
             f"round(avg({d}), 6) AS mean, round(stddev_samp({d}), 6) AS stddev, round(sum({d}), 6) AS sum, "
-            f"CAST(min({n}) AS INTEGER) AS min_length, CAST(max({n}) AS INTEGER) AS max_length FROM raw")
+            f"CAST(min({n}) AS INTEGER) AS min_length, CAST(max({n}) AS INTEGER) AS max_length, true AS distinct_is_exact FROM raw")
 
 
 _RAW_TYPES = {"l_orderkey": "bigint", "l_linenumber": "int", "l_partkey": "bigint", "l_suppkey": "bigint"}
@@ -529,20 +529,48 @@ def q_profile_columns(spark, sf_dir):
     return p.withColumns({c: F.round(c, 6) for c in ("mean", "stddev", "sum")})
 
 
-_SMALL_RAW = ["l_linenumber", "code", "state_code", "label"]   # of a few distinct values at any size
+_SMALL_RAW = ["l_linenumber", "code", "state_code", "label"]
+_PROFILES = " UNION ALL ".join(_profile_sql(i, c, _RAW_TYPES.get(c, "string")) for i, c in enumerate(_ALL_RAW))
+_SMALL_SQL = "\"column\" IN (" + ", ".join(f"'{c}'" for c in _SMALL_RAW) + ")"
 
 
-@query("profile_columns_auto", _sql("SELECT * EXCLUDE (\"distinct\", uniqueness), CASE WHEN \"column\" IN ("
-                                    + ", ".join(f"'{c}'" for c in _SMALL_RAW) + ") THEN \"distinct\" END AS \"distinct\", "
-                                    "CASE WHEN \"column\" IN (" + ", ".join(f"'{c}'" for c in _SMALL_RAW)
-                                    + ") THEN uniqueness END AS uniqueness FROM (" + " UNION ALL ".join(
-    _profile_sql(i, c, _RAW_TYPES.get(c, "string")) for i, c in enumerate(_ALL_RAW)) + ") t"))
+def _near(p: DataFrame, exact: DataFrame) -> DataFrame:
+    """The profile with ``distinct_near``: whether its count lies within three standard errors of the exact one."""
+    from raw2clean.operators.states import DISTINCT_ERROR
+    true = exact.select("column", F.col("distinct").alias("_true"))
+    off = F.abs(F.col("distinct") - F.col("_true"))
+    return p.join(F.broadcast(true), "column").withColumn("distinct_near", off <= 3 * DISTINCT_ERROR * F.col("_true") + 1).drop("_true")
+
+
+@query("profile_columns_auto", _sql(f"SELECT * EXCLUDE (\"distinct\", uniqueness, distinct_is_exact), CASE WHEN {_SMALL_SQL} THEN \"distinct\" END AS \"distinct\", "
+                                    f"CASE WHEN {_SMALL_SQL} THEN uniqueness END AS uniqueness, {_SMALL_SQL} AS distinct_is_exact, true AS distinct_near "
+                                    f"FROM ({_PROFILES}) t"))
 def q_profile_columns_auto(spark, sf_dir):
-    """The default: counts are exact where values are few, and compared there; the others are estimates."""
-    p = quality.profile(raw(spark, sf_dir))
-    few = F.col("column").isin(_SMALL_RAW)
+    """Exact counts of the columns named, estimates of the others: those are compared by their error."""
+    rows = raw(spark, sf_dir)
+    p = _near(quality.profile(rows, distinct=_SMALL_RAW), quality.profile(rows, distinct="exact"))
     return p.withColumns({c: F.round(c, 6) for c in ("mean", "stddev", "sum")} | {
-        c: F.when(few, F.col(c)) for c in ("distinct", "uniqueness")})
+        c: F.when(F.col("distinct_is_exact"), F.col(c)) for c in ("distinct", "uniqueness")})
+
+
+@query("profile_merged_states", _sql("SELECT * EXCLUDE (\"distinct\", uniqueness, distinct_is_exact), true AS distinct_near, CASE WHEN mean IS NOT NULL THEN true END AS median_near "
+                                     f"FROM ({_PROFILES}) t"))
+def q_profile_merged_states(spark, sf_dir):
+    """Four parts summarised one by one, one of them twice, their states kept and merged: the profile of all rows."""
+    from raw2clean.operators.states import RANK_ERROR, save_states, stored_states
+    path, rows = io.work_dir(spark, "states"), raw(spark, sf_dir)
+    for part in (0, 1, 2, 3, 1):
+        save_states(rows.where(F.col("l_orderkey") % 4 == part), path, str(part))
+    p = quality.profile_of_states(stored_states(spark, path), quantiles=[0.5])
+    p = _near(p, quality.profile(rows, distinct="exact")).withColumns({c: F.round(c, 6) for c in ("mean", "stddev", "sum")})
+    # the share of numbers below the median and up to it, counted in all rows
+    medians = p.select("column", "q50")
+    numbers = rows.selectExpr("inline(array(" + ", ".join(f"named_struct('column', '{c}', 'v', CAST({c} AS STRING))" for c in _ALL_RAW) + "))").select(
+        "column", R.number("v").alias("d")).where("d IS NOT NULL")
+    ranks = numbers.join(F.broadcast(medians), "column").groupBy("column").agg(
+        ((F.avg((F.col("d") < F.col("q50")).cast("double")) <= 0.5 + 2 * RANK_ERROR)
+         & (F.avg((F.col("d") <= F.col("q50")).cast("double")) >= 0.5 - 2 * RANK_ERROR)).alias("median_near"))
+    return p.join(F.broadcast(ranks), "column", "left").drop("distinct", "uniqueness", "distinct_is_exact", "q50")
 
 
 # --- S6-S9: write and read back --------------------------------------------------------
