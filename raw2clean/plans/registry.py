@@ -363,6 +363,30 @@ def q_dedup_by_key_row_number(spark, sf_dir):
     return dedup.dedup_by_key(raw(spark, sf_dir).select(*_DEDUP_COLS), ["code", "label"], method="row_number")
 
 
+# --- G6 from year to year: halves of the table one after the other ----------------------
+
+_YEAR_KEYS = ["state_code", "county_code", "age", "label"]
+
+
+@query("dedup_against_table", _sql(f"""SELECT {', '.join(_DEDUP_COLS)}, county_code FROM (
+ SELECT *, row_number() OVER (PARTITION BY {', '.join(_YEAR_KEYS)} ORDER BY l_orderkey % 2, code NULLS FIRST, amount NULLS FIRST,
+   tract NULLS FIRST, l_orderkey NULLS FIRST, l_linenumber NULLS FIRST) AS rn FROM raw) t WHERE rn = 1"""))
+def q_dedup_against_table(spark, sf_dir):
+    """Two halves as two runs, each of them twice: the rows that a dedup of all keeps, the first half before the second."""
+    from uuid import uuid4
+
+    from raw2clean.operators.key_table import KeyTable, dedup_run
+    from raw2clean.sources.runs import read_runs
+    path, rows = io.work_dir(spark, "dedup-years"), raw(spark, sf_dir).select(*_DEDUP_COLS, "county_code")
+    table = KeyTable(spark, f"keys_{uuid4().hex[:12]}", _YEAR_KEYS, buckets=16)
+    try:
+        for half in (0, 1, 1, 0):
+            dedup_run(table, rows.where(F.col("l_orderkey") % 2 == half), str(half), path)
+    finally:
+        table.drop()
+    return read_runs(spark, path)
+
+
 _ALL_RAW = KEYS + RAW_TEXT
 
 
