@@ -9,6 +9,7 @@ driver; the rows themselves never do.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
@@ -22,6 +23,9 @@ from raw2clean.functions.sqltext import literal, quoted
 # Sentinels the survey tables use for "no value".
 SURVEY_SENTINELS = ("-888888888", "(X)", "")
 
+#: The column that holds the path of a row's file.
+FILE = "__file"
+
 
 def drop_empty_rows(df: DataFrame) -> DataFrame:
     """Drop rows in which every column is NULL (empty text is a value)."""
@@ -29,13 +33,18 @@ def drop_empty_rows(df: DataFrame) -> DataFrame:
 
 
 def null_sentinels(df: DataFrame, values: Iterable[str] = SURVEY_SENTINELS,
-                   subset: Iterable[str] | None = None, extra: Mapping[str, Column] | None = None) -> DataFrame:
-    """Listed values become NULL in string columns (as ``df.replace``); ``extra`` columns are added as they are."""
+                   subset: Iterable[str] | None = None, extra: Mapping[str, Column] | None = None,
+                   only: Iterable[str] | None = None) -> DataFrame:
+    """Listed values become NULL in string columns (as ``df.replace``); ``extra`` columns are added as
+    they are; ``only`` names the columns that stay."""
     values = [str(v) for v in values]
     subset = set(subset) if subset is not None else None
     no_value = ", ".join(literal(v) for v in values)
+    only = set(df.columns if only is None else only)
     cols = []
     for f in df.schema.fields:
+        if f.name not in only:
+            continue
         c = quoted(f.name)
         if isinstance(f.dataType, StringType) and (subset is None or f.name in subset) and values:
             c = f"CASE WHEN {c} IN ({no_value}) THEN NULL ELSE {c} END AS {c}"
@@ -58,6 +67,24 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str
     return {c: rows - v for c, v in nn.items()}
 
 
+def present_columns(df: DataFrame, files: Sequence[str]) -> list[tuple[list[str], list[str]]]:
+    """C2 per file: (columns with a value, files) for all of ``files`` that have rows, in order of the first file.
+
+    ``df`` holds the files' rows with their paths in the column ``FILE``, as Spark's ``_metadata.file_path`` has
+    them. ONE aggregate counts the values of every column by file, whatever the number of files; files that keep the same
+    columns come back as one row.
+    """
+    columns = [c for c in df.columns if c != FILE]
+    counts = df.groupBy(FILE).agg(*[F.expr(f"count({quoted(c)}) AS c{i}") for i, c in enumerate(columns)])
+    has = ", ".join(f"CASE WHEN c{i} > 0 THEN {i} END" for i in range(len(columns)))
+    found = (counts.selectExpr(FILE, f"array_compact(array({has})) AS kept").groupBy("kept")
+             .agg(F.collect_list(F.try_url_decode(F.replace(FILE, F.lit("+"), F.lit("%2B")))).alias("files")).collect())
+    plain = lambda f: re.sub("^([A-Za-z][A-Za-z0-9+.-]*):/*", r"\1:/", f)
+    names = {plain(f): f for f in files}
+    out = [([columns[i] for i in r["kept"]], sorted(names[plain(f)] for f in r["files"])) for r in found]
+    return sorted(out, key=lambda p: p[1][0])
+
+
 def drop_null_columns(df: DataFrame) -> DataFrame:
     """Drop columns that are NULL in every row.
 

@@ -24,10 +24,12 @@ from raw2clean.functions.rules import as_column
 from raw2clean.operators.dedup import dedup_by_key, distinct_rows
 from raw2clean.operators.quality import QualityRule, run_checks
 from raw2clean.operators.shape import (
+    FILE,
     SURVEY_SENTINELS,
     drop_empty_rows,
     merge_by_name,
     null_sentinels,
+    present_columns,
     value_counts,
 )
 from raw2clean.plans.presets import DEDUP_KEYS_2007, YEAR_TO_ERA, preset
@@ -90,7 +92,7 @@ def run_clean_years(spark: SparkSession, paths: dict[str, str], out_path: str |
 
 def merge_folder(spark: SparkSession, in_path: str, pattern: str = "*.csv",
                  year_column: str = "Year", sentinels: Sequence[str] = SURVEY_SENTINELS,
-                 by: str = "name", drop_empty: bool = True) -> DataFrame | None:
+                 by: str = "name", drop_empty: bool | str = True) -> DataFrame | None:
     """U1/U2 with S3, S11, R15 and C2: all matching files below ``in_path``
     as one table.
 
@@ -102,22 +104,32 @@ def merge_folder(spark: SparkSession, in_path: str, pattern: str = "*.csv",
     dropped from some files only would be NULL for those files' rows after a
     by-name union anyway, so one aggregate over the united table gives the
     legacy per-file result without a job per file and column. With
-    ``by="position"`` the columns of the first file name those of all. Returns ``None`` when
-    no file matches.
+    ``by="position"`` the columns of the first file name those of all; there it matters which columns
+    each file loses, and ``drop_empty="file"`` drops from each file its own empty columns before the
+    union, as the legacy job did: one aggregate by file for each header, then one scan for the files of
+    one header that keep the same columns (files without rows are left out). Returns ``None`` when no file matches.
     """
     years = files_by_year(spark, in_path, pattern)
     groups = group_by_header(spark, list(years))
     if not groups:   # no files, or none with any line
         return None
-    keep = None
-    if drop_empty:
+    keep, kept_of = None, {tuple(columns): [(columns, of)] for columns, of in groups}
+    if drop_empty == "file":
+        kept_of = {tuple(columns): present_columns(null_sentinels(read_group(spark, columns, of), sentinels, extra={FILE: F.col("_metadata.file_path")}), of)
+                   for columns, of in groups}
+        kept_of = {c: parts for c, parts in kept_of.items() if parts}
+        if not kept_of:
+            kept_of = {tuple(columns): [(columns, of)] for columns, of in groups}
+    elif drop_empty:
         plain = [null_sentinels(read_group(spark, columns, of), sentinels) for columns, of in groups]
         rows, values = value_counts(merge_by_name(plain, by=by))
         keep = [c for c, n in values.items() if n or not rows]
-    by_year = [(columns, F.lit(y), [f for f in of if years[f] == y]) for columns, of in groups for y in dict.fromkeys(years[f] for f in of)]
-    if len(by_year) > YEAR_SCANS:
-        by_year = [(columns, year_of_file(in_path), of) for columns, of in groups]
-    merged = merge_by_name([null_sentinels(read_group(spark, columns, of), sentinels, extra={year_column: y}) for columns, y, of in by_year], by=by)
+    parts = sorted(((list(header), kept, of) for header, some in kept_of.items() for kept, of in some), key=lambda p: p[2][0])
+    scans = [(header, kept, F.lit(y), [f for f in of if years[f] == y]) for header, kept, of in parts for y in dict.fromkeys(years[f] for f in of)]
+    if len(scans) > YEAR_SCANS:
+        scans = [(header, kept, year_of_file(in_path), of) for header, kept, of in parts]
+    merged = merge_by_name([null_sentinels(read_group(spark, header, of), sentinels, subset=kept, extra={year_column: y}, only=kept)
+                            for header, kept, y, of in scans], by=by)
     return merged if keep is None else merged.select(*[as_column(c) for c in (*keep, year_column)])
 
 

@@ -694,6 +694,21 @@ def q_merge_folder(spark, sf_dir):
     return merge_folder(spark, base)
 
 
+@query("merge_folder_per_file", _sql("""SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, label, '2015' AS Year FROM raw
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR) AS l_orderkey, o_orderstatus AS label, '2016' AS Year FROM orders
+UNION ALL SELECT CAST(c_custkey AS VARCHAR) AS l_orderkey, c_mktsegment AS label, '2017' AS Year FROM customer"""))
+def q_merge_folder_per_file(spark, sf_dir):
+    """Files united by position after each has lost its own empty columns, which lie at other places in each year."""
+    from raw2clean.plans.jobs import merge_folder
+    base, none = io.work_dir(spark, "per-file"), F.lit("(X)")
+    io.write_table(raw(spark, sf_dir).select("l_orderkey", none.alias("flag"), "label"), f"{base}/acs a+b_2015")
+    io.write_table(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderstatus").alias("label"), none.alias("flag")),
+                   f"{base}/acs%20b#_2016")
+    io.write_table(table(spark, sf_dir, "customer").select(none.alias("flag"), F.col("c_custkey").alias("key"), none.alias("more"), F.col("c_mktsegment").alias("segment")),
+                   f"{base}/c_2017")
+    return merge_folder(spark, base, by="position", drop_empty="file")
+
+
 def write_survey_folders(spark, sf_dir, base):
     """Folders of CSV files with different headers below ``base``."""
     r = raw(spark, sf_dir)

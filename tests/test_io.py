@@ -278,3 +278,27 @@ def test_merge_with_and_without_a_scan_a_year(spark, tmp_dir, monkeypatch):
     each = sorted(map(str, merge_folder(spark, tmp_dir).collect()))
     monkeypatch.setattr(jobs, "YEAR_SCANS", 1)
     assert sorted(map(str, merge_folder(spark, tmp_dir).collect())) == each
+
+
+def test_empty_columns_of_each_file(spark, tmp_dir):
+    _write(f"{tmp_dir}/a b+c%20_2015.csv", "k,e,v\n1,(X),a\n2,,b\n")       # e is empty here
+    _write(f"{tmp_dir}/b_2016.csv", "k,e,v\n3,c,\n4,d,(X)\n")              # and v here
+    _write(f"{tmp_dir}/c_2017.csv", "v,k\nx,5\n")
+    _write(f"{tmp_dir}/d_2018.csv", "k,e,v\n")
+    by_file = merge_folder(spark, tmp_dir, by="position", drop_empty="file")
+    assert by_file.columns == ["k", "v", "Year"]
+    assert sorted(map(tuple, by_file.collect())) == [("1", "a", "2015"), ("2", "b", "2015"), ("3", "c", "2016"), ("4", "d", "2016"), ("x", "5", "2017")]
+    named = merge_folder(spark, tmp_dir, drop_empty="file")
+    assert named.columns == ["k", "v", "Year", "e"]
+    assert sorted(map(str, named.select("k", "e", "v", "Year").collect())) == sorted(map(str, merge_folder(spark, tmp_dir).select("k", "e", "v", "Year").collect()))
+
+
+def test_empty_columns_of_many_files_in_one_job(spark, tmp_dir):
+    from raw2clean.operators.shape import FILE, null_sentinels, present_columns
+    from pyspark.sql import functions as F
+    for i in range(120):
+        _write(f"{tmp_dir}/f{i:03}.csv", "a,b\n1,2\n" if i % 2 else "a,b\n1,\n")
+    files = io.list_files(spark, tmp_dir)
+    df = null_sentinels(io.read_group(spark, ["a", "b"], files), extra={FILE: F.col("_metadata.file_path")})
+    parts, jobs = _jobs(spark, lambda: present_columns(df, files))
+    assert [(c, len(f)) for c, f in parts] == [(["a"], 60), (["a", "b"], 60)] and jobs <= 4
