@@ -11,13 +11,16 @@ also show in the encoding of that pair alone), so the join is exact.
 Decoding concatenates bytes up the same tree.
 
 Pre-tokens (matches of the pattern) are encoded separately; a worker keeps
-the encodings of those it met, emptied at ``CACHE`` entries.
+the encodings of those it met in two generations of ``CACHE_BYTES`` each. When
+the younger is full, it becomes the older, whose pre-tokens stay known only if they are met again.
 """
 
 from __future__ import annotations
 
 import hashlib
 import heapq
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,8 +31,9 @@ from raw2clean.llm.common import chunks, importable, read, texts
 
 RANKS = "byte_bpe_50k.tiktoken"
 LEAF = 32            # bytes that are encoded without a further cut
-CACHE = 100_000      # pre-tokens whose ids a worker keeps
-CACHED_BYTES = 64    # the longest pre-token kept
+CACHE_BYTES = 12_000_000   # of pre-tokens and ids that a worker keeps, in each of two generations
+ENTRY = 180          # bytes that Python's objects of an entry take besides
+CACHED = 64          # characters of the longest pre-token kept
 
 
 class BytePairs:
@@ -117,26 +121,44 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+def little_endian(ids: list[int]) -> bytes:
+    """Ids as unsigned 32-bit integers, the lowest byte first."""
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
 class Worker:
     """A pattern, an encoder and the ids of pre-tokens met, as little-endian bytes."""
 
     def __init__(self, path: str, pattern: str):
         import regex
         self.pairs, self.find = BytePairs(load_ranks(path)), regex.compile(pattern).findall
-        self.known: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.size = 0    # of the younger generation, in bytes
 
     def packed(self, token: str) -> bytes:
-        ids = np.array(self.pairs.encode(token.encode()), "<u4").tobytes()
-        if len(token) <= CACHED_BYTES:
-            if len(self.known) >= CACHE:
-                self.known.clear()
-            self.known[token] = ids
+        """The ids of a pre-token that the younger generation doesn't have."""
+        ids = self.old.get(token)
+        if ids is None:
+            ids = little_endian(self.pairs.encode(token.encode()))
+        if len(token) <= CACHED:
+            if self.size >= CACHE_BYTES:
+                self.young, self.old, self.size = {}, self.young, 0
+            self.young[token] = ids
+            self.size += len(token) + len(ids) + ENTRY
         return ids
 
     def encode(self, text: str) -> bytes:
         """The text's ids as little-endian unsigned 32-bit integers."""
-        get, packed = self.known.get, self.packed
-        return b"".join([get(t) or packed(t) for t in self.find(text)])
+        packed, out = self.packed, []
+        tokens = self.find(text)
+        for k in range(0, len(tokens), 4096):     # a generation may change between
+            get = self.young.get
+            out += [get(t) or packed(t) for t in tokens[k:k + 4096]]
+        return b"".join(out)
 
 
 _WORKERS: dict[tuple[str, str], Worker] = {}

@@ -144,3 +144,17 @@ def test_chunks_keep_every_row():
     batch = pa.RecordBatch.from_arrays([pa.array(["x" * n for n in (0, 5, 100, 0, 3, 50)])], ["text"])
     parts = list(chunks(iter([batch, batch.slice(2, 3)]), 10))
     assert pa.Table.from_batches(parts).column("text").to_pylist() == batch.column("text").to_pylist() + batch.slice(2, 3).column("text").to_pylist()
+
+
+def test_generations_of_the_cache(monkeypatch):
+    """Ids don't depend on what a worker keeps, and it keeps no more than two generations."""
+    rnd = random.Random(4)
+    words = ["".join(rnd.choices("abcdefg é", k=rnd.randint(1, 9))) for _ in range(300)]
+    text = " ".join(rnd.choice(words) for _ in range(20_000))
+    path = public_tokenizers.path(o3.RANKS)
+    plain = o3.Worker(path, public_tokenizers.PATTERN).encode(text)
+    monkeypatch.setattr(o3, "CACHE_BYTES", 3000)
+    worker = o3.Worker(path, public_tokenizers.PATTERN)
+    assert worker.encode(text) == plain
+    assert max(len(worker.young), len(worker.old)) <= 3000 // o3.ENTRY + 1
+    assert worker.pairs.decode(np.frombuffer(plain, "<u4").tolist()).decode() == text
