@@ -51,9 +51,8 @@ def dedup_by_key(df: DataFrame, keys: Iterable[str], order: Iterable[str] | None
     * ``"min_struct"`` (default): ``groupBy(hash, struct(keys)).agg(min(struct(rest)))``,
       with a partial aggregate before the shuffle; its sorts compare the hash
       first, and all keys only where hashes are equal;
-    * ``"row_number"``: ``row_number()`` over the key, equal survivor (with
-      dozens of keys over a wide rule projection, Catalyst's constraint
-      propagation can stall planning; ``min_struct`` does not have this);
+    * ``"row_number"``: ``row_number()`` over the same hash and struct, equal survivor (over
+      dozens of single key columns Catalyst's constraint propagation would stall planning);
     * ``"any"``: ``dropDuplicates`` as the legacy job did; which row survives
       is not defined.
     Output columns keep the input order.
@@ -68,19 +67,18 @@ def dedup_by_key(df: DataFrame, keys: Iterable[str], order: Iterable[str] | None
     rest += [c for c in df.columns if c not in keys and c not in rest]
     if not rest:
         return df.select(*[as_column(k) for k in keys]).distinct()
+    if method not in ("min_struct", "row_number"):
+        raise ValueError(f"unknown method {method!r}")
+    # struct field names are positional to stay clear of odd column names
+    pack = lambda names: "named_struct(" + ", ".join(f"'f{i}', {quoted(c)}" for i, c in enumerate(names)) + ")"
+    packed = df.selectExpr(f"xxhash64({', '.join(quoted(k) for k in keys)}) AS {_HASH}", f"{pack(keys)} AS {_KEY}", f"{pack(rest)} AS {_SURVIVOR}")
     if method == "min_struct":
-        # struct field names are positional to stay clear of odd column names
-        pack = lambda names: "named_struct(" + ", ".join(f"'f{i}', {quoted(c)}" for i, c in enumerate(names)) + ")"
-        agg = (df.selectExpr(f"xxhash64({', '.join(quoted(k) for k in keys)}) AS {_HASH}", f"{pack(keys)} AS {_KEY}", f"{pack(rest)} AS {_SURVIVOR}")
-               .groupBy(_HASH, _KEY).agg(F.min(_SURVIVOR).alias(_SURVIVOR)))
-        at = {c: f"{_KEY}.f{i}" for i, c in enumerate(keys)} | {c: f"{_SURVIVOR}.f{i}" for i, c in enumerate(rest)}
-        return agg.selectExpr(*[f"{at[c]} AS {quoted(c)}" for c in df.columns])
-    if method == "row_number":
-        w = Window.partitionBy(*[as_column(k) for k in keys]) \
-            .orderBy(*[as_column(c).asc_nulls_first() for c in rest])
-        return df.withColumn(_RANK, F.row_number().over(w)) \
-            .where(F.col(_RANK) == 1).drop(_RANK)
-    raise ValueError(f"unknown method {method!r}")
+        first = packed.groupBy(_HASH, _KEY).agg(F.min(_SURVIVOR).alias(_SURVIVOR))
+    else:
+        w = Window.partitionBy(_HASH, _KEY).orderBy(_SURVIVOR)
+        first = packed.withColumn(_RANK, F.row_number().over(w)).where(F.col(_RANK) == 1)
+    at = {c: f"{_KEY}.f{i}" for i, c in enumerate(keys)} | {c: f"{_SURVIVOR}.f{i}" for i, c in enumerate(rest)}
+    return first.selectExpr(*[f"{at[c]} AS {quoted(c)}" for c in df.columns])
 
 
 def _order_expr(c: str, null_as: str | None) -> Column:

@@ -61,3 +61,17 @@ def test_top_n_more_rows_and_absent_order_columns(spark):
     assert out.columns == ["k", "v", "w"]
     assert sorted(r["w"] for r in out.where("k = 'a'").collect()) == ["1", "2"]
     assert out.count() == 5
+
+
+def test_row_number_over_many_keys(spark):
+    """The 43 keys of the 2007 layout over its 79 rules: planned at once, and the same rows as by structs."""
+    import time
+
+    from raw2clean.plans.jobs import clean
+    from raw2clean.plans.presets import DEDUP_KEYS_2007, preset
+    rules = preset("2007")
+    rows = [tuple(str((i * k) % 3) if k % 5 else None for k in range(len(rules.inputs))) for i in range(60)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in rules.inputs))
+    begin = time.perf_counter()
+    got = [sorted(map(str, clean(df, rules, dedup_keys=DEDUP_KEYS_2007, dedup_method=m).collect())) for m in ("row_number", "min_struct")]
+    assert got[0] == got[1] and len(got[0]) > 1 and time.perf_counter() - begin < 60
