@@ -42,7 +42,7 @@ def distinct_rows(df: DataFrame, drop_all_null: bool = False) -> DataFrame:
 
 
 def dedup_by_key(df: DataFrame, keys: Iterable[str], order: Iterable[str] | None = None,
-                 method: str = "min_struct") -> DataFrame:
+                 method: str = "min_struct", drop_all_null: bool = False) -> DataFrame:
     """One row per distinct key.
 
     The survivor is fixed: the row whose other columns (in ``order``, by
@@ -55,6 +55,9 @@ def dedup_by_key(df: DataFrame, keys: Iterable[str], order: Iterable[str] | None
       dozens of single key columns Catalyst's constraint propagation would stall planning);
     * ``"any"``: ``dropDuplicates`` as the legacy job did; which row survives
       is not defined.
+    ``drop_all_null=True`` first leaves out rows in which every column is NULL (P1): not by a
+    filter, which Catalyst would push below a rule projection (every rule runs twice, and the constraints
+    it derives from dozens of rules stall planning), but by ordering such rows last and dropping groups of nothing else.
     Output columns keep the input order.
     """
     keys = list(keys)
@@ -62,22 +65,26 @@ def dedup_by_key(df: DataFrame, keys: Iterable[str], order: Iterable[str] | None
     if missing:
         raise ValueError(f"key columns missing: {missing}")
     if method == "any":
-        return df.dropDuplicates(keys)
+        return (df.dropna(how="all") if drop_all_null else df).dropDuplicates(keys)
     rest = [c for c in (list(order) if order is not None else df.columns) if c not in keys]
     rest += [c for c in df.columns if c not in keys and c not in rest]
     if not rest:
-        return df.select(*[as_column(k) for k in keys]).distinct()
+        return distinct_rows(df.selectExpr(*[quoted(k) for k in keys]), drop_all_null).selectExpr(*[quoted(c) for c in df.columns])
     if method not in ("min_struct", "row_number"):
         raise ValueError(f"unknown method {method!r}")
     # struct field names are positional to stay clear of odd column names
     pack = lambda names: "named_struct(" + ", ".join(f"'f{i}', {quoted(c)}" for i, c in enumerate(names)) + ")"
-    packed = df.selectExpr(f"xxhash64({', '.join(quoted(k) for k in keys)}) AS {_HASH}", f"{pack(keys)} AS {_KEY}", f"{pack(rest)} AS {_SURVIVOR}")
+    empty = "(" + " AND ".join(f"{quoted(c)} IS NULL" for c in df.columns) + ")" if drop_all_null else "false"
+    packed = df.selectExpr(f"xxhash64({', '.join(quoted(k) for k in keys)}) AS {_HASH}", f"{pack(keys)} AS {_KEY}",
+                           f"named_struct('empty', {empty}, 'row', {pack(rest)}) AS {_SURVIVOR}")
     if method == "min_struct":
         first = packed.groupBy(_HASH, _KEY).agg(F.min(_SURVIVOR).alias(_SURVIVOR))
     else:
         w = Window.partitionBy(_HASH, _KEY).orderBy(_SURVIVOR)
         first = packed.withColumn(_RANK, F.row_number().over(w)).where(F.col(_RANK) == 1)
-    at = {c: f"{_KEY}.f{i}" for i, c in enumerate(keys)} | {c: f"{_SURVIVOR}.f{i}" for i, c in enumerate(rest)}
+    if drop_all_null:
+        first = first.where(f"NOT {_SURVIVOR}.empty")
+    at = {c: f"{_KEY}.f{i}" for i, c in enumerate(keys)} | {c: f"{_SURVIVOR}.row.f{i}" for i, c in enumerate(rest)}
     return first.selectExpr(*[f"{at[c]} AS {quoted(c)}" for c in df.columns])
 
 

@@ -26,7 +26,6 @@ from raw2clean.operators.quality import QualityRule, run_checks
 from raw2clean.operators.shape import (
     FILE,
     SURVEY_SENTINELS,
-    drop_empty_rows,
     merge_by_name,
     null_sentinels,
     present_columns,
@@ -51,7 +50,7 @@ def clean(df: DataFrame, rules: RuleSet, dedup_keys: Sequence[str] | None = None
     """
     out = rules.apply(df, on_missing=on_missing)
     if dedup_keys:
-        return dedup_by_key(drop_empty_rows(out), dedup_keys, method=dedup_method)
+        return dedup_by_key(out, dedup_keys, method=dedup_method, drop_all_null=True)
     return distinct_rows(out, drop_all_null=True)
 
 

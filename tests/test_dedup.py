@@ -75,3 +75,12 @@ def test_row_number_over_many_keys(spark):
     begin = time.perf_counter()
     got = [sorted(map(str, clean(df, rules, dedup_keys=DEDUP_KEYS_2007, dedup_method=m).collect())) for m in ("row_number", "min_struct")]
     assert got[0] == got[1] and len(got[0]) > 1 and time.perf_counter() - begin < 60
+
+
+@pytest.mark.parametrize("method", ["min_struct", "row_number", "any"])
+def test_rows_of_nothing_are_no_survivors(spark, method):
+    df = spark.createDataFrame([(None, None, None), (None, None, "x"), ("a", None, None), (None, "b", None), (None, None, None)], "k string, l string, v string")
+    out = dedup_by_key(df, ["k", "l"], method=method, drop_all_null=True)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(None, None, "x"), ("a", None, None), (None, "b", None)], key=str)
+    assert dedup_by_key(df.where("k IS NULL AND l IS NULL AND v IS NULL"), ["k", "l"], method=method, drop_all_null=True).count() == 0
+    assert dedup_by_key(df, ["v", "l", "k"], method=method, drop_all_null=True).count() == 3
