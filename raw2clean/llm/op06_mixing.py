@@ -1,19 +1,20 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree.
 
 A document's place is a 63-bit hash; a source's documents fall into
-``BLOCKS`` blocks by its leading bits, in an order that the hash has permuted. A
-source whose target is r times its size and a rest gives all its blocks r
-times, and for the rest the documents below a cut of the hash order. The cut is
-found by refining the one block that it lies in, level by level (each level
-is one small aggregate: ``BLOCKS`` sums a source), down to a few documents,
-of which those are taken that fill the rest.
-
-The blocks to place are exact quotas by source. A tree over the output
-shards divides them: each node draws how many blocks of every source go left from the
-multivariate hypergeometric distribution, so leaves of equal capacity get
-exact quotas and no block is lost or doubled. Each shard draws its quota from
-its source's permuted blocks, disjoint by construction, and shuffles its
-documents locally. All draws come from fixed seeds: reruns agree.
+``BLOCKS`` blocks by its leading bits. A source's quota is a number of blocks: all
+of them as often as its target holds its size, and of one copy more, in an order
+permuted for the source, as many as the rest of the target holds.
+
+A tree over the output shards divides the quotas: each node draws how many blocks of
+every source go left from the multivariate hypergeometric distribution, so leaves
+of equal capacity get exact quotas and no block is lost or doubled. Each
+leaf draws its quota from its sources' permuted blocks, disjoint by construction.
+The blocks that the leaves drew are what the mix takes, and each shard shuffles their documents
+locally. All draws come from fixed seeds: reruns agree.
+
+What whole blocks leave of a target is less than the next block in order. That one is refined
+level by level (each level is one small aggregate: ``BLOCKS`` sums a source), down
+to about ``FEW`` documents, of which a subset is chosen that comes nearest; this part goes to a shard of its own draw.
 
 The list of sources is the mix's configuration and is held by the driver
 (a name, a sum and at most 3 x ``BLOCKS`` block places each).
@@ -35,6 +36,7 @@ BITS = 8                # of the hash order, at each level
 BLOCKS = 1 << BITS
 PLACE_BITS = 63
 FEW = 256               # documents that are filled in one by one, about
+SUMS = 1 << 16          # units in which their sizes are summed up at most
 SEED = 20
 
 
@@ -83,27 +85,37 @@ def split_quotas(quotas: Sequence[int], shards: int, seed: int = SEED) -> np.nda
 
 
 def _fill(sizes: list[tuple[int, int]], rest: int) -> list[int]:
-    """Places of the documents (place, size) that fill the rest: in order, those that fit; then the
-    one document more, or exchanged for one taken, that comes nearest."""
-    taken, spare = [], []
-    for p, size in sorted(sizes):
-        if 0 < size <= rest:
-            rest -= size
-            taken.append((p, size))
-        elif size:
-            spare.append((p, size))
-    if rest and spare:
-        out = [(None, 0), *taken]
-        off = np.abs(np.subtract.outer([s for _, s in spare], [s for _, s in out]) - rest)
-        i, j = np.unravel_index(off.argmin(), off.shape)
-        if off[i, j] < rest:
-            taken = [x for x in out[1:] if x != out[j]] + [spare[i]]
-    return [p for p, _ in taken]
-
-
-def _cuts(slim: DataFrame, rest: dict[int, int]) -> dict[int, tuple[int, list[int]]]:
-    """For each source with a rest: the place below which all is taken, and places of single documents beyond it."""
+    """Places of documents (place, size) whose sizes sum up as near to ``rest`` as any subset's (in units of ``rest`` / ``SUMS``).
+
+    A bit for each sum that the documents so far can reach; then back through the documents, from the nearest sum.
+    """
+    docs = [(p, s) for p, s in sorted(sizes) if s > 0]
+    unit = max(1, rest // SUMS)
+    steps, most = [1], 2 * (rest // unit) + 1       # a sum beyond twice the rest is farther than none
+    for _, size in docs:
+        steps.append((steps[-1] | steps[-1] << size // unit) & ((1 << most + 1) - 1))
+    goal = rest // unit
+    below = (steps[-1] & ((1 << goal + 1) - 1)).bit_length() - 1
+    above = steps[-1] >> goal
+    over = goal + (above & -above).bit_length() - 1 if above else None
+    at = over if over is not None and over - goal < goal - below else below
+    taken = []
+    for k in range(len(docs) - 1, -1, -1):
+        if not steps[k] >> at & 1:
+            taken.append(docs[k][0])
+            at -= docs[k][1] // unit
+    return taken[::-1]
+
+
+def block_order(source: int) -> list[int]:
+    """The order in which a source's blocks are drawn."""
+    return np.random.Generator(np.random.PCG64([SEED, 1, source])).permutation(BLOCKS).tolist()
+
+
+def _drawn(slim: DataFrame, rest: dict[int, int]) -> dict[int, tuple[list[int], dict[int, tuple[int, list[int]]]]]:
+    """For each source with a rest: the blocks that it holds, in the order drawn, and what is taken of blocks in part: {block: (below which place, single places)}."""
     spark = slim.sparkSession
+    whole: dict[int, list[int]] = {i: [] for i in rest}
     base, depth, left, out = dict.fromkeys(rest, 0), 0, dict(rest), {}
     while left:
         shift = PLACE_BITS - BITS * (depth + 1)
@@ -113,45 +125,51 @@ def _cuts(slim: DataFrame, rest: dict[int, int]) -> dict[int, tuple[int, list[in
         for r in (inside.groupBy("no", F.shiftright("place", shift).bitwiseAND(BLOCKS - 1).alias("block"))
                   .agg(F.sum("size").alias("size"), F.count("*").alias("docs")).collect()):
             sums[r["no"]][r["block"]] = (r["size"], r["docs"])
-        few: dict[int, tuple[int, int, int]] = {}   # the places from, to, and what to fill there
+        few: dict[int, tuple[list[int], int]] = {}   # the parts of this level whose documents are looked at, and what to fill
         for i in list(left):
-            for block in range(BLOCKS):
-                size, docs = sums[i].get(block, (0, 0))
-                if size > left[i]:
-                    break
-                left[i] -= size
-            else:
-                out[i] = (base[i] + (BLOCKS << shift), [])
-                left.pop(i)
-                continue
-            if docs > FEW and shift >= BITS:
-                base[i] += block << shift
-                continue
-            lo = hi = block   # few enough: with neighbours up to about FEW documents
-            while docs < FEW and (lo > 0 or hi < BLOCKS - 1):
-                if hi < BLOCKS - 1:
+            order, full = block_order(i) if depth == 0 else list(range(BLOCKS)), 0
+            while full < BLOCKS and sums[i].get(order[full], (0, 0))[0] <= left[i]:
+                left[i] -= sums[i].get(order[full], (0, 0))[0]
+                full += 1
+            docs = sums[i].get(order[full], (0, 0))[1] if full < BLOCKS else 0
+            lo, hi = full, full + (full < BLOCKS)
+            refine = docs > FEW and shift >= BITS
+            while not refine and docs < FEW and left[i] and (lo > 0 or hi < BLOCKS):   # neighbours in order, up to about FEW documents
+                if hi < BLOCKS:
+                    docs += sums[i].get(order[hi], (0, 0))[1]
                     hi += 1
-                    docs += sums[i].get(hi, (0, 0))[1]
                 if lo > 0:
                     lo -= 1
-                    left[i] += sums[i].get(lo, (0, 0))[0]
-                    docs += sums[i].get(lo, (0, 0))[1]
-            few[i] = (base[i] + (lo << shift), base[i] + ((hi + 1 << shift) - 1), left.pop(i))
-        if few:
-            ends = stored(spark.createDataFrame([(i, a, b) for i, (a, b, _) in few.items()], "no int, a long, b long"), "mix-few")
-            docs_of: dict[int, list[tuple[int, int]]] = {i: [] for i in few}
-            for r in (slim.join(ends, "no").where(F.col("place").between(F.col("a"), F.col("b")))
+                    left[i] += sums[i].get(order[lo], (0, 0))[0]
+                    docs += sums[i].get(order[lo], (0, 0))[1]
+            if depth == 0:
+                whole[i] = order[:lo]
+            if refine:
+                base[i] += order[full] << shift
+                continue
+            if depth:       # of the one block refined: all below, and some of these documents
+                out[i] = {base[i] >> PLACE_BITS - BITS: (base[i] + (lo << shift), [])}
+            few[i] = (order[lo:hi], left.pop(i))
+        wanted = {i: f for i, f in few.items() if f[0] and f[1]}
+        if wanted:
+            ends = stored(spark.createDataFrame([(i, (base[i] >> shift) + b) for i, (parts, _) in wanted.items() for b in parts], "no int, part long"), "mix-few")
+            docs_of: dict[int, list[tuple[int, int]]] = {i: [] for i in wanted}
+            for r in (slim.withColumn("part", F.shiftright("place", shift)).join(ends, ["no", "part"])
                       .groupBy("no", "place").agg(F.sum("size").alias("size")).collect()):
                 docs_of[r["no"]].append((r["place"], r["size"]))
-            out |= {i: (a, _fill(docs_of[i], r)) for i, (a, _, r) in few.items()}
+            for i, (_, fill) in wanted.items():
+                part = out.setdefault(i, {})
+                for p in _fill(docs_of[i], fill):
+                    part.setdefault(p >> PLACE_BITS - BITS, (0, []))[1].append(p)
         depth += 1
-    return out
+    return {i: (whole[i], out.get(i, {})) for i in rest}
 
 
 class Mix:
-    """What the mix takes: for each source and block the shards of its copies, the cut and the single documents.
+    """What the mix takes: for each source and block that the leaves drew, the shards of its copies.
 
-    ``sources``: source, no, source_size, target. ``blocks``: no, block, shards (one for each whole copy), rest_shard, cut, singles.
+    ``sources``: source, no, source_size, target. ``blocks``: no, block, shards (one for each whole copy), rest_shard (of one copy
+    more, if drawn), and of that copy, where it is taken in part: the place below which, and single places.
     """
 
     def __init__(self, sources: DataFrame, blocks: DataFrame, slim: DataFrame, shards: int):
@@ -174,30 +192,28 @@ def plan_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MO
     numbered = slim.join(sources.select(F.col("source").alias("of"), "no"), F.col("source").eqNullSafe(F.col("of"))).select("no", "place", "size")
     copies = [min(most, int(t // s)) if s else 0 for t, s in zip(goal, sizes, strict=True)]
     rest = {i: r for i, (t, s, c) in enumerate(zip(goal, sizes, copies, strict=True)) if s and c < most and (r := round(t - c * s)) > 0}
-    cuts = _cuts(numbered, rest)
+    drawn = _drawn(numbered, rest)
 
-    shift = PLACE_BITS - BITS
-    # a source's blocks to place: every block for each whole copy, and those with anything taken for the rest
+    # a source's quota: every block for each whole copy, those of the rest, and a place for what is taken of blocks in part
     units: list[list[tuple[int, int]]] = []
     for i in range(len(rows)):
-        cut, singles = cuts.get(i, (0, []))
-        upto = -(-cut >> shift) if cut else 0
-        partial = {*range(min(upto, BLOCKS)), *(p >> shift for p in singles)}
-        units.append([(c, b) for c in range(copies[i]) for b in range(BLOCKS)] + [(copies[i], b) for b in sorted(partial)])
+        whole, part = drawn.get(i, ([], {}))
+        units.append([(c, b) for c in range(copies[i]) for b in block_order(i)] + [(copies[i], b) for b in (*whole, *sorted(part))])
     quotas = split_quotas([len(u) for u in units], shards)
-    shard_of: list[dict[tuple[int, int], int]] = []
-    for i, u in enumerate(units):
-        order = np.random.Generator(np.random.PCG64([SEED, 1, i])).permutation(len(u))
-        to = np.repeat(np.arange(shards), quotas[:, i])
-        shard_of.append({u[k]: int(s) for k, s in zip(order, to, strict=True)})
     table = []
-    for i in range(len(rows)):
-        cut, singles = cuts.get(i, (0, []))
-        for b in range(BLOCKS):
-            of = shard_of[i]
-            whole = [of[c, b] for c in range(copies[i])]
-            if whole or (copies[i], b) in of:
-                table.append((i, b, whole, of.get((copies[i], b)), cut, [p for p in singles if p >> shift == b]))
+    for i, u in enumerate(units):
+        # the leaves draw their quotas from the source's permuted blocks, without putting back
+        order = np.random.Generator(np.random.PCG64([SEED, 2, i])).permutation(len(u))
+        shard_of = {u[k]: int(s) for k, s in zip(order, np.repeat(np.arange(shards), quotas[:, i]), strict=True)}
+        part = drawn.get(i, ([], {}))[1]
+        of_block: dict[int, list[int]] = {}
+        for (c, b), s in sorted(shard_of.items()):
+            if c < copies[i]:
+                of_block.setdefault(b, []).append(s)
+        for b in sorted({b for _, b in u}):
+            rest_shard = shard_of.get((copies[i], b))
+            cut, singles = part.get(b, (None, []))    # no cut: the whole block
+            table.append((i, b, of_block.get(b, []), rest_shard, cut, singles))
     blocks = stored(spark.createDataFrame(table, "no int, block int, shards array<int>, rest_shard int, cut long, singles array<long>"), "mix-blocks")
     return Mix(sources, blocks, slim, shards)
 
@@ -209,7 +225,7 @@ def _placed(rows: DataFrame, mix: Mix, source: str, at: str, out: str) -> DataFr
                                F.col("cut").alias("_mix_cut"), F.col("singles").alias("_mix_singles"))
     joined = (rows.join(by, F.col(source).eqNullSafe(F.col("_mix_of")), "left")
               .withColumn("_mix_block", F.shiftright(at, PLACE_BITS - BITS).cast("int")).join(blocks, ["_mix_no", "_mix_block"], "left"))
-    more = F.col("_mix_rest").isNotNull() & ((F.col(at) < F.col("_mix_cut")) | F.array_contains("_mix_singles", F.col(at)))
+    more = F.col("_mix_rest").isNotNull() & (F.col("_mix_cut").isNull() | (F.col(at) < F.col("_mix_cut")) | F.array_contains("_mix_singles", F.col(at)))
     none = F.array().cast("array<int>")
     return joined.withColumn(out, F.concat(F.coalesce("_mix_shards", none), F.when(more, F.array("_mix_rest")).otherwise(none)))
 

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -159,3 +160,39 @@ def test_native_operators_run_no_python(spark):
     for df in (o9.judge_urls(pages, o9.production_rules()), dedup_lines(documents(spark, ["a"]))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_fill_finds_the_nearest_sum():
+    rnd = random.Random(2)
+    for _ in range(60):
+        docs = [(p, rnd.choice([0, 1, 3, 10, 50, rnd.randint(1, 400)])) for p in rnd.sample(range(1000), rnd.randint(0, 11))]
+        rest = rnd.randint(1, 900)
+        sums = {0}
+        for _, s in docs:
+            sums |= {x + s for x in sums}
+        size = dict(docs)
+        got = o6._fill(docs, rest)
+        assert len(set(got)) == len(got)
+        assert abs(sum(size[p] for p in got) - rest) == min(abs(x - rest) for x in sums)
+
+
+@pytest.mark.parametrize(("n", "few"), [(40, 256), (900, 256), (900, 4), (900, 1)])
+def test_the_mix_is_what_the_leaves_drew(spark, monkeypatch, n, few):
+    """Whole blocks in the drawn order, each to one shard a copy, and one part: near the target by less than any plain cut's document."""
+    monkeypatch.setattr(o6, "FEW", few)
+    rnd = random.Random(n + few)
+    rows = [(i, " ".join(["w"] * rnd.randint(1, 40)), "en", rnd.choice("aab") if i % 3 else "c", 0) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    plan = o6.plan_mix(docs, shards=5)
+    out = o6.taken(plan).collect()
+    of = {r[0]: r[3] for r in rows}
+    for source in "abc":
+        own = [r for r in out if of[r.doc_id] == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 1 + (few < 256) * 40
+        assert all(r.taken in (0, r.size, 2 * r.size, 3 * r.size) and r.taken == r.size * len(r.shards) for r in own)
+    blocks = plan.blocks.collect()
+    quotas = Counter(s for b in blocks for s in [*b.shards, *([b.rest_shard] if b.rest_shard is not None else [])])
+    assert max(quotas.values()) - min(quotas[s] for s in range(5)) <= 1      # leaves of equal capacity
+    for no in {b.no for b in blocks}:
+        whole = [b.block for b in blocks if b.no == no and b.rest_shard is not None and b.cut is None]
+        assert set(whole) == set(o6.block_order(no)[:len(whole)])
