@@ -29,8 +29,7 @@ LETTERS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01
 WINDOW = 7           # bytes of the rolling hash
 LEAST_BLOCK = 4      # the smallest block size
 LENGTH = 32          # borders that a block size leaves at least, unless it is the smallest
-SHORT = 16           # letters: signatures below go straight to the edit distance
-RUN = 7              # letters: longer signatures without a common run this long (or of a quarter of the shorter one) are unlike
+PREFIX = 256         # characters of the text that range rows of one id
 
 
 def rolling(data: np.ndarray) -> np.ndarray:
@@ -85,13 +84,7 @@ def edit_distance(a: str, b: str) -> int:
 
 
 def _alike(a: str, b: str) -> float:
-    if a == b:
-        return 1.0
-    short = min(len(a), len(b))
-    run = min(RUN, short // 4)
-    if short >= SHORT and not {a[i:i + run] for i in range(len(a) - run + 1)} & {b[i:i + run] for i in range(len(b) - run + 1)}:
-        return 0.0
-    return 1.0 - edit_distance(a, b) / max(len(a), len(b))
+    return 1.0 if a == b else 1.0 - edit_distance(a, b) / max(len(a), len(b))
 
 
 def likeness(a: str, b: str) -> float:
@@ -172,7 +165,8 @@ def fingerprints(docs: DataFrame, partitions: int | None = None) -> DataFrame:
         if last is not None:
             yield out([(last[0], None, None, last[2], None, None, None)], first, last[1])
 
-    ranged = texts(docs).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    # the text's beginning spreads the rows of one id, those without an id too
+    ranged = texts(docs).repartitionByRange(n, "doc_id", F.substring("text", 1, PREFIX)).sortWithinPartitions("doc_id", "text")
     walked = stored(ranged.mapInArrow(walk, schema), "fingerprints")
     seams = walked.where("head is not null")   # one row for each partition that has documents
     order = Window.orderBy("at")

@@ -105,7 +105,7 @@ def test_likeness_of_edits():
     assert o8.likeness(o8.fingerprint(one), o8.fingerprint(one)) == 1.0
     assert o8.likeness(o8.fingerprint(one), o8.fingerprint(changed)) > 0.9
     assert o8.likeness(o8.fingerprint(one), o8.fingerprint(o8.edited(one, other))) > 0.5
-    assert o8.likeness(o8.fingerprint(one), o8.fingerprint(other)) == 0.0
+    assert o8.likeness(o8.fingerprint(one), o8.fingerprint(other)) < 0.25     # letters that fall together by chance
     assert o8.likeness(o8.fingerprint(""), o8.fingerprint("")) == 1.0 and o8.likeness(o8.fingerprint(""), o8.fingerprint(one)) == 0.0
 
 
@@ -158,3 +158,66 @@ def test_generations_of_the_cache(monkeypatch):
     assert worker.encode(text) == plain
     assert max(len(worker.young), len(worker.old)) <= 3000 // o3.ENTRY + 1
     assert worker.pairs.decode(np.frombuffer(plain, "<u4").tolist()).decode() == text
+
+
+def plain_fingerprint(text):
+    """Signatures from their definition, a byte at a time and without numpy."""
+    mask32, mask64, data = (1 << 32) - 1, (1 << 64) - 1, text.encode()
+
+    def mix(h):
+        h = (h ^ h >> 30) * 0xBF58476D1CE4E5B9 & mask64
+        h = (h ^ h >> 27) * 0x94D049BB133111EB & mask64
+        return h ^ h >> 31
+
+    marks = []
+    for i in range(len(data)):
+        h = 0
+        for k in range(min(7, i + 1)):
+            h ^= ((data[i - k] + 1) * 0x9E3779B1 & mask32) >> 3 * k
+        marks.append(mix(h * 3 & mask32 if i >= 6 else h))
+    borders = lambda size: [i + 1 for i, m in enumerate(marks) if m % size == size - 1]
+
+    def signature(size):
+        cuts, out, start = borders(size), "", 0
+        for end in cuts + [len(data)] * (not cuts or cuts[-1] < len(data)):
+            total = sum((b + 1) * pow(0x9E3779B97F4A7C15, k, 1 << 64) for k, b in enumerate(data[start:end]))
+            out += "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"[mix((total + (end - start) * 0x9E3779B97F4A7C15) & mask64) >> 58]
+            start = end
+        return out
+
+    size = 4
+    while len(borders(2 * size)) >= 32:
+        size *= 2
+    return f"{size}:{signature(size)}:{signature(2 * size)}" if data else "4::"
+
+
+def plain_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, before = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[j - 1] + 1, before[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_fingerprints_from_their_definition():
+    rnd = random.Random(8)
+    texts = ["", "a", "abcdef", "abcdefg", "x" * 500, "naïve 日本語 ✓ " * 40, *("".join(rnd.choices("abc de\n", k=n)) for n in (7, 40, 333, 2000, 6000))]
+    prints = [plain_fingerprint(t) for t in texts]
+    assert [o8.fingerprint(t) for t in texts] == prints
+    for a in prints:
+        for b in prints:
+            (m, a1, a2), (n, b1, b2) = a.split(":"), b.split(":")
+            pairs = [(a1, b1), (a2, b2)] if m == n else [(a2, b1)] if 2 * int(m) == int(n) else [(a1, b2)] if int(m) == 2 * int(n) else []
+            want = 1.0 if a == b else max((1.0 if x == y else 1 - plain_distance(x, y) / max(len(x), len(y)) for x, y in pairs), default=0.0)
+            assert o8.likeness(a, b) == pytest.approx(want)
+
+
+def test_many_rows_of_one_id(spark):
+    rnd = random.Random(9)
+    rows = [(None if k % 3 else 7, "".join(rnd.choices("ab c", k=rnd.randint(0, 400)))) for k in range(300)] + [(None, "the same")] * 40
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    want = [(i, len(t), hashlib.sha256(o8.edited(t, n).encode()).hexdigest(), plain_fingerprint(t)) for (i, t), (_, n) in zip(order, order[1:] + order[:1], strict=True)]
+    out = o8.fingerprints(df, 8).select("doc_id", "n_chars", "edited_sha256", "fingerprint").collect()
+    assert sorted(map(tuple, out), key=repr) == sorted(want, key=repr)
