@@ -17,7 +17,7 @@ nodes measure the distance of one of both blocks in turn from a vantage point.
   compared as they are.
 * Many alike. Rests that no vantage point splits are fingerprints of one large
   group. There, those equal but for d neighbouring bits are tied first (they
-  link for sure), and those of the largest group so tied aren't compared among themselves again.
+  link for sure), and those that hang together with most others aren't compared among themselves.
 * A shard of more than ``PART`` fingerprints is cut into parts, and each pair of parts is a block.
 
 A block returns a forest of its links, fewer edges than fingerprints. Components of
@@ -143,33 +143,70 @@ class Links:
         return self.edges[0]
 
 
+def _near(homes: np.ndarray, others: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(indices of others, of homes) of the pairs within ``distance``, a slice of the others at a time."""
+    step = max(1, AT_ONCE // max(len(homes), 1))
+    for at in range(0, len(others), step):
+        i, j = np.nonzero(np.bitwise_count(others[at:at + step, None] ^ homes) <= distance)
+        yield i + at, j
+
+
 def _compare(homes: np.ndarray, others: np.ndarray, distance: int, links: Links) -> None:
-    for at in range(0, len(others), max(1, AT_ONCE // max(len(homes), 1))):
-        some = others[at:at + max(1, AT_ONCE // max(len(homes), 1))]
-        i, j = np.nonzero(np.bitwise_count(some[:, None] ^ homes) <= distance)
-        unlike = some[i] != homes[j]
-        links.add(some[i[unlike]], homes[j[unlike]])
+    for i, j in _near(homes, others, distance):
+        unlike = others[i] != homes[j]
+        links.add(others[i[unlike]], homes[j[unlike]])
 
 
 def _compare_dense(homes: np.ndarray, others: np.ndarray, distance: int, links: Links) -> None:
-    """As ``_compare``, for many that are alike: sure ties first, and no pairs within the largest group of them."""
-    both = np.unique(np.concatenate([homes, others]))
+    """As ``_compare``, for many that are alike: no pairs within the largest group that hangs together so far.
+
+    Sure ties come first. Then those outside the group are compared with all homes, a slice at a time, and what they
+    tie to the group is inside from then on; at last those inside are compared with the homes still outside.
+    """
+    both, at = np.unique(np.concatenate([homes, others]), return_inverse=True)
+    home_at, other_at = at[:len(homes)], at[len(homes):]
     ties = [np.zeros((0, 2), np.int64)]
     for low in range(0, 64, distance) if distance else ():
         rest = both & ~np.uint64(((1 << distance) - 1 << low) & (1 << 64) - 1)
         order = np.argsort(rest, kind="stable")
         same = np.flatnonzero(rest[order[1:]] == rest[order[:-1]])
-        ties.append(np.stack([both[order[same]], both[order[same + 1]]], axis=1).view(np.int64))
-    stars = forest_of(np.concatenate(ties))
-    links.add(stars[:, 0].view(np.uint64), stars[:, 1].view(np.uint64))
-    if not len(stars):
-        return _compare(homes, others, distance, links)
-    lead, size = np.unique(stars[:, 0], return_counts=True)
-    lead = lead[np.argmax(size)]
-    largest = np.append(stars[stars[:, 0] == lead, 1], lead).view(np.uint64)
-    in_homes, in_others = np.isin(homes, largest), np.isin(others, largest)
-    _compare(homes, others[~in_others], distance, links)
-    _compare(homes[~in_homes], others[in_others], distance, links)
+        ties.append(np.stack([order[same], order[same + 1]], axis=1))
+    found = [forest_of(np.concatenate(ties))]
+    inside = np.zeros(len(both), bool)
+
+    def largest() -> None:
+        stars = found[0] = forest_of(np.concatenate(found))
+        del found[1:]
+        if len(stars):
+            lead, size = np.unique(stars[:, 0], return_counts=True)
+            own = stars[:, 0] == lead[np.argmax(size)]
+            inside[stars[own]] = True
+
+    def add(i: np.ndarray, j: np.ndarray) -> None:
+        unlike = i != j
+        i, j = i[unlike], j[unlike]
+        while (new := inside[i] != inside[j]).any():
+            inside[i[new]] = inside[j[new]] = True
+        found.append(np.stack([i, j], axis=1))
+        if sum(map(len, found)) > AT_ONCE + len(both):
+            largest()
+
+    largest()
+    step, later = max(1, AT_ONCE // max(len(homes), 1)), []
+    for k in range(0, len(other_at), step):
+        some = other_at[k:k + step]
+        later.append(some[inside[some]])
+        some = some[~inside[some]]
+        for i, j in _near(homes, both[some], distance):
+            add(some[i], home_at[j])
+        if not inside.any():
+            largest()
+    largest()
+    later, outside = np.concatenate([other_at[:0], *later]), home_at[~inside[home_at]]
+    for i, j in _near(both[outside], both[later], distance):
+        add(later[i], outside[j])
+    stars = both[forest_of(np.concatenate(found))]
+    links.add(stars[:, 0], stars[:, 1])
 
 
 def search(homes: np.ndarray, others: np.ndarray, masks: tuple[np.uint64, np.uint64], distance: int, links: Links) -> None:
