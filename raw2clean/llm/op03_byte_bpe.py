@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from raw2clean.llm.common import chunks, importable, read, texts
+from raw2clean.llm.common import chunks, importable, read, texts, trim
 
 RANKS = "byte_bpe_50k.tiktoken"
 LEAF = 32            # bytes that are encoded without a further cut
@@ -139,6 +139,11 @@ class Worker:
         self.old: dict[str, bytes] = {}
         self.size = 0    # of the younger generation, in bytes
 
+    def forget(self) -> None:
+        """Give the generations up at a task's end: idle workers share their executor's memory with later stages."""
+        self.young, self.old, self.size = {}, {}, 0
+        trim()
+
     def packed(self, token: str) -> bytes:
         """The ids of a pre-token that the younger generation doesn't have."""
         ids = self.old.get(token)
@@ -183,6 +188,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for batch in chunks(batches):
             ids = [w.encode(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+        w.forget()
 
     return texts(docs).mapInArrow(run, "doc_id long, ids binary")
 
@@ -221,6 +227,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             n, encoded, decoded = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(encoded), pa.array(decoded)],
                                              ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        w.forget()
 
     return texts(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
