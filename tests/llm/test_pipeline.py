@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 
 
 def test_all_are_registered():
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in registry.Q}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in registry.Q}
     assert set(registry.Q) | {"pipeline"} <= set(E.queries()) and set(registry.ORACLE_SQL) <= set(E.oracle_sql())
     assert len(P.STAGES) == 5
 
