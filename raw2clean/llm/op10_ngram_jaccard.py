@@ -18,8 +18,10 @@ transpose; what is computed of it are the blocks that can hold a link:
   signature arrives once a task, however many sets share it.
 * Candidates that hang together form a component; each set goes on once, to the
   block of its component. Sets without candidates go no further.
-* Components of many sets are cut into parts, and every pair of parts is a
-  block, so no task holds more than two parts.
+* Components of many sets are cut into parts; a block is one part or two, so no task
+  holds more. First come each part by itself and with the next, blocks that grow as the sets do. Where a
+  component doesn't hang together by what they link, it is cut anew, so that a part holds sets of
+  one group that does or of small groups, and pairs of parts follow, but for those of one group.
 * In a block, columns with equal entries are one weighted column. Overlaps
   accumulate over slices of columns; after each slice, pairs whose count and
   remaining columns can't reach the bound of their sizes are discarded.
@@ -335,6 +337,32 @@ def forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def _part_counts(sets: DataFrame, *by: str) -> DataFrame:
+    """The number of parts for the sets of each group."""
+    return sets.groupBy(*by).agg(F.greatest(F.ceil(F.count("*") / PART_SETS), F.ceil(F.sum("n") / PART_GRAMS)).cast("int").alias("parts"))
+
+
+def _by_group(sets: DataFrame) -> DataFrame:
+    """The sets of components that don't hang together (key, c, n, doc_id, label), cut into parts anew: a group
+    (equal label) that would fill a part has parts of its own, named in ``pure``; the smaller ones share parts."""
+    own = sets.groupBy("c", "label").agg(F.count("*").alias("m"), F.sum("n").alias("grams"))
+    pure = own.where((F.col("m") >= PART_SETS) | (F.col("grams") >= PART_GRAMS)).select("c", "label", F.col("label").alias("pure"))
+    named = sets.join(pure, ["c", "label"], "left").withColumn("pool", F.coalesce(F.hex("pure"), F.lit("")))
+    return (named.join(_part_counts(named, "c", "pool"), ["c", "pool"])
+            .withColumn("part", F.concat_ws(":", "pool", F.pmod(F.xxhash64("key"), F.col("parts")).cast("string")))
+            .select("key", "doc_id", "c", "part", "pure"))
+
+
+def _open_blocks(rest: DataFrame) -> DataFrame:
+    """(c, a, b, part) for both parts of each pair that may still link: not two of one group; shared parts also with themselves."""
+    each = rest.groupBy("c", "part").agg(F.first("pure").alias("pure"))
+    x, y = each.alias("x"), each.alias("y")
+    pairs = (x.join(y, (F.col("x.c") == F.col("y.c")) & (F.col("x.part") <= F.col("y.part"))
+                    & (F.col("x.pure").isNull() | F.col("y.pure").isNull() | (F.col("x.pure") != F.col("y.pure"))))
+             .select("x.c", F.col("x.part").alias("a"), F.col("y.part").alias("b")))
+    return pairs.withColumn("part", F.explode(F.array_distinct(F.array("a", "b"))))
+
+
 def link_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id for every row.
 
@@ -371,20 +399,19 @@ def link_rows(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Da
     found = sets.join(near, "uid").groupBy("key").agg(F.min("c").alias("c"), F.min("n").alias("n"), F.min("doc_id").alias("doc_id"))
     several = found.groupBy("c").agg(F.count("*").alias("m")).where("m > 1").select("c")   # else copies of one set
     chosen = stored(found.join(several, "c"), "chosen")
-    sizes = chosen.groupBy("c").agg(F.greatest(F.ceil(F.count("*") / PART_SETS), F.ceil(F.sum("n") / PART_GRAMS)).cast("int").alias("parts"))
-    parts = stored(chosen.join(sizes, "c").select("key", "c", "parts"), "parts")
+    parts = stored(chosen.join(_part_counts(chosen, "c"), "c").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")), "parts")
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, grams in _sets(batches, width):
             yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in grams], pa.binary()), _lists(grams)], ["key", "grams"])
 
-    wanted = stored(chosen.select(F.col("doc_id").alias("_id")).distinct(), "wanted")
     texts_of = texts(docs)
-    rows = (texts_of.join(wanted, texts_of["doc_id"].eqNullSafe(wanted["_id"]), "left_semi")
-            .mapInArrow(again, "key binary, grams array<long>").join(parts, "key").dropDuplicates(["key"])
-            .withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            .select("c", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), "part", "key", "grams"))
+
+    def with_grams(placed: DataFrame) -> DataFrame:
+        """The sets of ``placed`` (key, doc_id and more), read again from a text that has them."""
+        wanted = stored(placed.select(F.col("doc_id").alias("_id")).distinct(), "wanted")
+        return (texts_of.join(wanted, texts_of["doc_id"].eqNullSafe(wanted["_id"]), "left_semi")
+                .mapInArrow(again, "key binary, grams array<long>").join(placed.drop("doc_id"), "key").dropDuplicates(["key"]))
 
     def solve(block: pa.Table) -> pa.Table:
         keys = block.column("key").to_pylist()
@@ -396,8 +423,24 @@ def link_rows(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Da
             trim()
         return pa.table({"u": pa.array([keys[i] for i, _ in found], pa.binary()), "v": pa.array([keys[j] for _, j in found], pa.binary())})
 
-    links = rows.groupBy("c", "a", "b").applyInArrow(solve, "u binary, v binary")
-    of = connected_components(links).select(F.col("node").alias("key"), "label")
+    def solved(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("c", "a", "b").applyInArrow(solve, "u binary, v binary")
+
+    # each part by itself, with the next and with the one before
+    side = F.array_distinct(F.array("part", F.pmod(F.col("part") + 1, "parts"), F.pmod(F.col("part") - 1, "parts")))
+    rows = (with_grams(parts.select("key", "doc_id", "c", "part", "parts")).withColumn("other", F.explode(side))
+            .select("c", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), "part", "key", "grams"))
+    of = stored(connected_components(solved(rows)).select(F.col("node").alias("key"), "label"), "linked-parts")
+    many = parts.where("parts > 3")   # of up to three parts these were all pairs
+    if not many.isEmpty():
+        groups = many.drop("part", "parts").join(of, "key", "left").withColumn("label", F.coalesce("label", "key"))
+        apart = groups.groupBy("c").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("c")
+        if not apart.isEmpty():
+            rest = stored(_by_group(groups.join(apart, "c", "left_semi")), "apart")
+            links = solved(with_grams(rest.select("key", "doc_id", "c", "part")).join(_open_blocks(rest), ["c", "part"])
+                           .select("c", "a", "b", "part", "key", "grams"))
+            of = connected_components(links.unionByName(of.select(F.col("key").alias("u"), F.col("label").alias("v")))).select(
+                F.col("node").alias("key"), "label")
 
     first = sets.groupBy("key").agg(F.min("doc_id").alias("first"))
     named = first.join(of, "key", "left")

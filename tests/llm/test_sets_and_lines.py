@@ -7,7 +7,9 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from edge import TEXTS, documents, edge_docs, empty_docs
+from pyspark.sql import functions as F
 
+from raw2clean.llm import components
 from raw2clean.llm import op07_line_dedup as o7
 from raw2clean.llm import op10_ngram_jaccard as o10
 from raw2clean.llm.components import connected_components
@@ -99,13 +101,41 @@ def test_ngram_join(spark, seed):
 
 
 def test_ngram_join_in_many_parts(spark, monkeypatch):
-    """Large components are cut into parts and every pair of parts is a block."""
+    """Large components are cut into parts; those that the first blocks leave apart are cut anew."""
     monkeypatch.setattr(o10, "PART_SETS", 4)
     monkeypatch.setattr(o10, "SLICE", 16)
     texts = near_copies(7, 120)
     assert components_of(documents(spark, texts)) == brute_components(list(enumerate(texts)))
 
 
+def test_ngram_join_of_components_that_stay_apart(spark, monkeypatch):
+    """Candidates that hang together without linking: groups of many sets and of few, linked through sets of other parts."""
+    asked = []
+    blocks = o10._open_blocks
+    monkeypatch.setattr(o10, "_open_blocks", lambda rest: asked.append(1) or blocks(rest))
+    monkeypatch.setattr(o10, "PART_SETS", 3)
+    rnd, base, texts = random.Random(5), [f"b{i}" for i in range(120)], []
+    for group, size in ((0, 30), (1, 20), (2, 2), (3, 1), (4, 1)):
+        for k in range(size):
+            t = list(base)
+            for at in range(group * 2):               # ever farther from the first group
+                t[at * 12 + group] = f"g{group}x{at}"
+            t[rnd.randrange(120)] = f"own{group}x{k}"
+            texts.append(" ".join(t))
+    got = components_of(documents(spark, texts))
+    assert got == brute_components(list(enumerate(texts))) and len({c for _, _, c in got}) > 1
+    assert asked
+
+
+def test_blocks_grow_as_the_copies_do(spark, monkeypatch):
+    """A group of many near copies hangs together by the blocks of neighbouring parts: no pair of parts beyond them."""
+    monkeypatch.setattr(o10, "_open_blocks", lambda rest: pytest.fail("parts paired"))
+    monkeypatch.setattr(o10, "PART_SETS", 16)
+    base = [f"b{i}" for i in range(200)]
+    texts = [" ".join([*base[:k % 200], f"own{k}", *base[k % 200 + 1:]]) for k in range(1000)]
+    assert {c for _, _, c in components_of(documents(spark, texts))} == {0}
+
+
 def test_ngram_join_odd_cases(spark):
     assert components_of(edge_docs(spark)) == brute_components([(i, t) for i, t, _ in TEXTS])
     assert components_of(empty_docs(spark)) == []
@@ -172,7 +202,9 @@ def test_ngram_join_of_many_flushes(spark, monkeypatch, held):
     assert components_of(documents(spark, texts).repartition(6)) == brute_components(list(enumerate(texts)))
 
 
-def test_connected_components(spark):
+@pytest.mark.parametrize("hub", [components.HUB_EDGES, 5])
+def test_connected_components(spark, monkeypatch, hub):
+    monkeypatch.setattr(components, "HUB_EDGES", hub)
     rnd = random.Random(4)
     edges = [(i, i + 1) for i in range(60)] + [(100, k) for k in range(101, 140)] + [(rnd.randint(200, 400), rnd.randint(200, 400)) for _ in range(90)] + [(500, 500)]
     label = {x: x for e in edges for x in e}
@@ -184,6 +216,16 @@ def test_connected_components(spark):
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_a_node_of_many_edges_is_not_shuffled_to_its_minimum(spark, monkeypatch):
+    """Its edges stay where they lie: after the join no partition holds more than its share."""
+    monkeypatch.setattr(components, "HUB_EDGES", 1000)
+    edges = spark.range(0, 40_000, 1, 8).select(F.lit(7).cast("long").alias("u"), (F.col("id") + 100).alias("v"))
+    met = components._with_least(edges, 40_000)
+    sizes = [r["n"] for r in met.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 40_000 and max(sizes) <= 10_000
+    assert met.where("m <> 100").isEmpty()
+
+
 def test_hashes_of_words_do_not_depend_on_their_place():
     from raw2clean.llm.common import span_hashes, text_buffer, word_spans
     import pyarrow as pa
