@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from edge import TEXTS, documents, edge_docs, empty_docs
+from pyspark.sql import functions as F
 
 from raw2clean.llm import op04_topk as o4
 from raw2clean.llm import op06_mixing as o6
@@ -148,16 +149,33 @@ def brute_judge(url):
 def test_url_rules(spark):
     rows = [(k if k != 3 else None, u, "h", "v") for k, u in enumerate(URLS)] * 2
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, verdict string")
-    got = sorted((tuple(r) for r in o9.judge_urls(pages, o9.production_rules()).collect()), key=repr)
+    got = sorted((tuple(r) for r in o9.judge_urls(pages, o9.production_rules(spark)).collect()), key=repr)
     assert got == sorted(((i, *brute_judge(u)) for i, u, _, _ in rows), key=repr)
-    assert o9.judge_urls(pages.limit(0), o9.production_rules()).count() == 0
-    assert {r.verdict for r in o9.judge_urls(pages, []).collect()} == {"allow"}
+    assert o9.judge_urls(pages.limit(0), o9.production_rules(spark)).count() == 0
+    assert {r.verdict for r in o9.judge_urls(pages, o9.production_rules(spark).limit(0)).collect()} == {"allow"}
+
+
+def test_many_url_rules(spark):
+    """A table of 50,000 rules beside odd ones; a url of 200,000 letters."""
+    odd = [("host", "block", "a.b-c.net"), ("host", "allow", "A.B-C.net"), ("host", "block", "net/x+y(1)/"), ("host", "allow", "/only/path"),
+           ("word", "block", "c++"), ("word", "allow", None), ("other", "block", "net"), ("host", "block", "a.b-c.net"), ("host", "allow", "é.org/ü")]
+    many = spark.range(50_000).select(F.lit("host").alias("kind"), F.lit("block").alias("verdict"), F.concat(F.lit("h"), "id", F.lit(".com/p")).alias("rule"))
+    rules = many.unionByName(spark.createDataFrame(odd, "kind string, verdict string, rule string"))
+    long = "http://h9.com/p" + "/segment" * 25_000
+    urls = {"http://h49999.com/page": ("h49999.com/p", "block"), "http://x.h7.com/p": ("h7.com/p", "block"), "http://h7.com/q": (None, "allow"),
+            "http://h70.community/p": (None, "allow"), long: ("h9.com/p", "block"), "http://a.b-c.net": ("a.b-c.net", "block"),
+            "http://z.A.B-c.net/x+y(1)/2": ("net/x+y(1)/", "block"), "http://a.b-c.network/": (None, "allow"), "http://aXb-c.net/": (None, "allow"),
+            "http:///only/path/1": ("/only/path", "allow"), "http://q/c++": (None, "block"), "http://q/cc": (None, "allow"),
+            "http://é.org/über": ("é.org/ü", "allow"), None: (None, "allow"), "": (None, "allow")}
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in o9.judge_urls(pages, rules).collect()}
+    assert got == dict(enumerate(urls.values()))
 
 
 def test_native_operators_run_no_python(spark):
     from raw2clean.llm.op07_line_dedup import dedup_lines
     pages = spark.createDataFrame([(1, "http://a.org/")], "page_id long, url string")
-    for df in (o9.judge_urls(pages, o9.production_rules()), dedup_lines(documents(spark, ["a"]))):
+    for df in (o9.judge_urls(pages, o9.production_rules(spark)), dedup_lines(documents(spark, ["a"]))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
 
