@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from raw2clean.functions.rules import as_column
 from raw2clean.functions.sqltext import quoted
+from raw2clean.sources.io import work_dir
 
 _SURVIVOR = "__survivor"
 _KEY = "__key"
@@ -25,7 +26,11 @@ _COUNT = "__rows"
 _RANK = "__rank"
 
 
-def distinct_rows(df: DataFrame, drop_all_null: bool = False) -> DataFrame:
+#: xxhash64 of a row of NULLs alone: its seed.
+_HASH_OF_NULLS = 42
+
+
+def distinct_rows(df: DataFrame, drop_all_null: bool = False, method: str = "rows", most_repeated: int = 500_000) -> DataFrame:
     """One row per distinct row.
 
     ``drop_all_null=True`` also drops the row in which every column is NULL
@@ -33,10 +38,31 @@ def distinct_rows(df: DataFrame, drop_all_null: bool = False) -> DataFrame:
     reads the group's row count, so Catalyst keeps it above the aggregate
     instead of pushing it through the projection below, where it would
     evaluate every column expression (every cleaning rule) a second time.
+
+    Methods, of equal result:
+
+    * ``"rows"`` (default): one aggregate, which shuffles each row whole;
+    * ``"hashes"``: for wide tables in which few rows repeat. A first pass shuffles a 64-bit hash of each row
+      and stores those found more than once; rows of other hashes stay where they lie, and only those of repeated
+      hashes are shuffled and compared whole, so equal hashes of different rows do no harm. ``df`` is
+      evaluated three times and must give the same rows each time. Beyond ``most_repeated`` hashes (8 bytes each, sent to all tasks)
+      the rows are shuffled as by ``"rows"``. The first pass runs when the function is called.
     """
+    if method not in ("rows", "hashes"):
+        raise ValueError(f"unknown method {method!r}")
+    cols = [quoted(c) for c in df.columns]
+    if method == "hashes" and cols:
+        hashed = df.selectExpr(*cols, f"xxhash64({', '.join(cols)}) AS {_HASH}")
+        path = work_dir(df.sparkSession, "repeated-rows")
+        hashed.groupBy(_HASH).agg(F.count(F.lit(1)).alias(_COUNT)).where(F.col(_COUNT) > 1).select(_HASH).write.parquet(path)
+        repeated = df.sparkSession.read.schema(f"{_HASH} long").parquet(path)
+        if repeated.count() <= most_repeated:
+            # a row of NULLs alone always goes to the aggregate, which knows whether to drop it
+            few = F.broadcast(repeated.union(df.sparkSession.range(1).select(F.lit(_HASH_OF_NULLS).cast("long"))))
+            once = hashed.join(few, _HASH, "left_anti").selectExpr(*cols)
+            return once.unionByName(distinct_rows(hashed.join(few, _HASH, "left_semi").selectExpr(*cols), drop_all_null))
     if not drop_all_null:
         return df.distinct()
-    cols = [quoted(c) for c in df.columns]
     groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(_COUNT))
     return groups.where(" OR ".join([f"{c} IS NOT NULL" for c in cols] + [f"{_COUNT} < 0"])).selectExpr(*cols)
 

@@ -347,6 +347,11 @@ def q_distinct_rows(spark, sf_dir):
     return dedup.distinct_rows(raw(spark, sf_dir).select("code", "state_code", "label", "age"))
 
 
+@query("distinct_rows_by_hashes", _sql("SELECT DISTINCT code, label, state_code, amount, age, tract FROM raw"))
+def q_distinct_rows_by_hashes(spark, sf_dir):
+    return dedup.distinct_rows(raw(spark, sf_dir).select("code", "label", "state_code", "amount", "age", "tract"), method="hashes")
+
+
 _DEDUP_COLS = ["code", "label", "state_code", "amount", "age", "tract", "l_orderkey", "l_linenumber"]
 
 

@@ -41,6 +41,28 @@ def test_missing_key(spark):
         dedup_by_key(df, ["nope"])
 
 
+@pytest.mark.parametrize("drop_all_null", [False, True])
+@pytest.mark.parametrize("most", [500_000, 0])
+@pytest.mark.parametrize("extra", [[], [(None, None, None)], [(None, None, None)] * 2, [(None, "a", None), ("a", None, None)]])
+def test_distinct_rows_by_hashes(spark, extra, most, drop_all_null):
+    """A row of NULLs alone, once or twice; rows that differ in the place of a NULL have equal hashes."""
+    df = spark.createDataFrame(ROWS + extra, SCHEMA)
+    got = sorted((tuple(r) for r in distinct_rows(df, drop_all_null, "hashes", most).collect()), key=str)
+    assert got == sorted({r for r in ROWS + extra if not drop_all_null or any(r)}, key=str)
+
+
+def test_distinct_rows_by_hashes_shuffles_repeated_rows_only(spark, tmp_dir):
+    odd = "`a.b` string, `__hash x` int, double double"
+    df = spark.createDataFrame([(str(k % 95), k % 95, 0.0 if k % 2 else -0.0) for k in range(100)], odd)
+    out = distinct_rows(df, method="hashes")
+    assert out.columns == df.columns and out.count() == 95
+    assert distinct_rows(df.limit(0), method="hashes").count() == 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+    with pytest.raises(ValueError):
+        distinct_rows(df, method="other")
+
+
 def test_distinct_rows(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
     assert distinct_rows(df).count() == 5
