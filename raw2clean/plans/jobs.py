@@ -33,9 +33,13 @@ from raw2clean.operators.shape import (
 )
 from raw2clean.plans.presets import DEDUP_KEYS_2007, YEAR_TO_ERA, preset
 from raw2clean.plans.ruleset import RuleSet
+from raw2clean.session import for_wide_rules
 from raw2clean.sources.io import files_by_year, group_by_header, read_group, read_table, write_table, year_of_file
 from raw2clean.sources.runs import append_run
 
+#: Rules beyond which Spark's whole-stage code grows too long for the JVM to compile.
+MANY_RULES = 20
+
 #: Scans of one header and year each that a folder is read by.
 YEAR_SCANS = 100
 
@@ -47,7 +51,10 @@ def clean(df: DataFrame, rules: RuleSet, dedup_keys: Sequence[str] | None = None
     With ``dedup_keys`` one row per key survives (fixed survivor); without,
     one row per distinct row. The legacy 2007 job ran ``distinct`` and then a
     key dedup; the key dedup alone gives the same rows, with one shuffle.
+    Beyond ``MANY_RULES`` rules the session gets the settings for wide rule tables.
     """
+    if len(rules) > MANY_RULES:
+        for_wide_rules(df.sparkSession)
     out = rules.apply(df, on_missing=on_missing)
     if dedup_keys:
         return dedup_by_key(out, dedup_keys, method=dedup_method, drop_all_null=True)

@@ -11,7 +11,16 @@ from pyspark.sql import SparkSession
 #: For jobs over dozens of rule columns. Whole-stage code of so many rules is one method too long for
 #: the JVM to compile (8,000 bytes of bytecode), or even for a class file, and runs interpreted; Spark's
 #: plain projection splits the rules into methods that are compiled. Measured in the README.
-WIDE_RULES = {"spark.sql.codegen.hugeMethodLimit": "8000", "spark.sql.codegen.maxFields": "64"}
+WIDE_RULES = {"spark.sql.codegen.hugeMethodLimit": "8000", "spark.sql.codegen.maxFields": "30"}
+#: Spark's own values of these settings: what a session has where nobody chose one.
+_DEFAULTS = {"spark.sql.codegen.hugeMethodLimit": "65535", "spark.sql.codegen.maxFields": "100"}
+
+
+def for_wide_rules(spark: SparkSession) -> None:
+    """Give a session ``WIDE_RULES``, but for settings it has a value of its own for. Results don't depend on them."""
+    for key, value in WIDE_RULES.items():
+        if spark.conf.get(key, _DEFAULTS[key]) == _DEFAULTS[key]:
+            spark.conf.set(key, value)
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, ansi: bool | None = None,

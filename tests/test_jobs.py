@@ -82,3 +82,20 @@ def test_quality_job_writes_outcomes(spark, tmp_dir):
                         out_path=f"{tmp_dir}/stats", fmt="parquet")
     assert stats.count() == 3 and spark.read.parquet(f"{tmp_dir}/stats").count() == 3
     assert os.path.isdir(f"{tmp_dir}/stats")
+
+
+def test_clean_gives_a_session_the_settings_for_wide_rules(spark):
+    from raw2clean.plans.jobs import clean
+    from raw2clean.session import WIDE_RULES
+
+    def cleaned(own):
+        s = spark.newSession()
+        for key, value in {"spark.sql.codegen.hugeMethodLimit": "65535", "spark.sql.codegen.maxFields": "100", **own}.items():
+            s.conf.set(key, value)
+        rules = preset("2004")
+        df = s.createDataFrame([["1"] * len(rules.inputs)] * 2, ", ".join(f"`{c}` string" for c in rules.inputs))
+        assert clean(df, rules).count() == 1
+        return {key: s.conf.get(key) for key in WIDE_RULES}
+
+    assert cleaned({}) == WIDE_RULES
+    assert cleaned({"spark.sql.codegen.maxFields": "77"}) == WIDE_RULES | {"spark.sql.codegen.maxFields": "77"}
