@@ -24,6 +24,11 @@ _KEY = "__key"
 _HASH = "__hash"
 _COUNT = "__rows"
 _RANK = "__rank"
+_LEAD = "__lead"
+_BY = "__by"
+
+#: Rows of a group beyond which ``top_n_per_group`` doesn't look for a bound first.
+_MOST_FIRST = 1000
 
 
 #: xxhash64 of a row of NULLs alone: its seed.
@@ -121,8 +126,46 @@ def _order_expr(c: str, null_as: str | None) -> Column:
     return e.asc_nulls_first()
 
 
+def _leading(df: DataFrame, c: str, null_as: str | None) -> Column | None:
+    """A long that never falls as the order of ``_order_expr`` rises, smallest for NULL; None for types without one."""
+    kind, value = df.schema[c].dataType.simpleString(), as_column(c)
+    if null_as is not None:
+        kind, value = "string", F.coalesce(value.cast("string"), F.lit(str(null_as)))
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        lead = value.cast("long")
+    elif kind in ("date", "timestamp"):
+        lead = F.unix_date(value).cast("long") if kind == "date" else F.unix_micros(value)
+    elif kind == "string":   # in the order of bytes: the first seven are a number
+        lead = F.conv(F.hex(F.rpad(F.substring(value.cast("binary"), 1, 7), 7, F.lit(b"\x00"))), 16, 10).cast("long")
+    else:
+        return None
+    return F.coalesce(lead, F.lit(-1 << 63))
+
+
+def _may_be_first(df: DataFrame, by: list[Column], lead: Column, n: int, most_groups: int) -> DataFrame:
+    """The rows of ``df`` but for some that have ``n`` rows of their group before them."""
+    spread = F.monotonically_increasing_id() % (2 * n) if n > 1 else F.lit(0)
+    names = [f"{_BY}{i}" for i in range(len(by))]
+    # rows are dealt to 2 n heaps of a group; the n smallest minima of heaps are n rows, so none behind the last of these comes first
+    least = (df.select(*[b.alias(c) for b, c in zip(by, names, strict=True)], lead.alias(_LEAD), spread.alias(_HASH))
+             .groupBy(*names, _HASH).agg(F.min(_LEAD).alias(_LEAD)))
+    if n > 1:
+        least = least.groupBy(*names).agg(F.try_element_at(F.sort_array(F.collect_list(_LEAD)), F.lit(n)).alias(_LEAD))
+    else:
+        least = least.drop(_HASH)
+    path = work_dir(df.sparkSession, "last-of-first")
+    least.write.parquet(path)
+    last = df.sparkSession.read.schema(least.schema).parquet(path)
+    if last.count() > most_groups:
+        return df
+    at = (lead <= F.col(_LEAD)) | F.col(_LEAD).isNull()
+    for b, c in zip(by, names, strict=True):
+        at = at & b.eqNullSafe(F.col(c))
+    return df.join(F.broadcast(last), at, "left_semi")
+
+
 def top_n_per_group(df: DataFrame, by: str | Iterable[str], order: Iterable[str] | None = None,
-                    n: int = 1, null_as: str | None = None) -> DataFrame:
+                    n: int = 1, null_as: str | None = None, most_groups: int = 100_000) -> DataFrame:
     """The first ``n`` rows of each group by ``row_number()``.
 
     ``order``: columns to sort by (W2: names absent from ``df`` are left out;
@@ -130,9 +173,16 @@ def top_n_per_group(df: DataFrame, by: str | Iterable[str], order: Iterable[str]
     sorted NULL as ``999999``); otherwise NULLs sort first.
 
     Catalyst plans ``WindowGroupLimit`` before the shuffle, so each map task
-    ships at most ``n`` rows per group.
+    ships at most ``n`` rows per group; but a task sorts all its rows for that, on disk where they are many. So a first pass,
+    which runs when the function is called and reads the group and the first order column alone, finds for each group
+    a value that at least ``n`` rows don't exceed, and rows beyond it aren't sorted. ``df`` is evaluated twice and must give the same rows each time.
+    With more than ``most_groups`` groups (their values are sent to all tasks) all rows are sorted, and where
+    the first column of a group has one value throughout.
     """
     by = [by] if isinstance(by, str) else list(by)
     order = [c for c in (list(order) if order is not None else df.columns) if c in df.columns]
+    lead = _leading(df, order[0], null_as) if order and by and 0 < n <= _MOST_FIRST else None
+    if lead is not None:
+        df = _may_be_first(df, [as_column(b) for b in by], lead, n, most_groups)
     w = Window.partitionBy(*[as_column(b) for b in by]).orderBy(*[_order_expr(c, null_as) for c in order])
     return df.withColumn(_RANK, F.row_number().over(w)).where(F.col(_RANK) <= n).drop(_RANK)

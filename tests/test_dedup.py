@@ -106,3 +106,33 @@ def test_rows_of_nothing_are_no_survivors(spark, method):
     assert sorted(map(tuple, out.collect()), key=str) == sorted([(None, None, "x"), ("a", None, None), (None, "b", None)], key=str)
     assert dedup_by_key(df.where("k IS NULL AND l IS NULL AND v IS NULL"), ["k", "l"], method=method, drop_all_null=True).count() == 0
     assert dedup_by_key(df, ["v", "l", "k"], method=method, drop_all_null=True).count() == 3
+
+
+def test_top_n_sorts_only_rows_that_may_be_first(spark):
+    df = spark.range(50_000).selectExpr("CAST(id % 7 AS STRING) AS g", "CAST((id * 7919) % 50000 AS STRING) AS v", "id AS w")
+    for n in (1, 3):
+        few = top_n_per_group(df, "g", n=n)
+        all_ = top_n_per_group(df, "g", n=n, most_groups=0)
+        assert sorted(map(tuple, few.collect())) == sorted(map(tuple, all_.collect())) and few.count() == 7 * n
+        plans = [x._jdf.queryExecution().executedPlan().toString() for x in (few, all_)]
+        assert "BroadcastHashJoin" in plans[0] and "BroadcastHashJoin" not in plans[1]
+
+
+def test_top_n_by_many_kinds_of_order(spark):
+    """Against plain sorting: nulls, equal rows, long common prefixes, bytes above 127, groups of fewer rows than n, null groups."""
+    import random
+    r = random.Random(5)
+    words = [None, "", "a", "a\x00", "aaaaaaaaaaz", "aaaaaaaaaab", "é", "\U0001f600", "z", "9", "10", "-1"]
+    rows = [(r.choice([None, 1, 2, 3]), r.choice(words), r.choice([None, -5, 0, 7, -(1 << 63), (1 << 63) - 1]), r.choice([None, 0.5, float("nan")])) for _ in range(400)]
+    rows += [(9, "only", 1, 1.0)] + rows[:60]
+    df = spark.createDataFrame(rows, "g int, s string, l long, d double").selectExpr("*", "CAST(l % 1000 AS int) AS i", "date_add(DATE'2000-01-01', CAST(l % 1000 AS int)) AS t",
+                                                                                     "timestamp_micros(l % 1000) AS u")
+    show = lambda x: sorted(map(str, x.collect()))
+    for first in ("s", "l", "d", "i", "t", "u"):
+        order = [first, *[c for c in ("s", "l", "d") if c != first]]
+        for n in (1, 2, 5):
+            for null_as in (None, "999999") if first in ("s", "l") else (None,):
+                got, want = (top_n_per_group(df, "g", order=order, n=n, null_as=null_as, most_groups=m) for m in (100, 0))
+                assert show(got) == show(want)
+    assert show(top_n_per_group(df.limit(0), "g", n=2)) == []
+    assert show(top_n_per_group(df, ["g", "s"], order=["l", "d"], n=2)) == show(top_n_per_group(df, ["g", "s"], order=["l", "d"], n=2, most_groups=0))
