@@ -20,3 +20,11 @@ def test_loan_table_is_dealt_out_and_not_stored(spark, tmp_dir, monkeypatch):
         assert made.count() == 40_000 + 3 * 4_000
     empty = registry.loan_table(spark, _lineitem(tmp_dir, 0), "2004")
     assert empty.count() == 0
+
+
+def test_single_file_csv_writes_the_whole_table(spark, tmp_dir):
+    at = _lineitem(tmp_dir, 5_000)
+    got = registry.Q["single_file_csv"](spark, at)
+    assert got.columns == registry.raw(spark, at).columns and got.count() == 5_000
+    assert len({f for f in got.inputFiles()}) == 1
+    assert registry.ORACLE_SQL["single_file_csv"] == registry.ORACLE_SQL["round_trip_csv"]
