@@ -28,3 +28,13 @@ def test_single_file_csv_writes_the_whole_table(spark, tmp_dir):
     assert got.columns == registry.raw(spark, at).columns and got.count() == 5_000
     assert len({f for f in got.inputFiles()}) == 1
     assert registry.ORACLE_SQL["single_file_csv"] == registry.ORACLE_SQL["round_trip_csv"]
+
+
+def test_clean_years_stores_compressed_csv_only(spark, tmp_dir, monkeypatch):
+    import os
+    at, n = _lineitem(tmp_dir, 2_000), iter(range(100))
+    monkeypatch.setattr(registry.io, "work_dir", lambda spark, name="": f"{tmp_dir}/kept/{name}-{next(n)}")
+    assert registry.Q["clean_years"](spark, at).groupBy("year").count().count() == 2
+    kept = [os.path.join(d, f) for d, _, files in os.walk(f"{tmp_dir}/kept") for f in files if not f.startswith((".", "_"))]
+    assert {os.path.relpath(k, f"{tmp_dir}/kept").split("/")[1] for k in kept} == {"in", "out"}
+    assert all(k.endswith(".csv.gz") for k in kept)
