@@ -194,6 +194,15 @@ def tie(signatures: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return signatures[first], sets[first], ties
 
 
+def packed(values: np.ndarray) -> bytes:
+    """64-bit numbers by byte planes: planes of equal bytes shrink to nothing in shuffles and files."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked(planes: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(kind).ravel()
+
+
 def forest_of(ties: np.ndarray) -> np.ndarray:
     """A star for each component of the ties: (its smallest set, another of its sets), sorted by the other."""
     ids, at = np.unique(ties, return_inverse=True)
@@ -237,8 +246,8 @@ def _part_table(docs: DataFrame, width: int, percent: int, buckets: int) -> Data
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
             spans = [(b, order[i:j]) for b, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)) if i < j]
             yield record(len(spans), bucket=pa.array([b for b, _ in spans], pa.int32()),
-                         signatures=pa.array([signatures[x].tobytes() for _, x in spans], pa.binary()),
-                         sets=pa.array([sets[x].tobytes() for _, x in spans], pa.binary()))
+                         signatures=pa.array([packed(np.diff(signatures[x], prepend=np.uint64(0))) for _, x in spans], pa.binary()),   # they ascend
+                         sets=pa.array([packed(sets[x]) for _, x in spans], pa.binary()))
             for k in range(0, len(ties), 10_000):
                 yield record(1, ties=pa.array([ties[k:k + 10_000].ravel().tolist()], pa.list_(pa.int64())))
 
@@ -264,11 +273,14 @@ def _tied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     One bucket is held at a time, and a forest of the ties so far.
     """
-    join = lambda rows, c, kind: np.concatenate([np.frombuffer(x, kind) for r in rows for x in r.column(c).to_pylist()])
+    each = lambda rows, c, kind: [unpacked(x, kind) for r in rows for x in r.column(c).to_pylist()]
     ties, bucket, rows = np.zeros((0, 2), np.int64), None, []
 
     def with_bucket() -> np.ndarray:
-        return forest_of(np.concatenate([ties, tie(join(rows, "signatures", np.uint64), join(rows, "sets", np.int64))[2]])) if rows else ties
+        if not rows:
+            return ties
+        signatures = np.concatenate([np.cumsum(d, dtype=np.uint64) for d in each(rows, "signatures", np.uint64)])
+        return forest_of(np.concatenate([ties, tie(signatures, np.concatenate(each(rows, "sets", np.int64)))[2]]))
 
     for batch in batches:
         of = np.asarray(batch.column("bucket"))

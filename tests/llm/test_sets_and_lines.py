@@ -234,3 +234,13 @@ def test_hashes_of_words_do_not_depend_on_their_place():
     starts, ends, row = word_spans(data != 32, offsets)
     h = span_hashes(data, starts, ends).tolist()
     assert row.tolist() == [0, 0, 2, 2, 3] and h[0] == h[3] and h[1] == h[2] and len({h[0], h[1], h[4]}) == 3
+
+
+def test_packed_numbers_shrink_and_come_back():
+    import zlib
+    r = np.random.default_rng(3)
+    for values in (np.sort(r.integers(0, 1 << 64, 4_000, np.uint64, endpoint=False)), np.zeros(0, np.uint64), np.array([(1 << 64) - 1], np.uint64)):
+        assert np.array_equal(np.cumsum(o10.unpacked(o10.packed(np.diff(values, prepend=np.uint64(0))), np.uint64), dtype=np.uint64), values)
+    uids = (5 << 36) + r.integers(0, 8_000, 4_000)
+    assert np.array_equal(o10.unpacked(o10.packed(uids), np.int64), uids)
+    assert len(zlib.compress(o10.packed(uids), 1)) < 0.8 * len(zlib.compress(uids.tobytes(), 1))
