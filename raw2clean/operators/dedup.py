@@ -14,9 +14,10 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from raw2clean.functions.rules import as_column
-from raw2clean.functions.sqltext import quoted
+from raw2clean.functions.sqltext import literal, quoted
 from raw2clean.sources.io import work_dir
 
 _SURVIVOR = "__survivor"
@@ -26,6 +27,12 @@ _COUNT = "__rows"
 _RANK = "__rank"
 _LEAD = "__lead"
 _BY = "__by"
+_PACKED = "__packed"
+_ODD = "__odd"
+_CELLS = "__cells"
+
+#: What stands between the cells of a packed row, and what for an empty text; a NULL is no sign at all.
+_NEXT, _EMPTY = "\x01", "\x02"
 
 #: Rows of a group beyond which ``top_n_per_group`` doesn't look for a bound first.
 _MOST_FIRST = 1000
@@ -51,11 +58,15 @@ def distinct_rows(df: DataFrame, drop_all_null: bool = False, method: str = "row
       and stores those found more than once; rows of other hashes stay where they lie, and only those of repeated
       hashes are shuffled and compared whole, so equal hashes of different rows do no harm. ``df`` is
       evaluated three times and must give the same rows each time. Beyond ``most_repeated`` hashes (8 bytes each, sent to all tasks)
-      the rows are shuffled as by ``"rows"``. The first pass runs when the function is called.
+      the rows are shuffled as by ``"rows"``. The first pass runs when the function is called;
+    * ``"packed"``: for wide tables of text. A row is shuffled as one text of its cells, without the 8 to 16 bytes
+      and more that Spark's rows spend on each cell. Tables that hold other types are shuffled as by ``"rows"``.
     """
-    if method not in ("rows", "hashes"):
+    if method not in ("rows", "hashes", "packed"):
         raise ValueError(f"unknown method {method!r}")
     cols = [quoted(c) for c in df.columns]
+    if method == "packed" and cols and all(f.dataType == StringType() for f in df.schema.fields):
+        return _distinct_packed(df, drop_all_null)
     if method == "hashes" and cols:
         hashed = df.selectExpr(*cols, f"xxhash64({', '.join(cols)}) AS {_HASH}")
         path = work_dir(df.sparkSession, "repeated-rows")
@@ -72,6 +83,24 @@ def distinct_rows(df: DataFrame, drop_all_null: bool = False, method: str = "row
     return groups.where(" OR ".join([f"{c} IS NOT NULL" for c in cols] + [f"{_COUNT} < 0"])).selectExpr(*cols)
 
 
+def _distinct_packed(df: DataFrame, drop_all_null: bool) -> DataFrame:
+    """``distinct_rows`` of text columns, each row as one text. Rows of which a text can't be split again (a cell
+    holds one of the two signs, or is no valid UTF-8) are kept as arrays beside it, so every row is compared whole."""
+    cols, after, empty = [quoted(c) for c in df.columns], literal(_NEXT), literal(_EMPTY)
+    cells = ", ".join(f"CASE WHEN {c} IS NULL THEN '' WHEN {c} = '' THEN {empty} ELSE {c} END" for c in cols)
+    odd = f"contains({_CELLS}, {after}) OR contains({_CELLS}, {empty}) OR NOT is_valid_utf8({_PACKED})"
+    rows = (df.selectExpr(*cols, f"concat_ws({after}, {cells}) AS {_PACKED}", f"concat_ws('', {', '.join(cols)}) AS {_CELLS}")
+            .selectExpr(f"CASE WHEN {odd} THEN NULL ELSE {_PACKED} END AS {_PACKED}", f"CASE WHEN {odd} THEN array({', '.join(cols)}) END AS {_ODD}"))
+    groups = rows.groupBy(_PACKED, _ODD).agg(F.count(F.lit(1)).alias(_COUNT))
+    if drop_all_null:   # a row of NULLs alone is nothing but the signs between its cells
+        groups = groups.where(f"{_PACKED} IS NULL OR {_PACKED} <> {literal(_NEXT * (len(cols) - 1))} OR {_COUNT} < 0")
+    # cells depend on the count too: Catalyst would push a filter on them below the aggregate and into the packing of all rules
+    split = groups.selectExpr(f"IF({_COUNT} > 0, {_PACKED}, NULL) AS {_PACKED}", f"IF({_COUNT} > 0, {_ODD}, NULL) AS {_ODD}").selectExpr(
+        _PACKED, _ODD, f"split({_PACKED}, {after}) AS {_CELLS}")
+    cell = f"CASE WHEN {_PACKED} IS NULL THEN {_ODD}[{{i}}] WHEN {_CELLS}[{{i}}] = '' THEN NULL WHEN {_CELLS}[{{i}}] = {empty} THEN '' ELSE {_CELLS}[{{i}}] END AS {{c}}"
+    return split.selectExpr(*[cell.replace("{i}", str(i)).replace("{c}", c) for i, c in enumerate(cols)])
+
+
 def dedup_by_key(df: DataFrame, keys: Iterable[str], order: Iterable[str] | None = None,
                  method: str = "min_struct", drop_all_null: bool = False) -> DataFrame:
     """One row per distinct key.

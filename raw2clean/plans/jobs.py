@@ -51,14 +51,14 @@ def clean(df: DataFrame, rules: RuleSet, dedup_keys: Sequence[str] | None = None
     With ``dedup_keys`` one row per key survives (fixed survivor); without,
     one row per distinct row. The legacy 2007 job ran ``distinct`` and then a
     key dedup; the key dedup alone gives the same rows, with one shuffle.
-    Beyond ``MANY_RULES`` rules the session gets the settings for wide rule tables.
+    Beyond ``MANY_RULES`` rules the session gets the settings for wide rule tables, and rows are packed for the shuffle.
     """
     if len(rules) > MANY_RULES:
         for_wide_rules(df.sparkSession)
     out = rules.apply(df, on_missing=on_missing)
     if dedup_keys:
         return dedup_by_key(out, dedup_keys, method=dedup_method, drop_all_null=True)
-    return distinct_rows(out, drop_all_null=True)
+    return distinct_rows(out, drop_all_null=True, method="packed" if len(rules) > MANY_RULES else "rows")
 
 
 def run_clean(spark: SparkSession, year: str | int, in_path: str, out_path: str | None = None,

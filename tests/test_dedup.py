@@ -136,3 +136,26 @@ def test_top_n_by_many_kinds_of_order(spark):
                 assert show(got) == show(want)
     assert show(top_n_per_group(df.limit(0), "g", n=2)) == []
     assert show(top_n_per_group(df, ["g", "s"], order=["l", "d"], n=2)) == show(top_n_per_group(df, ["g", "s"], order=["l", "d"], n=2, most_groups=0))
+
+
+@pytest.mark.parametrize("drop_all_null", [False, True])
+def test_distinct_rows_packed(spark, drop_all_null):
+    """Cells that hold a sign of the packed form, empty ones, and bytes that are no text keep rows apart as they are."""
+    odd = [(None,) * 3, (None,) * 3, ("",) * 3, ("", None, None), ("a\x01b", None, "c"), ("a", "b", "c"), ("a\x01b", None, "c"), ("\x02", None, None),
+           ("\x02", None, None), (None, "\x02", ""), ("\x01", None, None), (None, None, "\x01"), ("é", "日本", "'"), ("é", "日本", "'"), ("\\x01", "NULL", "")]
+    df = spark.createDataFrame(odd, "`a.b` string, `c``d` string, `{i} {c}` string")
+    bad = spark.range(4).selectExpr("CAST(X'C3' AS STRING)", "CAST(X'A9' AS STRING)", "CAST(if(id < 2, X'FE', X'FF') AS STRING)").toDF(*df.columns)
+    df = df.union(bad)
+    hexed = lambda d: sorted(map(str, d.selectExpr(*[f"hex(`{c.replace('`', '``')}`) AS c{i}" for i, c in enumerate(d.columns)]).collect()))
+    got = distinct_rows(df, drop_all_null, "packed")
+    assert got.schema == df.schema and hexed(got) == hexed(distinct_rows(df, drop_all_null))
+    assert len(hexed(got)) == len(set(odd)) + 2 - drop_all_null
+    one = df.select("`{i} {c}`")
+    assert hexed(distinct_rows(one, drop_all_null, "packed")) == hexed(distinct_rows(one, drop_all_null))
+    assert distinct_rows(df.limit(0), drop_all_null, "packed").count() == 0
+
+
+def test_distinct_rows_packed_takes_other_types_as_rows(spark):
+    df = spark.createDataFrame([("a", 0.0), ("a", -0.0), ("a", float("nan")), ("a", float("nan")), (None, None)], "a string, b double")
+    assert distinct_rows(df, True, "packed").count() == 2
+    assert distinct_rows(spark.sql("SELECT a COLLATE UTF8_LCASE AS a FROM VALUES ('x'), ('X') AS t(a)"), method="packed").count() == 1

@@ -99,3 +99,22 @@ def test_clean_gives_a_session_the_settings_for_wide_rules(spark):
 
     assert cleaned({}) == WIDE_RULES
     assert cleaned({"spark.sql.codegen.maxFields": "77"}) == WIDE_RULES | {"spark.sql.codegen.maxFields": "77"}
+
+
+def _shuffled(spark):
+    """Bytes of the session's shuffle files that are there now."""
+    at = spark.sparkContext.getConf().get("spark.local.dir")
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(at) for f in files if f.startswith("shuffle_") and f.endswith(".data"))
+
+
+def test_clean_shuffles_wide_rows_packed(spark, tmp_dir):
+    from raw2clean.operators.dedup import distinct_rows
+    from raw2clean.plans.jobs import clean
+    rules = preset("2018")
+    df = spark.range(0, 2_000, 1, 2).selectExpr(*[f"CAST((id + {i}) % 7 AS STRING) AS `{c}`" for i, c in enumerate(rules.inputs)])
+    sizes = []
+    for out in (distinct_rows(rules.apply(df), drop_all_null=True), clean(df, rules)):
+        before = _shuffled(spark)
+        assert out.count() == 7
+        sizes.append(_shuffled(spark) - before)
+    assert 0 < 2 * sizes[1] < sizes[0]
