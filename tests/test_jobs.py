@@ -118,3 +118,14 @@ def test_clean_shuffles_wide_rows_packed(spark, tmp_dir):
         assert out.count() == 7
         sizes.append(_shuffled(spark) - before)
     assert 0 < 2 * sizes[1] < sizes[0]
+
+
+def test_clean_years_frees_what_it_shuffled(spark, tmp_dir):
+    from raw2clean.plans.jobs import run_clean_years
+    from raw2clean.session import FREE_SHUFFLES
+    cols = preset("2004").inputs
+    _csv(f"{tmp_dir}/h.csv", cols, [_row(cols, respondent_id=str(i % 900)) for i in range(1_000)])
+    before, setting = _shuffled(spark), spark.conf.get(FREE_SHUFFLES)
+    out = run_clean_years(spark, {y: f"{tmp_dir}/h.csv" for y in ("2004", "2005")}, f"{tmp_dir}/out")
+    assert _shuffled(spark) <= before and spark.conf.get(FREE_SHUFFLES) == setting
+    assert [out[y].count() for y in ("2004", "2005")] == [900, 900] and spark.read.option("header", True).csv(f"{tmp_dir}/out").count() == 1_800
